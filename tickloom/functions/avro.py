@@ -11,6 +11,8 @@ import json
 import struct
 import sys
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 from typing import Any
 
 import pyarrow as pa
@@ -65,8 +67,11 @@ def spark_schema(schema_json: str) -> T.StructType:
     return column_type(json.loads(schema_json))[0]
 
 
-def jvm_codec_available(spark: SparkSession) -> bool:
-    """Whether this session can resolve from_avro, i.e. spark-avro is on its class path."""
+def jvm_codec_fits(spark: SparkSession, schema_json: str) -> bool:
+    """Whether from_avro can serve this declaration: spark-avro is on the session's class
+    path, and no union has several branches besides null, which from_avro makes a struct."""
+    if _has_wide_union(json.loads(schema_json)):
+        return False
     try:
         spark.range(0).selectExpr("from_avro(cast(null as binary), '\"string\"', map())")
     except PySparkException:
@@ -74,6 +79,16 @@ def jvm_codec_available(spark: SparkSession) -> bool:
     return True
 
 
+def _has_wide_union(avro: Any) -> bool:
+    if isinstance(avro, list):
+        branches = [branch for branch in avro if branch != "null"]
+        return len(branches) > 1 or any(_has_wide_union(branch) for branch in branches)
+    if isinstance(avro, dict):
+        inner = [avro["items"]] if "items" in avro else [f["type"] for f in avro.get("fields", [])]
+        return any(_has_wide_union(part) for part in inner)
+    return False
+
+
 def decoded(body: Column, schema_json: str, reader_json: str, on_error: str, jvm: bool) -> Column:
     """An Avro body as a struct. Undecodable input fails the job, or with 'skip' gives NULL."""
     spark_type, arrow_type = column_type(json.loads(reader_json))
@@ -83,7 +98,7 @@ def decoded(body: Column, schema_json: str, reader_json: str, on_error: str, jvm
         mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
         struct_ = from_avro(body, schema_json, {"mode": mode, "avroSchema": reader_json})
         # PERMISSIVE answers with a struct of NULLs; turn that into one NULL.
-        present = F.greatest(*[struct_[name].isNotNull() for name in spark_type.names])
+        present = reduce(or_, [struct_[name].isNotNull() for name in spark_type.names])
         if on_error == "skip":
             return F.when(body.isNotNull() & present, struct_)
         return F.when(body.isNotNull(), struct_).otherwise(F.raise_error(F.lit("NULL message")))

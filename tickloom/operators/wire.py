@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import wire_body, wire_header
-from tickloom.functions.avro import decoded, encoded, jvm_codec_available, spark_schema
+from tickloom.functions.avro import decoded, encoded, jvm_codec_fits, spark_schema
 from tickloom.schema import ENVELOPE
 
 
@@ -28,7 +28,7 @@ def decode_messages(
         raise ValueError(f"on_error must be 'fail' or 'skip', not {on_error!r}")
     spark_schema(schema_json)  # unsupported declarations fail here, on the driver
     if jvm is None:
-        jvm = jvm_codec_available(messages.sparkSession)
+        jvm = jvm_codec_fits(messages.sparkSession, schema_json)
     payload = decoded(
         wire_body(F.col(value)), schema_json, reader_json or schema_json, on_error, jvm
     )
@@ -44,7 +44,7 @@ def encode_messages(
     """One framed Avro `value` per row, ready for a Kafka sink."""
     names = spark_schema(schema_json).names
     if jvm is None:
-        jvm = jvm_codec_available(envelopes.sparkSession)
+        jvm = jvm_codec_fits(envelopes.sparkSession, schema_json)
     body = encoded(F.struct(*names), schema_json, jvm)
     return envelopes.select(F.concat(wire_header(schema_id), body).alias("value"))
 

@@ -11,15 +11,13 @@ from pyspark.storagelevel import StorageLevel
 from tickloom.operators.quality import require_columns, split_checked
 from tickloom.sinks.tables import JdbcTable, ParquetTable
 
-# The key of the stored bars and anomalies, and the columns that must be set.
-KEY = ("window_start", "symbol")
+# The columns of bars and anomalies that must be set.
 REQUIRED = ("window_start", "window_end", "symbol")
 
 
 def append_new(
     batch: DataFrame,
     table: JdbcTable | ParquetTable,
-    key: Sequence[str] = KEY,
     required: Sequence[str] = REQUIRED,
     rejects: JdbcTable | ParquetTable | None = None,
     stamped: str | None = None,
@@ -30,8 +28,11 @@ def append_new(
     written. Appending only missing keys makes the repeat harmless. One job looks at the
     batch: its size, its time range, which limits the stored keys to be read, and whether
     required columns are NULL. Such rows go to `rejects`, or fail the write without it.
-    `stamped` names a column to add with the time of the write, for tables that do not
-    fill it themselves.
+    An empty batch touches no table. `stamped` names a column to add with the time of the
+    write, for tables that do not fill it themselves.
+
+    A key should have one writer at a time: two that append it at the same moment both
+    find it missing.
     """
     own_cache = not batch.is_cached
     if own_cache:
@@ -40,22 +41,24 @@ def append_new(
         checked = require_columns(batch, required)
         facts = checked.agg(
             F.count("*").alias("rows"),
-            F.min(F.col(table.time)).cast("string").alias("low"),
-            F.max(F.col(table.time)).cast("string").alias("high"),
-            F.coalesce(F.sum((F.size("problems") > 0).cast("int")), F.lit(0)).alias("bad"),
+            F.count_if(F.size("problems") > 0).alias("bad"),
+            F.min(table.time).cast("string").alias("low"),
+            F.max(table.time).cast("string").alias("high"),
         ).first()
-        if not facts["rows"]:
-            return 0
-        good, bad = split_checked(checked)
-        if facts["bad"]:
+        rows, bad = facts["rows"], facts["bad"]
+        good, flawed = split_checked(checked)
+        if bad:
             if rejects is None:
-                raise ValueError(f"{facts['bad']} rows lack one of {', '.join(required)}")
-            rejects.append(bad.withColumn("problems", F.concat_ws(", ", "problems")))
-        if facts["bad"] < facts["rows"]:
+                raise ValueError(f"{bad} rows lack one of {', '.join(required)}")
+            rejects.append(flawed.withColumn("problems", F.concat_ws(", ", "problems")), bad)
+        if rows > bad:
+            key = list(table.key)
             stored = table.between(batch.sparkSession, facts["low"], facts["high"]).select(*key)
-            fresh = good.dropDuplicates(list(key)).join(stored, list(key), "left_anti")
-            table.append(fresh.withColumn(stamped, F.current_timestamp()) if stamped else fresh)
-        return facts["rows"]
+            fresh = good.dropDuplicates(key).join(stored, key, "left_anti")
+            if stamped:
+                fresh = fresh.withColumn(stamped, F.current_timestamp())
+            table.append(fresh, rows - bad)
+        return rows
     finally:
         if own_cache:
             batch.unpersist()

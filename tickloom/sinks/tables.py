@@ -1,7 +1,8 @@
 """Stored tables that bars and anomalies are appended to and read back from.
 
-A table offers append(df) and between(spark, low, high), the stored rows in a range of its
-time column; the bounds are timestamps as text in the session's time zone.
+A table has a unique key and a time column. It offers append(df, rows), where `rows` is the
+size of df if known, read(spark), and between(spark, low, high), the stored rows in a range
+of the time column; the bounds are timestamps as text in the session's time zone.
 """
 
 from __future__ import annotations
@@ -14,6 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The unique key of the stored bars; anomalies share it.
+KEY = ("window_start", "symbol")
+
+ROWS_PER_CONNECTION = 10_000
+ROWS_PER_FILE = 1_000_000
+
 
 def _in_range(df: DataFrame, time: str, low: str, high: str) -> DataFrame:
     return df.where(F.col(time).between(F.lit(low).cast("timestamp"), F.lit(high).cast("timestamp")))
@@ -26,12 +33,16 @@ class JdbcTable:
     url: str
     name: str
     properties: Mapping[str, str] = field(default_factory=dict)
+    key: tuple[str, ...] = KEY
     time: str = "window_start"
     connections: int = 16
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame, rows: int | None = None) -> None:
+        tasks = self.connections
+        if rows is not None:
+            tasks = min(tasks, 1 + rows // ROWS_PER_CONNECTION)
         (
-            df.repartition(self.connections)
+            df.repartition(tasks)
             .write.format("jdbc")
             .options(url=self.url, dbtable=self.name, batchsize="10000", **self.properties)
             .mode("append")
@@ -39,6 +50,7 @@ class JdbcTable:
         )
 
     def read(self, spark: SparkSession) -> DataFrame:
+        """The table in one piece, for reports that the database can filter and cut."""
         return (
             spark.read.format("jdbc")
             .options(url=self.url, dbtable=self.name, fetchsize="10000", **self.properties)
@@ -67,17 +79,21 @@ class ParquetTable:
 
     path: str
     schema: T.StructType
+    key: tuple[str, ...] = KEY
     time: str = "window_start"
 
-    def append(self, df: DataFrame) -> None:
-        (
-            df.select(*self.schema.names)
-            .withColumn("on_day", F.to_date(self.time))
-            .hint("rebalance", F.col("on_day"))
-            .write.mode("append")
-            .partitionBy("on_day")
-            .parquet(self.path)
-        )
+    def append(self, df: DataFrame, rows: int | None = None) -> None:
+        """Few files per day, a crowded day split over many tasks.
+
+        With a known size a range partitioning does that, also in micro-batches, which run
+        without AQE. Otherwise AQE rebalances.
+        """
+        dated = df.select(*self.schema.names).withColumn("on_day", F.to_date(self.time))
+        if rows is None:
+            dated = dated.hint("rebalance", F.col("on_day"))
+        else:
+            dated = dated.repartitionByRange(1 + rows // ROWS_PER_FILE, "on_day", *self.key)
+        dated.write.mode("append").partitionBy("on_day").parquet(self.path)
 
     def _rows(self, spark: SparkSession) -> DataFrame:
         stored = T.StructType([*self.schema.fields, T.StructField("on_day", T.DateType())])
@@ -92,5 +108,6 @@ class ParquetTable:
         return self._rows(spark).drop("on_day")
 
     def between(self, spark: SparkSession, low: str, high: str) -> DataFrame:
+        """Only the days concerned are read."""
         days = F.col("on_day").between(F.lit(low[:10]).cast("date"), F.lit(high[:10]).cast("date"))
         return _in_range(self._rows(spark).where(days), self.time, low, high).drop("on_day")
