@@ -1,0 +1,79 @@
+import pytest
+
+from helpers import at, envelopes, item, plan_of, trades
+from tickloom.operators import check_envelopes, check_trades, require_columns, split_checked
+from tickloom.operators.quality import SYMBOL_PATTERN
+
+GOOD = item("EX:AB", 1.0, 0.0, at(0))
+
+
+@pytest.mark.parametrize(
+    "kind, data, problems",
+    [
+        ("trade", [GOOD], []),
+        ("trade", [], []),
+        ("trade", [GOOD | {"c": ["1", "12"]}], []),
+        (None, [GOOD], ["type missing"]),
+        ("ping", [GOOD], ["type unknown"]),
+        ("trade", None, ["data missing"]),
+        ("trade", [GOOD, GOOD | {"p": None}], ["price missing"]),
+        ("trade", [GOOD | {"s": None}], ["symbol missing"]),
+        ("trade", [GOOD | {"t": None}], ["time missing"]),
+        ("trade", [GOOD | {"v": None}], ["volume missing"]),
+        ("trade", [GOOD | {"t": -1}], ["time negative"]),
+        ("trade", [GOOD | {"t": 0}], []),
+        ("trade", [GOOD | {"v": -0.5}, GOOD | {"p": None}], ["price missing", "volume negative"]),
+        ("trade", [GOOD | {"s": "AAPL"}], []),  # no pattern by default
+    ],
+)
+def test_envelope_rules(spark, kind, data, problems):
+    [row] = check_envelopes(envelopes(spark, (kind, data))).collect()
+    assert row.problems == problems
+
+
+@pytest.mark.parametrize(
+    "symbol, fits",
+    [("EX:AB", True), ("AAPL", False), ("EX:A1", False), ("ex:ab", False), (" EX:AB", False)],
+)
+def test_symbol_pattern(spark, symbol, fits):
+    expected = [] if fits else ["symbol malformed"]
+    rows = envelopes(spark, ("trade", [GOOD | {"s": symbol}]))
+    assert check_envelopes(rows, SYMBOL_PATTERN).first().problems == expected
+    flat = trades(spark, (symbol, 1.0, 1.0, at(0)))
+    assert check_trades(flat, SYMBOL_PATTERN).first().problems == expected
+
+
+def test_trade_rules_and_split(spark):
+    rows = trades(
+        spark,
+        ("A", 1.0, 0.0, at(0)),
+        (None, 1.0, 1.0, at(0)),
+        ("B", None, -1.0, None),
+        ("C", 1.0, None, at(-2_000_000_000)),
+    )
+    good, rejects = split_checked(check_trades(rows))
+    assert [row.symbol for row in good.collect()] == ["A"]
+    assert good.columns == rows.columns
+    assert {row.symbol: row.problems for row in rejects.collect()} == {
+        None: ["symbol missing"],
+        "B": ["price missing", "time missing", "volume negative"],
+        "C": ["volume missing", "time negative"],
+    }
+
+
+def test_required_columns(spark):
+    rows = trades(spark, ("A", None, 1.0, at(0)), (None, None, 1.0, at(0)))
+    checked = require_columns(rows, ["symbol", "price"]).collect()
+    assert {row.symbol: row.problems for row in checked} == {
+        "A": ["price missing"],
+        None: ["symbol missing", "price missing"],
+    }
+
+
+def test_checks_do_not_shuffle_or_leave_the_jvm(spark):
+    for checked in (
+        check_envelopes(envelopes(spark, ("trade", [GOOD])), SYMBOL_PATTERN),
+        check_trades(trades(spark, ("A", 1.0, 1.0, at(0))), SYMBOL_PATTERN),
+    ):
+        plan = plan_of(checked)
+        assert "Exchange" not in plan and "Python" not in plan

@@ -25,7 +25,10 @@ def read_lake(
     """
     trades = spark.read.schema(LAKE).parquet(path)
     hour_number = (
-        F.col("year") * 1_000_000 + F.col("month") * 10_000 + F.col("day") * 100 + F.col("hour")
+        F.col("year").cast("long") * 1_000_000
+        + F.col("month") * 10_000
+        + F.col("day") * 100
+        + F.col("hour")
     )
     if start is not None:
         trades = trades.where(

@@ -319,7 +319,9 @@ def streamed_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _flow(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, ParquetTable]]:
     source = shared_path(spark, "envelopes")
-    event_envelopes(spark, sf_dir).select(*ENVELOPE.names).write.parquet(source)
+    # In order of arrival, as in a topic, so that a file spans few hours.
+    arrived = event_envelopes(spark, sf_dir).repartitionByRange("number")
+    arrived.select(*ENVELOPE.names).write.parquet(source)
     lake = shared_path(spark, "lake")
     tables = {
         name: ParquetTable(shared_path(spark, name), schema)
