@@ -163,6 +163,16 @@ def test_jdbc_range_is_read_in_slices(spark):
     )
 
 
+def test_the_database_cuts_the_latest_rows():
+    session = MagicMock()
+    JDBC.latest(session, "window_start DESC, symbol", 20)
+    options = session.read.format.return_value.options.call_args.kwargs
+    assert options["query"] == (
+        "SELECT * FROM trades_aggregated_1min ORDER BY window_start DESC, symbol "
+        "FETCH FIRST 20 ROWS ONLY"
+    )
+
+
 def test_keyed_append_to_a_database_reads_keys_then_appends(spark):
     stored = volume_bars(spark, "A", [1])
     table = MagicMock(time="window_start", key=("window_start", "symbol"))

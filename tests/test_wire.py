@@ -1,14 +1,14 @@
 import json
 import struct
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import at, envelopes, item, millis, plan_of
-from tickloom.functions.avro import _reader, _write_long, _writer, jvm_codec_fits, spark_schema
+from tickloom.functions.avro import _reader, _write_long, _written, column_type, jvm_codec_fits, spark_schema
 from tickloom.operators import flatten_trades
 from tickloom.operators.wire import decode_messages, encode_messages, parse_json_messages
 from tickloom.schema import ENVELOPE, ENVELOPE_AVRO, SLIM_ENVELOPE, SLIM_ENVELOPE_AVRO
@@ -183,8 +183,9 @@ def test_codec_round_trip(values, texts):
         "fields": [{"name": f"f{i}", "type": kind} for i, kind in enumerate(kinds)],
     }
     row = {f"f{i}": value for i, value in enumerate([*values, texts])}
-    data = b"".join(_writer(avro)(row))
-    assert _reader(avro)(data, 0) == (row, len(data))
+    column = pa.array([row, row], type=column_type(avro)[1])
+    for data in _written(avro, column) + _written(avro, column.slice(1)):
+        assert _reader(avro)(data, 0) == (row, len(data))
 
 
 def test_json_text_to_messages_and_back(spark):
@@ -202,13 +203,14 @@ def test_text_that_is_not_json_fails(spark):
         rows.collect()
 
 
-def test_decoding_is_batched_not_per_row(spark):
-    rows = decode_messages(messages(spark, FRAME + BODY), ENVELOPE_AVRO)
-    plan = plan_of(rows.where(F.col("type") == "trade"))
-    assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
+@pytest.mark.parametrize("on_error", ["fail", "skip"])
+def test_each_message_is_decoded_once_and_in_batches(spark, on_error):
+    rows = decode_messages(messages(spark, FRAME + BODY), ENVELOPE_AVRO, on_error)
+    plan = plan_of(flatten_trades(rows))
+    assert plan.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in plan
 
 
 def test_null_field_without_null_branch_cannot_be_encoded(spark):
     rows = encode_messages(envelopes(spark, (None, [item("A", 1.0, 1.0, at(0))])), ENVELOPE_AVRO, 1)
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="NULL where"):
         rows.collect()

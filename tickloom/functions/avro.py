@@ -127,24 +127,24 @@ def encoded(record: Column, schema_json: str, jvm: bool) -> Column:
 
         return to_avro(record, schema_json)
 
-    write = _writer(json.loads(schema_json))
+    avro = json.loads(schema_json)
 
     @F.arrow_udf(T.BinaryType())
     def encode(records: pa.Array) -> pa.Array:
-        return pa.array([b"".join(write(row)) for row in records.to_pylist()], type=pa.binary())
+        return pa.array(_written(avro, records), type=pa.binary())
 
     return encode(record)
 
 
 def _read_long(data: bytes, at: int) -> tuple[int, int]:
-    value = shift = 0
-    while True:
-        byte = data[at]
+    byte = data[at]
+    value, shift = byte & 0x7F, 7
+    while byte > 0x7F:
         at += 1
+        byte = data[at]
         value |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return (value >> 1) ^ -(value & 1), at
         shift += 7
+    return (value >> 1) ^ -(value & 1), at + 1
 
 
 def _write_long(value: int) -> bytes:
@@ -222,46 +222,44 @@ def _reader(avro: Any) -> Callable[[bytes, int], tuple[Any, int]]:
     return read_record
 
 
-def _writer(avro: Any) -> Callable[[Any], list[bytes]]:
-    """A function value -> pieces of bytes for one Avro declaration."""
-    kind = avro if isinstance(avro, str) else "union" if isinstance(avro, list) else avro["type"]
+def _written(avro: Any, values: pa.Array) -> list[bytes]:
+    """The Avro bytes of each value of an Arrow column, worked out column by column."""
+    if isinstance(avro, list):
+        null = _write_long(avro.index("null")) if "null" in avro else None
+        kept = next(i for i, branch in enumerate(avro) if branch != "null")
+        if null is None or not values.null_count:
+            return [_write_long(kept) + piece for piece in _written(avro[kept], values)]
+        present = iter(_written(avro[kept], values.drop_null()))
+        return [
+            _write_long(kept) + next(present) if valid else null
+            for valid in values.is_valid().to_pylist()
+        ]
+
+    if values.null_count:
+        raise ValueError(f"NULL where the Avro type {avro} has none")
+    kind = avro if isinstance(avro, str) else avro["type"]
+
+    if kind == "record":
+        columns = [
+            _written(field["type"], values.field(field["name"])) for field in avro["fields"]
+        ]
+        return [b"".join(pieces) for pieces in zip(*columns)]
+    if kind == "array":
+        items = _written(avro["items"], values.flatten())
+        rows, at = [], 0
+        for length in values.value_lengths().to_pylist():
+            head = _write_long(length) if length else b""
+            rows.append(head + b"".join(items[at : at + length]) + b"\x00")
+            at += length
+        return rows
+
+    plain = values.to_numpy(zero_copy_only=False).tolist()
     if kind in ("int", "long"):
-        return lambda value: [_write_long(value)]
+        return [_write_long(value) for value in plain]
     if kind in FIXED_WIDTH:
         layout, _ = FIXED_WIDTH[kind]
-        return lambda value: [struct.pack(layout, value)]
+        return [struct.pack(layout, value) for value in plain]
     if kind == "boolean":
-        return lambda value: [b"\x01" if value else b"\x00"]
-    if kind == "null":
-        return lambda value: []
-
-    if kind == "string":
-
-        def write_string(value):
-            text = value.encode("utf-8")
-            return [_write_long(len(text)), text]
-
-        return write_string
-
-    if kind == "union":
-        kept = next(i for i, branch in enumerate(avro) if branch != "null")
-        write_kept = _writer(avro[kept])
-
-        def write_union(value):
-            if value is None:
-                return [_write_long(avro.index("null"))]
-            return [_write_long(kept), *write_kept(value)]
-
-        return write_union
-
-    if kind == "array":
-        write_item = _writer(avro["items"])
-
-        def write_array(values):
-            head = [_write_long(len(values))] if values else []
-            return head + [piece for value in values for piece in write_item(value)] + [b"\x00"]
-
-        return write_array
-
-    fields = [(field["name"], _writer(field["type"])) for field in avro["fields"]]
-    return lambda record: [piece for name, write in fields for piece in write(record[name])]
+        return [b"\x01" if value else b"\x00" for value in plain]
+    texts = [value.encode("utf-8") for value in plain]
+    return [_write_long(len(text)) + text for text in texts]

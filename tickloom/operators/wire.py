@@ -32,10 +32,9 @@ def decode_messages(
     payload = decoded(
         wire_body(F.col(value)), schema_json, reader_json or schema_json, on_error, jvm
     )
-    rows = messages.select(payload.alias("payload"))
-    if on_error == "skip":
-        rows = rows.where(F.col("payload").isNotNull())
-    return rows.select("payload.*")
+    # Unpacked from a one-element array, the payload is computed once per message. As plain
+    # columns it would be copied into every filter that Spark moves below the decoding.
+    return messages.select(F.inline(F.array_compact(F.array(payload))))
 
 
 def encode_messages(

@@ -1,8 +1,8 @@
 """Stored tables that bars and anomalies are appended to and read back from.
 
 A table has a unique key and a time column. It offers append(df, rows), where `rows` is the
-size of df if known, read(spark), and between(spark, low, high), the stored rows in a range
-of the time column; the bounds are timestamps as text in the session's time zone.
+size of df if known, and between(spark, low, high), the stored rows in a range of the time
+column; the bounds are timestamps as text in the session's time zone.
 """
 
 from __future__ import annotations
@@ -49,12 +49,15 @@ class JdbcTable:
             .save()
         )
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The table in one piece, for reports that the database can filter and cut."""
+    def latest(self, spark: SparkSession, order: str, n: int) -> DataFrame:
+        """The first n rows in an SQL order, such as "window_start DESC, symbol".
+
+        The database sorts and cuts, through its index, and hands over n rows; from a
+        plain scan Spark would fetch the whole table first.
+        """
+        text = f"SELECT * FROM {self.name} ORDER BY {order} FETCH FIRST {n} ROWS ONLY"
         return (
-            spark.read.format("jdbc")
-            .options(url=self.url, dbtable=self.name, fetchsize="10000", **self.properties)
-            .load()
+            spark.read.format("jdbc").options(url=self.url, query=text, **self.properties).load()
         )
 
     def between(self, spark: SparkSession, low: str, high: str) -> DataFrame:
