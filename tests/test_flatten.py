@@ -58,7 +58,7 @@ def test_allow_symbols_reaches_the_scan(spark):
     assert "In(symbol, [A,B])" in plan
 
 
-@pytest.mark.parametrize("n, expected", [(2, ["m0", "m1"]), (-1, ["m0", "m1", "m2"])])
+@pytest.mark.parametrize("n, expected", [(2, ["m0", "m1"]), (-1, ["m0", "m1", "m2"]), (0, ["m0", "m1", "m2"])])
 def test_first_messages(spark, n, expected):
     rows = spark.createDataFrame([(2, "m2"), (0, "m0"), (1, "m1")], "number int, message string")
     first = first_messages(rows, n, "number")

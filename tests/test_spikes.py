@@ -64,7 +64,7 @@ def random_bars(spark, seed):
 
 
 @pytest.mark.parametrize("broadcast", ["10MB", "-1"])
-@pytest.mark.parametrize("salts", [None, 1, 16])
+@pytest.mark.parametrize("salts", [1, 16])
 def test_against_brute_force_with_a_hot_symbol(spark, salts, broadcast):
     table, volumes = random_bars(spark, 3)
     expected = defaultdict(int)
@@ -77,18 +77,42 @@ def test_against_brute_force_with_a_hot_symbol(spark, salts, broadcast):
     assert counts == {symbol: n for symbol, n in expected.items() if n}
 
 
-def test_no_task_receives_a_whole_symbol_by_design(spark):
-    table, _ = random_bars(spark, 4)
-    stored = store(table, "bars")
-    plan = plan_of(volume_spikes(stored))
-    assert "Window" not in plan and "partial_avg" in plan and "Cartesian" not in plan
-    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    with settings(spark, off):
-        found = volume_spikes(stored)
-        assert "salt" in plan_of(found)
-        # The busy symbol's bars really meet their mean in many partitions.
-        spread = found.where("symbol = 'HOT'").select(F.spark_partition_id().alias("part"))
-        assert spread.distinct().count() > 1
+SHUFFLED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+def test_the_means_are_a_partial_aggregate_and_a_join(spark):
+    plan = plan_of(volume_spikes(store(random_bars(spark, 4)[0], "bars")))
+    assert "partial_avg" in plan and "BroadcastHashJoin" in plan
+    assert "Window" not in plan and "Cartesian" not in plan
+
+
+def test_a_busy_symbol_is_spread_where_aqe_is_off(spark):
+    stored = store(random_bars(spark, 4)[0], "bars")
+    with settings(spark, SHUFFLED | {"spark.sql.adaptive.enabled": "false"}):
+        for salts, fewest, most in ((32, 3, 4), (1, 1, 1)):
+            hot = volume_spikes(stored, salts=salts).where("symbol = 'HOT'")
+            parts = hot.select(F.spark_partition_id()).distinct().count()
+            assert fewest <= parts <= most
+
+
+def test_aqe_splits_a_busy_part_further(spark):
+    copies = F.explode(F.sequence(F.lit(1), F.lit(200)))
+    stored = store(random_bars(spark, 5)[0].withColumn("copy", copies), "bars")
+    tiny = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.files.maxPartitionBytes": "64KB",
+    }
+    with settings(spark, SHUFFLED | tiny):
+        found = volume_spikes(stored, salts=2)
+        found.collect()
+        assert "skew=true" in plan_of(found)
 
 
 def test_spikes_of_trades_reads_the_trades_once(spark):

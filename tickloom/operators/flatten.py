@@ -30,10 +30,10 @@ def allow_symbols(trades: DataFrame, symbols: Iterable[str]) -> DataFrame:
 
 
 def first_messages(envelopes: DataFrame, n: int, *arrival: str) -> DataFrame:
-    """The first n envelopes in arrival order; a negative n means all of them.
+    """The first n envelopes in arrival order; n <= 0 means all of them.
 
     Without arrival columns, which a stream cannot sort by, it is whichever n come first.
     """
-    if n < 0:
+    if n <= 0:
         return envelopes
     return (envelopes.orderBy(*arrival) if arrival else envelopes).limit(n)

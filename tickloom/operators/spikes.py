@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import ratio
-from tickloom.session import splits_skewed_joins
 
 # Fixed value: a bar is a spike when its volume is above this many times the mean.
 FACTOR = 3.0
 
-# How finely a symbol's bars are spread where the session cannot split skewed joins itself.
-SALTS = 64
+# Into how many parts the bars of a symbol are spread when they are shuffled to their mean.
+SALTS = 32
 
 
 def mean_volumes(bars: DataFrame) -> DataFrame:
@@ -20,7 +19,7 @@ def mean_volumes(bars: DataFrame) -> DataFrame:
     return bars.groupBy("symbol").agg(F.avg("total_volume").alias("avg_volume"))
 
 
-def volume_spikes(bars: DataFrame, factor: float = FACTOR, salts: int | None = None) -> DataFrame:
+def volume_spikes(bars: DataFrame, factor: float = FACTOR, salts: int = SALTS) -> DataFrame:
     """Bars whose volume exceeds `factor` times the mean over the given bars.
 
     The mean covers exactly the bars passed in, the spike included: in a stream that is
@@ -29,31 +28,26 @@ def volume_spikes(bars: DataFrame, factor: float = FACTOR, salts: int | None = N
 
     The means come from a partial aggregate and meet the bars in a join rather than in a
     window over the symbol, which would put all bars of a symbol into one task. Spark
-    broadcasts the means while their size allows it. Beyond that a busy symbol is split by
-    AQE or, where AQE is off as in micro-batches, by `salts` copies of its mean.
+    broadcasts the means while their size allows it. Beyond that the `salts` copies of
+    each mean spread a busy symbol over as many tasks. AQE may split those further, which
+    it cannot without the salt: means grouped and joined by the same key need no shuffle
+    of their own, and AQE splits only joins of two shuffles.
 
     `bars` is read twice, so pass a stored or cached table rather than a computation over
     raw trades.
     """
-    if salts is None:
-        salts = 1 if splits_skewed_joins(bars.sparkSession) else SALTS
-    means = mean_volumes(bars)
-    keys = ["symbol"]
-    if salts > 1:
-        bars = bars.withColumn("salt", F.pmod(F.xxhash64("window_start"), F.lit(salts)).cast("int"))
-        means = means.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys = ["symbol", "salt"]
-    return (
-        bars.join(means, keys)
-        .where(F.col("total_volume") > F.col("avg_volume") * F.lit(factor))
-        .select(
-            "symbol",
-            "window_start",
-            "window_end",
-            "total_volume",
-            "avg_volume",
-            ratio(F.col("total_volume"), F.col("avg_volume")).alias("ratio"),
-            "avg_price",
-            "vwap",
-        )
+    salt = F.pmod(F.xxhash64("window_start"), F.lit(salts)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    paired = bars.withColumn("salt", salt).join(
+        mean_volumes(bars).withColumn("salt", copies), ["symbol", "salt"]
+    )
+    return paired.where(F.col("total_volume") > F.col("avg_volume") * F.lit(factor)).select(
+        "symbol",
+        "window_start",
+        "window_end",
+        "total_volume",
+        "avg_volume",
+        ratio(F.col("total_volume"), F.col("avg_volume")).alias("ratio"),
+        "avg_price",
+        "vwap",
     )

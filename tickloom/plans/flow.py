@@ -74,6 +74,10 @@ def spikes_of_trades(
 ) -> DataFrame:
     """Volume spikes straight from a table of trades, all bars counting as one batch.
 
-    The bars are stored in the shared folder first, so the trades are scanned once.
+    The columns of the bars that matter are stored in the shared folder first, so the
+    trades are scanned and aggregated once.
     """
-    return volume_spikes(store(make_bars(trades), "bars"), factor)
+    bars = make_bars(trades).select(
+        "symbol", "window_start", "window_end", "total_volume", "avg_price", "vwap"
+    )
+    return volume_spikes(store(bars, "bars"), factor)

@@ -52,14 +52,6 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def splits_skewed_joins(spark: SparkSession) -> bool:
-    """Whether the session re-plans joins at run time. Streaming micro-batches never do."""
-    return all(
-        spark.conf.get(key, "false") == "true"
-        for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
-    )
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder that all executors share (spark.checkpoint.dir)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

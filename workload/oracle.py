@@ -171,7 +171,7 @@ def oracle_sql() -> dict[str, str]:
         """,
         "volume_spikes_1min": spike_rows(spikes(MINUTE_BARS)),
         "volume_spikes_1hour": spike_rows(spikes(tumbling(EVENT_TRADES, "hour"))),
-        "volume_spikes_salted": spike_rows(spikes(tumbling(EVENT_TRADES, "hour"))),
+        "volume_spikes_unsalted": spike_rows(spikes(tumbling(EVENT_TRADES, "hour"))),
         "volume_spikes_daily_brand": spike_rows(spikes(tumbling(LINE_TRADES, "day"))),
         "recent_bars_top20": rounded(
             f"SELECT * FROM ({MINUTE_BARS}) AS b ORDER BY window_start DESC, symbol LIMIT 20",

@@ -122,9 +122,9 @@ def hour_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spikes_of_trades(event_trades(spark, sf_dir), hourly))
 
 
-def salted_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unsalted_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = store(hourly(event_trades(spark, sf_dir)), "bars")
-    return comparable(volume_spikes(stored, salts=64))
+    return comparable(volume_spikes(stored, salts=1))
 
 
 def daily_brand_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,7 +381,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mean_volumes_1min": minute_means,
         "volume_spikes_1min": minute_spikes,
         "volume_spikes_1hour": hour_spikes,
-        "volume_spikes_salted": salted_spikes,
+        "volume_spikes_unsalted": unsalted_spikes,
         "volume_spikes_daily_brand": daily_brand_spikes,
         "recent_bars_top20": top_bars,
         "recent_anomalies_top50": top_anomalies,
