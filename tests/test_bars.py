@@ -4,12 +4,14 @@ from collections import defaultdict
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import BASE, at, clock, envelopes, item, plan_of, trades
 from tickloom.operators import bars, bars_1min, bars_5min
 from tickloom.operators.bars import FIVE_MINUTES, MINUTE
 from tickloom.plans import bars_of_messages
 from tickloom.schema import FULL_BAR, SHORT_BAR
+from tickloom.session import settings
 
 
 def both_plans(spark, rows, width=FIVE_MINUTES, slide=MINUTE):
@@ -108,8 +110,11 @@ def brute_force(rows, width, slide):
 
 @pytest.mark.parametrize(
     "width, slide",
-    [(60, 60), (300, 60), (300, 100), (300, 70), (120, 120), (3600, 60)],
-    ids=["tumbling", "sliding", "three panes", "no whole panes", "same slide", "many panes"],
+    [(60, 60), (300, 60), (300, 100), (300, 70), (120, 120), (3600, 60), (32, 1)],
+    ids=[
+        "tumbling", "sliding", "three panes", "no whole panes", "same slide", "too many panes",
+        "most panes",
+    ],
 )
 def test_against_brute_force(spark, width, slide):
     draw = random.Random(width + slide)
@@ -154,13 +159,21 @@ def test_pane_merge_is_stable_for_large_prices_with_small_spread(spark):
 
 def test_trades_are_aggregated_before_they_are_copied_into_sliding_windows(spark):
     rows = trades(spark, ("A", 1.0, 1.0, at(0)))
-    lines = plan_of(bars_5min(rows)).splitlines()
-    copied = next(i for i, line in enumerate(lines) if "Expand" in line)
-    # The plan is printed from the result down to the source.
-    assert any("HashAggregate" in line for line in lines[copied + 1 :])
-    direct = plan_of(bars(rows, FIVE_MINUTES, MINUTE, panes=False)).splitlines()
-    copied = next(i for i, line in enumerate(direct) if "Expand" in line)
-    assert not any("HashAggregate" in line for line in direct[copied + 1 :])
+    # Plans are printed from the result down to the source.
+    plan = plan_of(bars_5min(rows))
+    copied = plan.index("Generate posexplode")
+    assert "HashAggregate" in plan[copied:] and "Expand" not in plan
+    # Two shuffles, none of them of the copies.
+    assert plan.count("Exchange hashpartitioning") == 2 and "Exchange" not in plan[:copied]
+    direct = plan_of(bars(rows, FIVE_MINUTES, MINUTE, panes=False))
+    assert "HashAggregate" not in direct[direct.index("Expand") :]
+
+
+def test_a_busy_symbol_is_merged_by_many_tasks(spark):
+    rows = trades(spark, *[("HOT", 1.0, 1.0, at(60 * i)) for i in range(2000)])
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        parts = bars_5min(rows).select(F.spark_partition_id()).distinct().count()
+    assert parts == 4
 
 
 def test_tumbling_bars_take_one_shuffle_with_partial_aggregation(spark):

@@ -17,8 +17,10 @@ FIVE_MINUTES = timedelta(minutes=5)
 DELAY_1MIN = timedelta(seconds=10)
 DELAY_5MIN = timedelta(seconds=30)
 
-# Panes are merged with two columns per pane, so very fine slides keep the direct plan.
+# Panes are merged with two columns per pane, so very fine slides keep the direct plan. A
+# block holds more starts than a window has panes, so that no window spans three blocks.
 MOST_PANES = 32
+PANES_PER_BLOCK = 64
 
 
 def bars(
@@ -34,10 +36,11 @@ def bars(
     `delay` is the watermark of a stream. `extremes` adds min_price, max_price and
     trade_count. Rows without an event time belong to no window.
 
-    On a table, sliding windows are built from panes: one pass aggregates the trades into
-    tumbling windows of length `slide`, and only those are copied into the width/slide
-    windows they belong to, so that the raw rows are never multiplied. A stream must test
-    lateness per window, hence it uses the direct plan, as does `panes=False`.
+    On a table, sliding windows are built from panes: the trades are aggregated into tumbling
+    windows of length `slide`, and only those are copied into the width/slide windows they
+    belong to, behind the last shuffle. So neither raw rows nor shuffled rows are multiplied.
+    A stream must test lateness per window, hence it uses the direct plan, as does
+    `panes=False`.
     """
     if delay is not None:
         trades = trades.withWatermark("event_time", spans(delay))
@@ -95,8 +98,10 @@ def _from_panes(
     trades: DataFrame, width: timedelta, slide: timedelta, extremes: bool
 ) -> DataFrame:
     price, volume = F.col("price"), F.col("volume")
-    pane = (
-        trades.groupBy(F.window("event_time", spans(slide)).alias("pane"), "symbol")
+    count = width // slide
+    step = slide // timedelta(microseconds=1)
+    panes = (
+        trades.groupBy(F.window("event_time", spans(slide)).alias("window"), "symbol")
         .agg(
             F.sum(volume).alias("volume"),
             F.sum(price * volume).alias("turnover"),
@@ -108,24 +113,37 @@ def _from_panes(
             F.max(price).alias("high"),
             F.count("*").alias("trades"),
         )
-        .withColumn("pane", F.col("pane.start"))
+        .withColumn("pane", F.unix_micros(F.col("window.start")))
+        .drop("window")
+    )
+
+    # Windows are put together in blocks of neighbouring starts. A pane is shuffled once, to
+    # the block it lies in and, near a block's edge, also to the one before. So a window finds
+    # all its panes in one place, and copying panes into windows needs no shuffle: explode()
+    # keeps the partitioning, where a sliding window() would lose it.
+    earliest = F.col("pane") - F.lit(step * (count - 1))
+    blocks = F.array_distinct(F.array(_block(earliest, step), _block(F.col("pane"), step)))
+    starts = F.sequence(earliest, F.col("pane"), F.lit(step))
+    placed = (
+        panes.withColumn("block", F.explode(blocks))
+        .repartition("symbol", "block")
+        .select("*", F.posexplode(starts).alias("position", "start"))
+        .where(_block(F.col("start"), step) == F.col("block"))
     )
 
     # Each window meets every pane position at most once, so max() just picks its value.
     # Merging the means around the window's own mean keeps the variance stable.
-    count = width // slide
-    micros = slide // timedelta(microseconds=1)
-    position = F.floor(
-        (F.unix_micros("pane") - F.unix_micros(F.col("window.start"))) / F.lit(micros)
-    )
+    def at(position: int, name: str) -> Column:
+        value = F.when(F.col("position") == position, F.col(name))
+        return F.max(value).alias(f"{name}_{position}")
+
     measures = [
         F.sum("volume").alias("total_volume"),
         F.sum("turnover").alias("turnover"),
         F.sum("price_sum").alias("price_sum"),
         F.sum("prices").alias("prices"),
         F.sum(F.col("variance") * F.col("prices")).alias("inside"),
-        *[F.max(F.when(F.col("position") == i, F.col("mean"))).alias(f"mean_{i}") for i in range(count)],
-        *[F.max(F.when(F.col("position") == i, F.col("prices"))).alias(f"prices_{i}") for i in range(count)],
+        *[at(position, name) for name in ("mean", "prices") for position in range(count)],
     ]
     if extremes:
         measures += [
@@ -134,9 +152,7 @@ def _from_panes(
             F.sum("trades").alias("trade_count"),
         ]
     merged = (
-        pane.withColumn("window", F.window("pane", spans(width), spans(slide)))
-        .withColumn("position", position)
-        .groupBy("window", "symbol")
+        placed.groupBy("symbol", "block", "start")
         .agg(*measures)
         .withColumn("avg_price", ratio(F.col("price_sum"), F.col("prices")))
     )
@@ -151,9 +167,18 @@ def _from_panes(
         ],
     )
     spread = (F.col("inside") + between) / (F.col("prices") - 1)
+    ends = F.col("start") + F.lit(width // timedelta(microseconds=1))
     return merged.withColumns(
         {
+            "window": F.struct(
+                F.timestamp_micros("start").alias("start"), F.timestamp_micros(ends).alias("end")
+            ),
             "volatility": F.when(F.col("prices") > 1, F.sqrt(spread)),
             "vwap": ratio(F.col("turnover"), F.col("total_volume")),
         }
     ).select(*_layout(extremes))
+
+
+def _block(start: Column, step: int) -> Column:
+    """The block of window starts that a moment in microseconds lies in."""
+    return F.floor(start / F.lit(step * PANES_PER_BLOCK))
