@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.llm.byte_bpe import round_trip_digests
 from tickloom.llm.common import table
+from tickloom.llm.imatch import edited_likeness
 from tickloom.llm.packing import pack_documents
 from tickloom.llm.token_files import read_token_files, write_token_files
 from tickloom.session import shared_path
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+RANK_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +24,16 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, manifest)
 
 
+def imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(
+        table(spark, sf_dir, "documents"), RANK_VOCABULARY, public_tokenizers.PATTERN
+    )
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY, end_id=1)
 
@@ -28,5 +41,7 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": token_files,
+        "op2_imatch": imatch,
+        "op3_byte_bpe": byte_bpe,
         "op10_best_fit_packing": packed,
     }
