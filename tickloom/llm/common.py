@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 MASK64 = (1 << 64) - 1
 
@@ -54,3 +56,60 @@ def seeds(count: int, seed: int) -> np.ndarray:
     """`count` odd 64-bit constants."""
     start = np.uint64((seed * 0x9E3779B97F4A7C15) & MASK64)
     return mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start) | np.uint64(1)
+
+
+def with_text(docs: DataFrame, text_col: str, out_col: str, kind: T.DataType, make: Callable) -> DataFrame:
+    """Add a column that `make` computes from a list of texts; NULL counts as empty.
+
+    All columns travel along; one that is already called `out_col` is replaced. One pass, no
+    shuffle.
+    """
+    kept = docs.drop(out_col)
+    text_at = kept.columns.index(text_col)
+    schema = T.StructType([*kept.schema.fields, T.StructField(out_col, kind)])
+    arrow = to_arrow_type(kind)
+
+    def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for at in range(0, part.num_rows, 1024):
+                some = part.slice(at, 1024)
+                made = make([t or "" for t in some.column(text_at).to_pylist()])
+                columns = [*some.columns, pa.array(made, arrow)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*some.schema.names, out_col])
+
+    return kept.mapInArrow(run, schema)
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label_col: str, sample: int, id_col: str, text_col: str
+) -> DataFrame:
+    """(doc_id, text, label) of at most `sample` labelled ids, half of them of each class.
+
+    Rows are drawn by a hash of the id. Labels other than 0 and 1, NULL ones among them, count for
+    nothing; of several labels of an id the highest counts.
+    """
+    known = (
+        labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).cast("long").alias("doc_id"))
+        .agg(F.max(F.col(label_col).cast("int")).alias("label"))
+    )
+    draw = F.xxhash64("doc_id", F.lit(11))
+    halves = [known.where(F.col("label") == k).orderBy(draw, "doc_id").limit(sample // 2) for k in (0, 1)]
+    # The sample's ids are broadcast: their number is bounded by `sample`.
+    chosen = F.broadcast(halves[0].unionByName(halves[1]))
+    return keyed_text(docs, id_col, text_col).join(chosen, "doc_id").select("doc_id", "text", "label")
+
+
+def collect_features(rows: DataFrame, make: Callable[[str], np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Feature lists and labels of a labelled sample, in order of id; the texts stay where they are."""
+
+    def extract(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found = [make(t).astype(np.int32).tobytes() for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(2), pa.array(found, pa.binary())], names=["doc_id", "label", "found"]
+            )
+
+    got = rows.mapInArrow(extract, "doc_id long, label int, found binary").collect()
+    got = sorted((r["doc_id"], bytes(r["found"]), r["label"]) for r in got)
+    return [np.frombuffer(r[1], np.int32) for r in got], np.array([r[2] for r in got], np.int64)

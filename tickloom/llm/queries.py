@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickloom.llm import quality, toxicity
 from tickloom.llm.byte_bpe import round_trip_digests
 from tickloom.llm.common import table
 from tickloom.llm.imatch import edited_likeness
@@ -34,6 +36,27 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    good = F.col("quality_score") >= quality.THRESHOLD
+    return scored.select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        F.col("quality_score").alias("score"),
+        good.cast("int").alias("predicted"),
+    )
+
+
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.flag_toxic(toxicity.score_documents(docs, chain), "toxic")
+    return scored.select("doc_id", "toxic", "toxicity.*").toDF(
+        "doc_id", "toxic", *[f"p_{c}" for c in chain.categories]
+    )
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY, end_id=1)
 
@@ -43,5 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": token_files,
         "op2_imatch": imatch,
         "op3_byte_bpe": byte_bpe,
+        "op6_quality": quality_scores,
+        "op9_toxicity": toxic,
         "op10_best_fit_packing": packed,
     }
