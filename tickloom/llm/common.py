@@ -113,3 +113,23 @@ def collect_features(rows: DataFrame, make: Callable[[str], np.ndarray]) -> tupl
     got = rows.mapInArrow(extract, "doc_id long, label int, found binary").collect()
     got = sorted((r["doc_id"], bytes(r["found"]), r["label"]) for r in got)
     return [np.frombuffer(r[1], np.int32) for r in got], np.array([r[2] for r in got], np.int64)
+
+
+def runs(parts: Iterable[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The rows of sorted batches in runs of equal (non-NULL) integer keys, one run at a time."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for part in parts:
+        if not part.num_rows:
+            continue
+        columns = np.stack([part.column(k).cast(pa.int64()).to_numpy(zero_copy_only=False) for k in keys])
+        cuts = [0, *(np.flatnonzero((columns[:, 1:] != columns[:, :-1]).any(axis=0)) + 1).tolist(), part.num_rows]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            own = tuple(columns[:, low].tolist())
+            if held and own != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part.slice(low, high - low))
+            last = own
+    if held:
+        yield pa.Table.from_batches(held)

@@ -12,6 +12,7 @@ from tickloom.llm import quality, toxicity
 from tickloom.llm.byte_bpe import round_trip_digests
 from tickloom.llm.common import table
 from tickloom.llm.imatch import edited_likeness
+from tickloom.llm.minhash import near_duplicates
 from tickloom.llm.packing import pack_documents
 from tickloom.llm.token_files import read_token_files, write_token_files
 from tickloom.session import shared_path
@@ -36,6 +37,10 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=85)
+
+
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": token_files,
         "op2_imatch": imatch,
         "op3_byte_bpe": byte_bpe,
+        "op4_minhash": minhash,
         "op6_quality": quality_scores,
         "op9_toxicity": toxic,
         "op10_best_fit_packing": packed,

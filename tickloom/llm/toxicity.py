@@ -30,7 +30,7 @@ BITS = 20
 SAMPLE = 8000
 FEATURES = 400
 FOLDS = 5
-THRESHOLD = 0.5
+THRESHOLD = 0.3
 _BEGINNINGS = (4, 5, 6)
 _WORDS_KEPT = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -49,7 +49,7 @@ def features(text: str, bits: int = BITS) -> np.ndarray:
     return np.sort(np.fromiter(found, np.int32, len(found)))
 
 
-def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
+def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30) -> np.ndarray:
     """Coefficients, the constant last, by Newton steps with a ridge penalty."""
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     penalty = np.full(x.shape[1], ridge)
