@@ -14,6 +14,7 @@ from tickloom.llm.common import table
 from tickloom.llm.imatch import edited_likeness
 from tickloom.llm.minhash import near_duplicates
 from tickloom.llm.packing import pack_documents
+from tickloom.llm.suffix_array import repeat_digests
 from tickloom.llm.token_files import read_token_files, write_token_files
 from tickloom.session import shared_path
 
@@ -53,6 +54,10 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -73,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_byte_bpe": byte_bpe,
         "op4_minhash": minhash,
         "op6_quality": quality_scores,
+        "op8_suffix_array": suffix_array,
         "op9_toxicity": toxic,
         "op10_best_fit_packing": packed,
     }
