@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import quality, toxicity
+from tickloom.llm import embedding_join, quality, toxicity
 from tickloom.llm.byte_bpe import round_trip_digests
 from tickloom.llm.common import table
 from tickloom.llm.imatch import edited_likeness
@@ -42,6 +42,10 @@ def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=85)
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -77,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_imatch": imatch,
         "op3_byte_bpe": byte_bpe,
         "op4_minhash": minhash,
+        "op5_embedding_join": embeddings,
         "op6_quality": quality_scores,
         "op8_suffix_array": suffix_array,
         "op9_toxicity": toxic,
