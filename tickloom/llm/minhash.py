@@ -334,3 +334,18 @@ def near_duplicates(
             (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"),
         )
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents that near_duplicates() keeps: one of each component, and all without an id.
+
+    Rows that share an id are one document: it stays if any of its texts is kept.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    gone = (
+        found.where("doc_id IS NOT NULL")
+        .groupBy(F.col("doc_id").alias("_gone"))
+        .agg(F.bool_or("kept").alias("stays"))
+        .where("NOT stays")
+    )
+    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")

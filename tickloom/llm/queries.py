@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import embedding_join, quality, toxicity
+from tickloom.llm import embedding_join, quality, secret_scan, toxicity
 from tickloom.llm.byte_bpe import round_trip_digests
 from tickloom.llm.common import table
 from tickloom.llm.imatch import edited_likeness
@@ -58,6 +59,11 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "value", "start", F.length("value").alias("length"), "probability")
+
+
 def suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(table(spark, sf_dir, "documents"))
 
@@ -83,7 +89,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_minhash": minhash,
         "op5_embedding_join": embeddings,
         "op6_quality": quality_scores,
+        "op7_secret_scan": secrets,
         "op8_suffix_array": suffix_array,
         "op9_toxicity": toxic,
         "op10_best_fit_packing": packed,
+        "pipeline": corpus_pipeline.run,
     }
