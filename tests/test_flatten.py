@@ -11,12 +11,12 @@ from tickloom.sources import read_envelopes
 
 
 def test_only_trade_envelopes_become_rows(spark):
-    rows = envelopes(spark, ("trade", [item("AAPL", 150.25, 100.0, at(0))]), ("ping", []))
+    rows = envelopes(spark, ("trade", [item("KLM", 41.75, 30.0, at(0))]), ("ping", []))
     [row] = clock(flatten_trades(rows), "event_time").collect()
     assert row.asDict() == {
-        "symbol": "AAPL",
-        "price": 150.25,
-        "volume": 100.0,
+        "symbol": "KLM",
+        "price": 41.75,
+        "volume": 30.0,
         "event_time": "14:30:00",
     }
 

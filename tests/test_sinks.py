@@ -9,8 +9,18 @@ from pyspark.sql import types as T
 
 from helpers import BASE, at, plan_of, trades, volume_bars
 from tickloom.schema import FULL_BAR
-from tickloom.session import shared_path
-from tickloom.sinks import JdbcTable, ParquetTable, append_new, append_to_lake, publish
+from tickloom.session import remove_stored, settings, shared_path, store
+from tickloom.sinks import (
+    REJECT_KEY,
+    Appended,
+    JdbcTable,
+    ParquetTable,
+    append_new,
+    append_to_lake,
+    compact_lake,
+    publish,
+    reject_schema,
+)
 from tickloom.sources import read_lake
 
 
@@ -32,8 +42,8 @@ def volumes(spark, table):
 
 def test_a_replayed_batch_is_written_once(spark, bar_table):
     batch = volume_bars(spark, "A", [1, 2, 3])
-    assert append_new(batch, bar_table) == 3
-    assert append_new(batch, bar_table) == 3
+    assert append_new(batch, bar_table) == Appended(3, written=3)
+    assert append_new(batch, bar_table) == Appended(3, repeated=3)
     assert volumes(spark, bar_table) == [1.0, 2.0, 3.0]
 
 
@@ -52,7 +62,7 @@ def test_duplicates_within_a_batch_are_written_once(spark, bar_table):
 
 def test_an_empty_batch_touches_no_table(spark):
     table = MagicMock(time="window_start", key=("window_start", "symbol"))
-    assert append_new(volume_bars(spark, "A", []), table) == 0
+    assert append_new(volume_bars(spark, "A", []), table) == Appended()
     table.append.assert_not_called()
     table.between.assert_not_called()
 
@@ -64,13 +74,48 @@ def test_missing_key_columns_fail_the_write(spark, bar_table):
     assert volumes(spark, bar_table) == []
 
 
-def test_missing_key_columns_go_to_the_rejects(spark, bar_table):
-    schema = T.StructType([*FULL_BAR.fields, T.StructField("problems", T.StringType())])
-    rejects = ParquetTable(shared_path(spark, "rejects"), schema)
+@pytest.fixture
+def reject_table(spark):
+    return ParquetTable(shared_path(spark, "rejects"), reject_schema(FULL_BAR), REJECT_KEY)
+
+
+def test_missing_key_columns_go_to_the_rejects_once(spark, bar_table, reject_table):
     batch = volume_bars(spark, None, [1]).unionByName(volume_bars(spark, "A", [2]))
-    assert append_new(batch, bar_table, rejects=rejects) == 2
+    timeless = volume_bars(spark, "B", [3]).withColumn("window_start", F.lit(None).cast("timestamp"))
+    for batches, done in ((batch, Appended(2, 1, flawed=1)), (batch, Appended(2, repeated=1, flawed=1))):
+        assert append_new(batches, bar_table, rejects=reject_table) == done
+    for _ in range(2):
+        assert append_new(timeless, bar_table, rejects=reject_table) == Appended(1, flawed=1)
     assert volumes(spark, bar_table) == [2.0]
-    assert [row.problems for row in rejects.read(spark).collect()] == ["symbol missing"]
+    assert sorted(row.problems for row in reject_table.read(spark).collect()) == [
+        "symbol missing",
+        "window_start missing",
+    ]
+
+
+def test_other_values_under_a_stored_key_are_a_conflict(spark, bar_table, reject_table):
+    append_new(volume_bars(spark, "A", [1, 2]), bar_table)
+    changed = volume_bars(spark, "A", [1, 9, 3])
+    with pytest.raises(ValueError, match="1 rows have a key stored with other values"):
+        append_new(changed, bar_table)
+    assert volumes(spark, bar_table) == [1.0, 2.0]
+    for written, repeated in ((1, 1), (0, 2)):
+        done = append_new(changed, bar_table, rejects=reject_table)
+        assert done == Appended(3, written, repeated, conflicts=1)
+    assert volumes(spark, bar_table) == [1.0, 2.0, 3.0]
+    [lost] = reject_table.read(spark).collect()
+    assert (lost.total_volume, lost.problems) == (9.0, "key stored with other values")
+
+
+def test_rows_of_a_batch_that_share_a_key_and_differ(spark, bar_table, reject_table):
+    batch = volume_bars(spark, "A", [5]).unionByName(volume_bars(spark, "A", [4]))
+    assert append_new(batch, bar_table, rejects=reject_table) == Appended(2, 1, conflicts=1)
+    assert volumes(spark, bar_table) == [4.0]
+
+
+def test_a_repeat_that_differs_in_the_last_bits_is_no_conflict(spark, bar_table):
+    append_new(volume_bars(spark, "A", [0.1 + 0.2]), bar_table)
+    assert append_new(volume_bars(spark, "A", [0.3]), bar_table) == Appended(1, repeated=1)
 
 
 def test_write_time_is_stamped_on_request(spark):
@@ -93,26 +138,84 @@ def test_the_batch_is_cached_only_during_the_write(spark, bar_table):
 def test_only_the_days_of_the_batch_are_read_back(spark, bar_table):
     for day in range(4):
         append_new(volume_bars(spark, "A", [day], BASE + timedelta(days=day)), bar_table)
-    found = bar_table.between(spark, "2024-06-02 00:00:00", "2024-06-03 23:00:00")
-    plan = plan_of(found)
+    found = bar_table.between(spark, micros(at(-14.5 * 3600 + 86400)), micros(at(8.5 * 3600 + 86400 * 2)))
     assert sorted(row.total_volume for row in found.collect()) == [1.0, 2.0]
-    filters = plan[plan.index("PartitionFilters") :].splitlines()[0]
-    assert "on_day" in filters and "2024-06-02" in filters and "2024-06-03" in filters
+    # Only the folders of these days are listed.
+    assert {Path(f).parent.name for f in found.inputFiles()} == {"on_day=2024-06-02", "on_day=2024-06-03"}
+    assert bar_table.between(spark, micros(at(86400 * 50)), micros(at(86400 * 60))).collect() == []
+
+
+def micros(moment):
+    return round(moment.timestamp() * 1_000_000)
 
 
 def test_range_bounds_are_inclusive(spark, bar_table):
     append_new(volume_bars(spark, "A", [1, 2, 3]), bar_table)
-    found = bar_table.between(spark, "2024-06-01 14:30:00", "2024-06-01 14:31:00")
+    found = bar_table.between(spark, micros(at(0)), micros(at(60)))
     assert sorted(row.total_volume for row in found.collect()) == [1.0, 2.0]
 
 
-def test_a_big_batch_of_one_day_is_written_by_many_tasks(spark, bar_table, monkeypatch):
-    monkeypatch.setattr("tickloom.sinks.tables.ROWS_PER_FILE", 100)
-    batch = volume_bars(spark, "A", range(500))
-    append_new(batch, bar_table)
-    files = list(local(bar_table.path).rglob("*.parquet"))
+def test_a_big_batch_of_one_day_is_written_by_many_tasks(spark):
+    table = ParquetTable(shared_path(spark, "bars"), FULL_BAR, rows_per_file=100)
+    append_new(volume_bars(spark, "A", range(500)), table)
+    files = list(local(table.path).rglob("*.parquet"))
     assert 4 <= len(files) <= 6
-    assert volumes(spark, bar_table) == [float(v) for v in range(500)]
+    assert volumes(spark, table) == [float(v) for v in range(500)]
+
+
+def test_compaction_keeps_the_rows_and_leaves_few_files(spark, bar_table):
+    for day in range(3):
+        for minute in range(4):
+            first = BASE + timedelta(days=day, minutes=minute)
+            append_new(volume_bars(spark, "A", [10 * day + minute], first), bar_table)
+    before = volumes(spark, bar_table)
+    days = bar_table.days(spark)
+    assert [str(d) for d in days] == ["2024-06-01", "2024-06-02", "2024-06-03"]
+    bar_table.compact(spark, days[0], days[1])
+    assert volumes(spark, bar_table) == before
+    files = [len(list((local(bar_table.path) / f"on_day={d}").glob("*.parquet"))) for d in days]
+    assert files == [1, 1, 4]
+    bar_table.compact(spark, days[2] + timedelta(days=1), days[2] + timedelta(days=9))
+
+
+def test_latest_rows_come_from_the_newest_days(spark, bar_table):
+    for day in range(5):
+        append_new(volume_bars(spark, "A", [10 * day, 10 * day + 1], BASE + timedelta(days=day)), bar_table)
+    found = bar_table.latest(spark, "window_start DESC, symbol", 3)
+    assert [row.total_volume for row in found.collect()] == [41.0, 40.0, 31.0]
+    assert {Path(f).parent.name for f in found.inputFiles()} == {"on_day=2024-06-05", "on_day=2024-06-04"}
+    other = bar_table.latest(spark, "total_volume", 2)
+    assert [row.total_volume for row in other.collect()] == [0.0, 1.0]
+    assert bar_table.latest(spark, "window_start DESC", 99).count() == 10
+
+
+def test_days_are_utc_in_any_session(spark):
+    with settings(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"}):
+        table = ParquetTable(shared_path(spark, "bars"), FULL_BAR)
+        hours = [volume_bars(spark, "A", [h], BASE + timedelta(hours=h)) for h in range(0, 48, 6)]
+        for bars in hours:
+            append_new(bars, table)
+            assert append_new(bars, table).repeated == 1
+        assert [str(d) for d in table.days(spark)] == ["2024-06-01", "2024-06-02", "2024-06-03"]
+        low, high = micros(at(9.5 * 3600)), micros(at(33.5 * 3600 - 1))
+        assert table.between(spark, low, high).count() == 4
+
+
+def test_stored_tables_are_removed_on_request(spark):
+    remove_stored(spark)
+    table = store(volume_bars(spark, "A", [1]), "bars")
+    file = table.inputFiles()[0]
+    assert local(file.replace("file://", "")).exists()
+    assert remove_stored(spark) == 1 and remove_stored(spark) == 0
+    assert not local(file.replace("file://", "")).exists()
+
+
+def test_a_shared_folder_must_be_named():
+    session = MagicMock()
+    session.conf.get.return_value = None
+    session.sparkContext.getCheckpointDir.return_value = None
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_path(session, "x")
 
 
 def test_append_without_a_known_size(spark, bar_table):
@@ -152,13 +255,13 @@ def test_jdbc_append(rows, tasks):
 
 def test_jdbc_range_is_read_in_slices(spark):
     session = MagicMock()
-    JDBC.between(session, "2024-06-01 00:00:00", "2024-06-01 10:00:00")
+    JDBC.between(session, micros(at(0)), micros(at(3600)))
     options = session.read.format.return_value.options
     assert options.call_args.kwargs["dbtable"] == "trades_aggregated_1min"
     options.return_value.options.assert_called_once_with(
         partitionColumn="window_start",
-        lowerBound="2024-06-01 00:00:00",
-        upperBound="2024-06-01 10:00:00",
+        lowerBound="2024-06-01T14:30:00+00:00",
+        upperBound="2024-06-01T15:30:00+00:00",
         numPartitions=16,
     )
 
@@ -181,18 +284,18 @@ def test_keyed_append_to_a_database_reads_keys_then_appends(spark):
     table.append.side_effect = lambda df, rows: written.extend(df.collect())
     append_new(volume_bars(spark, "A", [1, 2]), table)
     _, low, high = table.between.call_args.args
-    assert (low, high) == ("2024-06-01 14:30:00", "2024-06-01 14:31:00")
+    assert (low, high) == (micros(at(0)), micros(at(60)))
     assert [row.total_volume for row in written] == [2.0]
 
 
 def test_publish_asks_for_a_kafka_write():
     df = MagicMock()
-    publish(df, "host:9092", "trades", **{"kafka.acks": "all"})
+    publish(df, "host:9092", "ticks", **{"kafka.acks": "all"})
     df.select.assert_called_once_with("value")
     writer = df.select.return_value.write
     writer.format.assert_called_once_with("kafka")
     first = writer.format.return_value.options
-    first.assert_called_once_with(**{"kafka.bootstrap.servers": "host:9092", "topic": "trades"})
+    first.assert_called_once_with(**{"kafka.bootstrap.servers": "host:9092", "topic": "ticks"})
     first.return_value.options.assert_called_once_with(**{"kafka.acks": "all"})
 
 
@@ -244,9 +347,35 @@ def test_lake_range_reads_only_its_hours(spark):
     plan = plan_of(found)
     assert sorted(row.price for row in found.collect()) == [2.0, 3.0, 4.0]
     filters = plan[plan.index("PartitionFilters") :].splitlines()[0]
-    assert "2024060115" in filters and "2024060117" in filters
-    read = found.select(F.input_file_name().alias("f")).distinct().collect()
-    assert all("hour=15" in row.f or "hour=16" in row.f for row in read)
+    assert "year" in filters and "hour" in filters
+    assert {Path(f).parent.name for f in found.inputFiles()} == {"hour=15", "hour=16"}
+    assert sorted(row.price for row in read_lake(spark, path, start).collect())[0] == 2.0
+    assert read_lake(spark, path, start, datetime(2024, 8, 1)).count() == 18
+    assert read_lake(spark, path, datetime(2025, 1, 1), datetime(2025, 1, 2)).count() == 0
+
+
+def test_lake_hours_are_utc_in_any_session(spark):
+    rows = [("A", float(i), 1.0, at(3600 * i - 1800)) for i in range(48)]
+    with settings(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"}):
+        path = shared_path(spark, "lake")
+        append_to_lake(trades(spark, *rows), path)
+        day = datetime(2024, 6, 2)
+        for start, end, count in ((day, day + timedelta(days=1), 24), (None, day, 10), (day, None, 38)):
+            assert read_lake(spark, path, start, end).count() == count
+        assert read_lake(spark, path, day - timedelta(days=3), day + timedelta(days=3)).count() == 48
+
+
+def test_lake_compaction(spark):
+    path = shared_path(spark, "lake")
+    rows = trades(spark, ("A", 1.0, 2.0, at(0)), ("B", 3.0, 4.0, at(3600)))
+    for _ in range(3):
+        append_to_lake(rows, path)
+    compact_lake(spark, path, datetime(2024, 6, 1, 14), datetime(2024, 6, 1, 15))
+    hours = [len(list((local(path) / f"year=2024/month=6/day=1/hour={h}").glob("*.parquet"))) for h in (14, 15)]
+    assert hours == [1, 3]
+    assert sorted(read_lake(spark, path).collect()) == sorted(rows.collect() * 3)
+    with pytest.raises(ValueError, match="full hours"):
+        compact_lake(spark, path, datetime(2024, 6, 1, 14, 1), datetime(2024, 6, 1, 15))
 
 
 def test_lake_range_in_another_zone(spark):

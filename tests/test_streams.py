@@ -7,11 +7,11 @@ import pytest
 
 from helpers import BASE, at, clock, envelopes, item, trades
 from tickloom.operators import bars_1min, bars_5min, first_messages, flatten_trades, volume_spikes
-from tickloom.operators.wire import decode_messages, encode_messages
+from tickloom.operators.wire import parse_json_messages
 from tickloom.plans import start_flow
-from tickloom.schema import ANOMALY, ENVELOPE_AVRO, FULL_BAR, SHORT_BAR, TRADE
+from tickloom.schema import ANOMALY, FULL_BAR, SHORT_BAR, TRADE
 from tickloom.session import STREAM_SETTINGS, shared_path
-from tickloom.sinks import ParquetTable, lake_stream
+from tickloom.sinks import REJECT_KEY, Appended, ParquetTable, lake_stream, reject_schema
 from tickloom.sources import envelope_files, kafka_stream, kafka_topic, read_lake
 from tickloom.streaming import (
     append_batches,
@@ -209,15 +209,15 @@ def test_flow_without_lake_runs_two_queries(spark):
     assert len(queries) == 2 and all(q.exception() is None for q in queries)
 
 
-def test_flow_from_framed_messages(spark):
-    """Decode, flatten and aggregate in one streaming plan."""
+def test_flow_from_messages(spark):
+    """Parse, flatten and aggregate in one streaming plan."""
     path = shared_path(spark, "messages")
     data = [item("A", 10.0, 2.0, at(5)), item("A", 20.0, 2.0, at(130))]
-    encode_messages(envelopes(spark, ("trade", data)), ENVELOPE_AVRO, 1).write.parquet(path)
-    stream = spark.readStream.schema("value binary").parquet(path)
+    envelopes(spark, ("trade", data)).selectExpr("to_json(struct(*)) AS value").write.parquet(path)
+    stream = spark.readStream.schema("value string").parquet(path)
     seen = []
     run(
-        bars_1min(flatten_trades(decode_messages(stream, ENVELOPE_AVRO))),
+        bars_1min(flatten_trades(parse_json_messages(stream))),
         lambda batch, _: seen.extend(batch.collect()),
         shared_path(spark, "progress"),
     )
@@ -309,20 +309,81 @@ def test_first_messages_of_a_stream(spark):
     assert len(seen) == 2
 
 
-def test_waiting_for_any_stops_the_rest_and_raises(spark):
+def failing(batch, batch_id):
+    raise RuntimeError("sink is gone")
+
+
+def test_waiting_for_any_stops_the_rest_of_the_flow_only(spark):
     arrivals = Arrivals(spark)
     arrivals.add(("A", 1.0, 1.0, at(0)))
+    foreign = start_query(arrivals.stream(), lambda *_: None, shared_path(spark, "progress"))
+    steady = start_query(arrivals.stream(), lambda *_: None, shared_path(spark, "progress"))
+    broken = start_query(arrivals.stream(), failing, shared_path(spark, "progress"))
+    try:
+        with pytest.raises(Exception, match="sink is gone"):
+            wait_for_any([steady, broken])
+        assert not steady.isActive and foreign.isActive
+    finally:
+        foreign.stop()
 
-    def fail(batch, batch_id):
-        raise RuntimeError("sink is gone")
 
-    spark.streams.resetTerminated()
+def test_waiting_for_all_sees_a_failure_behind_a_running_query(spark):
+    arrivals = Arrivals(spark)
+    arrivals.add(("A", 1.0, 1.0, at(0)))
     steady = start_query(arrivals.stream(), lambda *_: None, shared_path(spark, "progress"))
-    start_query(arrivals.stream(), fail, shared_path(spark, "progress"))
+    broken = start_query(arrivals.stream(), failing, shared_path(spark, "progress"))
     with pytest.raises(Exception, match="sink is gone"):
-        wait_for_any(spark)
-    assert not steady.isActive and not spark.streams.active
-    spark.streams.resetTerminated()
+        wait_for_all([steady, broken])
+    assert not steady.isActive
+
+
+def test_queries_need_a_checkpoint_and_writers_keep_their_sink(spark):
+    arrivals = Arrivals(spark)
+    arrivals.add(("A", 1.0, 1.0, at(0)))
+    with pytest.raises(ValueError, match="checkpoint"):
+        start_query(arrivals.stream(), "parquet", path=shared_path(spark, "x"))
+    writer = lake_stream(arrivals.stream(), shared_path(spark, "lake"))
+    for given in ({"sink": "console"}, {"mode": "update"}):
+        with pytest.raises(ValueError, match="own sink and mode"):
+            start_query(writer, checkpoint=shared_path(spark, "progress"), **given)
+
+
+def test_an_empty_batch_ends_before_the_spikes(spark, monkeypatch):
+    looked = []
+    monkeypatch.setattr("tickloom.streaming.batches.volume_spikes", lambda *a: looked.append(a))
+    bars = ParquetTable(shared_path(spark, "bars"), FULL_BAR)
+    anomalies = ParquetTable(shared_path(spark, "anomalies"), ANOMALY)
+    empty = bars_1min(trades(spark, ("A", 1.0, 1.0, None)))
+    for table in (bars, None):
+        write_bars_and_spikes(table, anomalies)(empty, 0)
+    assert not looked
+
+
+def test_batches_are_reported(spark):
+    heard = []
+    bars = ParquetTable(shared_path(spark, "bars"), FULL_BAR)
+    anomalies = ParquetTable(shared_path(spark, "anomalies"), ANOMALY)
+    rows = [("A", 1.0, v, at(60 * i)) for i, v in enumerate([1.0, 1.0, 1.0, 90.0])]
+    write = write_bars_and_spikes(bars, anomalies, salts=2, report=lambda *said: heard.append(said))
+    write(bars_1min(trades(spark, *rows)), 7)
+    assert heard == [(7, "bars", Appended(4, 4)), (7, "anomalies", Appended(1, 1))]
+
+
+def test_a_trade_without_symbol_does_not_end_the_flow(spark):
+    items = [item(None, 1.0, 1.0, at(0)), item("A", 1.0, 1.0, at(1)), item("A", 1.0, 1.0, at(700))]
+    path = message_folder(spark, [("trade", items)])
+    tables = {name: ParquetTable(shared_path(spark, name), FULL_BAR) for name in ("minute_bars",)}
+    tables["five_minute_bars"] = ParquetTable(shared_path(spark, "five"), SHORT_BAR)
+    tables["anomalies"] = ParquetTable(shared_path(spark, "anomalies"), ANOMALY)
+    for name, schema in (("minute_rejects", FULL_BAR), ("five_minute_rejects", SHORT_BAR)):
+        tables[name] = ParquetTable(shared_path(spark, name), reject_schema(schema), REJECT_KEY)
+    queries = start_flow(
+        envelope_files(spark, path), shared_path(spark, "progress"), trigger=ONCE, state_partitions=2, **tables
+    )
+    wait_for_all(queries)
+    assert [r.symbol for r in tables["minute_bars"].read(spark).collect()] == ["A"]
+    assert [r.problems for r in tables["minute_rejects"].read(spark).collect()] == ["symbol missing"]
+    assert tables["five_minute_rejects"].read(spark).count() == 5
 
 
 # Kafka: the connector is not installed here, so only what Spark is asked for is checked.
@@ -330,11 +391,11 @@ def test_waiting_for_any_stops_the_rest_and_raises(spark):
 
 def test_kafka_stream_options():
     session = MagicMock()
-    kafka_stream(session, "host:9092", "trades", max_offsets=500, min_partitions=64, failOnDataLoss="false")
+    kafka_stream(session, "host:9092", "ticks", max_offsets=500, min_partitions=64, failOnDataLoss="false")
     session.readStream.format.assert_called_once_with("kafka")
     first = session.readStream.format.return_value.options
     first.assert_called_once_with(
-        **{"kafka.bootstrap.servers": "host:9092", "subscribe": "trades", "startingOffsets": "latest"}
+        **{"kafka.bootstrap.servers": "host:9092", "subscribe": "ticks", "startingOffsets": "latest"}
     )
     bounded = first.return_value.option
     bounded.assert_called_once_with("maxOffsetsPerTrigger", 500)
@@ -343,12 +404,12 @@ def test_kafka_stream_options():
 
 def test_kafka_topic_reads_from_the_start_by_default():
     session = MagicMock()
-    kafka_topic(session, "host:9092", "trades")
+    kafka_topic(session, "host:9092", "ticks")
     session.read.format.assert_called_once_with("kafka")
     session.read.format.return_value.options.assert_called_once_with(
         **{
             "kafka.bootstrap.servers": "host:9092",
-            "subscribe": "trades",
+            "subscribe": "ticks",
             "startingOffsets": "earliest",
             "endingOffsets": "latest",
         }

@@ -3,6 +3,7 @@ from tickloom.functions.columns import (
     hour_parts,
     ratio,
     spans,
+    utc_day,
     vwap,
     wire_body,
     wire_header,
@@ -13,6 +14,7 @@ __all__ = [
     "hour_parts",
     "ratio",
     "spans",
+    "utc_day",
     "vwap",
     "wire_body",
     "wire_header",

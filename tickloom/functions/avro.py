@@ -1,265 +1,72 @@
-"""Avro bodies to columns and back.
+"""Avro bodies to columns and back, by Spark's own from_avro and to_avro.
 
-Spark's own from_avro / to_avro do the work wherever the spark-avro package is loaded. The
-Arrow-batched functions below stand in for them elsewhere. They know the few Avro types
-that messages may use: six primitives, records, arrays and unions with null.
+They come with the spark-avro package, which must be on the session's class path. There is no
+stand-in: without it, decoding and encoding fail at once.
 """
 
 from __future__ import annotations
 
 import json
-import struct
-import sys
-from collections.abc import Callable
-from functools import reduce
-from operator import or_
 from typing import Any
 
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Ship this module's helpers inside the functions, so executors need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# Avro primitives with their Spark and Arrow counterparts.
+# Avro primitives and their columns.
 PRIMITIVES = {
-    "string": (T.StringType(), pa.string()),
-    "int": (T.IntegerType(), pa.int32()),
-    "long": (T.LongType(), pa.int64()),
-    "float": (T.FloatType(), pa.float32()),
-    "double": (T.DoubleType(), pa.float64()),
-    "boolean": (T.BooleanType(), pa.bool_()),
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
 }
 
-FIXED_WIDTH = {"float": ("<f", 4), "double": ("<d", 8)}
-
 
-def column_type(avro: Any) -> tuple[T.DataType, pa.DataType]:
-    """The (Spark, Arrow) type of an Avro declaration; ValueError if it has none.
+def column_type(avro: Any) -> T.DataType:
+    """The column type of an Avro declaration; ValueError where messages may not use it.
 
-    Every field is nullable, and of a union the first branch that is not null counts.
+    Every field is nullable. Of a union, one branch besides null is allowed.
     """
     if isinstance(avro, list):
         branches = [branch for branch in avro if branch != "null"]
-        if branches:
+        if len(branches) == 1:
             return column_type(branches[0])
     elif isinstance(avro, str):
         if avro in PRIMITIVES:
             return PRIMITIVES[avro]
     elif avro.get("type") == "array":
-        spark_item, arrow_item = column_type(avro["items"])
-        return T.ArrayType(spark_item), pa.list_(arrow_item)
+        return T.ArrayType(column_type(avro["items"]))
     elif avro.get("type") == "record":
-        fields = [(field["name"], *column_type(field["type"])) for field in avro["fields"]]
-        return (
-            T.StructType([T.StructField(name, kind) for name, kind, _ in fields]),
-            pa.struct([(name, kind) for name, _, kind in fields]),
-        )
+        fields = [T.StructField(f["name"], column_type(f["type"])) for f in avro["fields"]]
+        return T.StructType(fields)
     raise ValueError(f"Avro type without a column type: {avro}")
 
 
 def spark_schema(schema_json: str) -> T.StructType:
     """The columns of a record declared as Avro JSON text."""
-    return column_type(json.loads(schema_json))[0]
+    return column_type(json.loads(schema_json))
 
 
-def jvm_codec_fits(spark: SparkSession, schema_json: str) -> bool:
-    """Whether from_avro can serve this declaration: spark-avro is on the session's class
-    path, and no union has several branches besides null, which from_avro makes a struct."""
-    if _has_wide_union(json.loads(schema_json)):
-        return False
+def require_avro(spark: SparkSession) -> None:
+    """Fail plainly where spark-avro is missing."""
     try:
-        spark.range(0).selectExpr("from_avro(cast(null as binary), '\"string\"', map())")
-    except PySparkException:
-        return False
-    return True
-
-
-def _has_wide_union(avro: Any) -> bool:
-    if isinstance(avro, list):
-        branches = [branch for branch in avro if branch != "null"]
-        return len(branches) > 1 or any(_has_wide_union(branch) for branch in branches)
-    if isinstance(avro, dict):
-        inner = [avro["items"]] if "items" in avro else [f["type"] for f in avro.get("fields", [])]
-        return any(_has_wide_union(part) for part in inner)
-    return False
-
-
-def decoded(body: Column, schema_json: str, reader_json: str, on_error: str, jvm: bool) -> Column:
-    """An Avro body as a struct. Undecodable input fails the job, or with 'skip' gives NULL."""
-    spark_type, arrow_type = column_type(json.loads(reader_json))
-    if jvm:
-        from pyspark.sql.avro.functions import from_avro
-
-        mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
-        struct_ = from_avro(body, schema_json, {"mode": mode, "avroSchema": reader_json})
-        # PERMISSIVE answers with a struct of NULLs; turn that into one NULL.
-        present = reduce(or_, [struct_[name].isNotNull() for name in spark_type.names])
-        if on_error == "skip":
-            return F.when(body.isNotNull() & present, struct_)
-        return F.when(body.isNotNull(), struct_).otherwise(F.raise_error(F.lit("NULL message")))
+        spark.range(0).selectExpr("from_avro(cast(null as binary), '\"string\"', map())").schema
+    except PySparkException as error:
+        raise RuntimeError("Avro messages need Spark's spark-avro package on the class path") from error
 
-    read = _reader(json.loads(schema_json))
 
-    @F.arrow_udf(spark_type)
-    def decode(bodies: pa.Array) -> pa.Array:
-        rows = []
-        for body_bytes in bodies.to_pylist():
-            try:
-                rows.append(read(body_bytes, 0)[0])
-            except (TypeError, ValueError, IndexError, struct.error) as error:
-                if on_error == "fail":
-                    raise ValueError(f"undecodable message: {error}") from error
-                rows.append(None)
-        return pa.array(rows, type=arrow_type)
+def decoded(body: Column, schema_json: str, reader_json: str, permissive: bool) -> Column:
+    """An Avro body as a struct. Undecodable input fails the job, or gives a struct of NULLs."""
+    from pyspark.sql.avro.functions import from_avro
 
-    return decode(body)
+    mode = "PERMISSIVE" if permissive else "FAILFAST"
+    return from_avro(body, schema_json, {"mode": mode, "avroSchema": reader_json})
 
 
-def encoded(record: Column, schema_json: str, jvm: bool) -> Column:
+def encoded(record: Column, schema_json: str) -> Column:
     """A struct as an Avro body."""
-    if jvm:
-        from pyspark.sql.avro.functions import to_avro
-
-        return to_avro(record, schema_json)
-
-    avro = json.loads(schema_json)
-
-    @F.arrow_udf(T.BinaryType())
-    def encode(records: pa.Array) -> pa.Array:
-        return pa.array(_written(avro, records), type=pa.binary())
-
-    return encode(record)
-
-
-def _read_long(data: bytes, at: int) -> tuple[int, int]:
-    byte = data[at]
-    value, shift = byte & 0x7F, 7
-    while byte > 0x7F:
-        at += 1
-        byte = data[at]
-        value |= (byte & 0x7F) << shift
-        shift += 7
-    return (value >> 1) ^ -(value & 1), at + 1
-
-
-def _write_long(value: int) -> bytes:
-    rest = (value << 1) ^ (value >> 63)
-    out = bytearray()
-    while rest > 0x7F:
-        out.append(rest & 0x7F | 0x80)
-        rest >>= 7
-    out.append(rest)
-    return bytes(out)
-
-
-def _reader(avro: Any) -> Callable[[bytes, int], tuple[Any, int]]:
-    """A function (data, offset) -> (value, next offset) for one Avro declaration."""
-    kind = avro if isinstance(avro, str) else "union" if isinstance(avro, list) else avro["type"]
-    if kind in ("int", "long"):
-        return _read_long
-    if kind in FIXED_WIDTH:
-        layout, size = FIXED_WIDTH[kind]
-        return lambda data, at: (struct.unpack_from(layout, data, at)[0], at + size)
-    if kind == "boolean":
-        return lambda data, at: (data[at] == 1, at + 1)
-    if kind == "null":
-        return lambda data, at: (None, at)
-
-    if kind == "string":
-
-        def read_string(data, at):
-            length, at = _read_long(data, at)
-            if not 0 <= length <= len(data) - at:
-                raise ValueError("string runs past the end")
-            return data[at : at + length].decode("utf-8"), at + length
-
-        return read_string
-
-    if kind == "union":
-        branches = [_reader(branch) for branch in avro]
-        kept = next(i for i, branch in enumerate(avro) if branch != "null")
-
-        def read_union(data, at):
-            branch, at = _read_long(data, at)
-            if not 0 <= branch < len(branches):
-                raise ValueError("no such union branch")
-            value, at = branches[branch](data, at)
-            return (value if branch == kept else None), at
-
-        return read_union
-
-    if kind == "array":
-        read_item = _reader(avro["items"])
-
-        def read_array(data, at):
-            items = []
-            count, at = _read_long(data, at)
-            while count:
-                if count < 0:  # a negative count is followed by the block's size in bytes
-                    count = -count
-                    _, at = _read_long(data, at)
-                for _ in range(count):
-                    item, at = read_item(data, at)
-                    items.append(item)
-                count, at = _read_long(data, at)
-            return items, at
-
-        return read_array
-
-    fields = [(field["name"], _reader(field["type"])) for field in avro["fields"]]
-
-    def read_record(data, at):
-        record = {}
-        for name, read in fields:
-            record[name], at = read(data, at)
-        return record, at
-
-    return read_record
-
-
-def _written(avro: Any, values: pa.Array) -> list[bytes]:
-    """The Avro bytes of each value of an Arrow column, worked out column by column."""
-    if isinstance(avro, list):
-        null = _write_long(avro.index("null")) if "null" in avro else None
-        kept = next(i for i, branch in enumerate(avro) if branch != "null")
-        if null is None or not values.null_count:
-            return [_write_long(kept) + piece for piece in _written(avro[kept], values)]
-        present = iter(_written(avro[kept], values.drop_null()))
-        return [
-            _write_long(kept) + next(present) if valid else null
-            for valid in values.is_valid().to_pylist()
-        ]
-
-    if values.null_count:
-        raise ValueError(f"NULL where the Avro type {avro} has none")
-    kind = avro if isinstance(avro, str) else avro["type"]
-
-    if kind == "record":
-        columns = [
-            _written(field["type"], values.field(field["name"])) for field in avro["fields"]
-        ]
-        return [b"".join(pieces) for pieces in zip(*columns)]
-    if kind == "array":
-        items = _written(avro["items"], values.flatten())
-        rows, at = [], 0
-        for length in values.value_lengths().to_pylist():
-            head = _write_long(length) if length else b""
-            rows.append(head + b"".join(items[at : at + length]) + b"\x00")
-            at += length
-        return rows
+    from pyspark.sql.avro.functions import to_avro
 
-    plain = values.to_numpy(zero_copy_only=False).tolist()
-    if kind in ("int", "long"):
-        return [_write_long(value) for value in plain]
-    if kind in FIXED_WIDTH:
-        layout, _ = FIXED_WIDTH[kind]
-        return [struct.pack(layout, value) for value in plain]
-    if kind == "boolean":
-        return [b"\x01" if value else b"\x00" for value in plain]
-    texts = [value.encode("utf-8") for value in plain]
-    return [_write_long(len(text)) + text for text in texts]
+    return to_avro(record, schema_json)

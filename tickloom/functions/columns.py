@@ -23,13 +23,19 @@ def vwap(price: Column, volume: Column) -> Column:
     return ratio(F.sum(price * volume), F.sum(volume))
 
 
+def utc_day(event_time: str) -> Column:
+    """The UTC date of a timestamp, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(event_time) / 86_400).cast("int"))
+
+
 def hour_parts(event_time: str) -> dict[str, Column]:
-    """The lake's partition columns for an event-time column, in layout order."""
+    """The lake's partition columns for an event-time column, in layout order and in UTC."""
+    day = utc_day(event_time)
     return {
-        "year": F.year(event_time),
-        "month": F.month(event_time),
-        "day": F.dayofmonth(event_time),
-        "hour": F.hour(event_time),
+        "year": F.year(day),
+        "month": F.month(day),
+        "day": F.dayofmonth(day),
+        "hour": F.pmod(F.floor(F.unix_seconds(event_time) / 3_600), F.lit(24)).cast("int"),
     }
 
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from datetime import timedelta
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +15,8 @@ FIVE_MINUTES = timedelta(minutes=5)
 DELAY_1MIN = timedelta(seconds=10)
 DELAY_5MIN = timedelta(seconds=30)
 
-# Panes are merged with two columns per pane, so very fine slides keep the direct plan. A
-# block holds more starts than a window has panes, so that no window spans three blocks.
-MOST_PANES = 32
+# A block of window starts holds at least this many, and never fewer than a window has panes, so
+# that no window spans three blocks.
 PANES_PER_BLOCK = 64
 
 
@@ -46,7 +43,7 @@ def bars(
         trades = trades.withWatermark("event_time", spans(delay))
     if slide is None or slide == width:
         return _direct(trades, F.window("event_time", spans(width)), extremes)
-    whole = width % slide == timedelta(0) and width // slide <= MOST_PANES
+    whole = width % slide == timedelta(0)
     if panes and whole and not trades.isStreaming:
         return _from_panes(trades, width, slide, extremes)
     return _direct(trades, F.window("event_time", spans(width), spans(slide)), extremes)
@@ -57,9 +54,12 @@ def bars_1min(trades: DataFrame) -> DataFrame:
     return bars(trades, MINUTE, delay=DELAY_1MIN)
 
 
-def bars_5min(trades: DataFrame) -> DataFrame:
-    """5-minute bars, one starting every minute; a stream waits 30 seconds for late trades."""
-    return bars(trades, FIVE_MINUTES, MINUTE, delay=DELAY_5MIN, extremes=False)
+def bars_5min(trades: DataFrame, panes: bool = True) -> DataFrame:
+    """5-minute bars, one starting every minute; a stream waits 30 seconds for late trades.
+
+    `panes=False` suits tables with hardly more than a trade per symbol and minute.
+    """
+    return bars(trades, FIVE_MINUTES, MINUTE, delay=DELAY_5MIN, extremes=False, panes=panes)
 
 
 def _layout(extremes: bool) -> list[Column | str]:
@@ -121,29 +121,26 @@ def _from_panes(
     # the block it lies in and, near a block's edge, also to the one before. So a window finds
     # all its panes in one place, and copying panes into windows needs no shuffle: explode()
     # keeps the partitioning, where a sliding window() would lose it.
+    block = step * max(PANES_PER_BLOCK, count)
     earliest = F.col("pane") - F.lit(step * (count - 1))
-    blocks = F.array_distinct(F.array(_block(earliest, step), _block(F.col("pane"), step)))
+    blocks = F.array_distinct(F.array(_block(earliest, block), _block(F.col("pane"), block)))
     starts = F.sequence(earliest, F.col("pane"), F.lit(step))
     placed = (
         panes.withColumn("block", F.explode(blocks))
         .repartition("symbol", "block")
-        .select("*", F.posexplode(starts).alias("position", "start"))
-        .where(_block(F.col("start"), step) == F.col("block"))
+        .select("*", F.explode(starts).alias("start"))
+        .where(_block(F.col("start"), block) == F.col("block"))
     )
 
-    # Each window meets every pane position at most once, so max() just picks its value.
-    # Merging the means around the window's own mean keeps the variance stable.
-    def at(position: int, name: str) -> Column:
-        value = F.when(F.col("position") == position, F.col(name))
-        return F.max(value).alias(f"{name}_{position}")
-
+    # A window has at most width/slide panes, so the list of their means is bounded. It is folded
+    # around the window's own mean, which keeps the variance stable.
+    pane = F.when(F.col("prices") > 0, F.struct("prices", "mean", "variance"))
     measures = [
         F.sum("volume").alias("total_volume"),
         F.sum("turnover").alias("turnover"),
         F.sum("price_sum").alias("price_sum"),
         F.sum("prices").alias("prices"),
-        F.sum(F.col("variance") * F.col("prices")).alias("inside"),
-        *[at(position, name) for name in ("mean", "prices") for position in range(count)],
+        F.collect_list(pane).alias("panes"),
     ]
     if extremes:
         measures += [
@@ -156,17 +153,12 @@ def _from_panes(
         .agg(*measures)
         .withColumn("avg_price", ratio(F.col("price_sum"), F.col("prices")))
     )
-    between = reduce(
-        add,
-        [
-            F.coalesce(
-                F.col(f"prices_{i}") * F.pow(F.col(f"mean_{i}") - F.col("avg_price"), F.lit(2)),
-                F.lit(0.0),
-            )
-            for i in range(count)
-        ],
+    squares = F.aggregate(
+        "panes",
+        F.lit(0.0),
+        lambda total, p: total + p["prices"] * (p["variance"] + F.pow(p["mean"] - F.col("avg_price"), F.lit(2))),
     )
-    spread = (F.col("inside") + between) / (F.col("prices") - 1)
+    spread = squares / (F.col("prices") - 1)
     ends = F.col("start") + F.lit(width // timedelta(microseconds=1))
     return merged.withColumns(
         {
@@ -179,6 +171,6 @@ def _from_panes(
     ).select(*_layout(extremes))
 
 
-def _block(start: Column, step: int) -> Column:
+def _block(start: Column, length: int) -> Column:
     """The block of window starts that a moment in microseconds lies in."""
-    return F.floor(start / F.lit(step * PANES_PER_BLOCK))
+    return F.floor(start / F.lit(length))

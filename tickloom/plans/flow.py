@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators import bars_1min, bars_5min, flatten_trades, volume_spikes
-from tickloom.operators.spikes import FACTOR
+from tickloom.operators.spikes import FACTOR, SALTS
 from tickloom.session import store
 from tickloom.sinks import JdbcTable, ParquetTable, lake_stream
 from tickloom.streaming import append_batches, start_query, write_bars_and_spikes
+from tickloom.streaming.batches import Report
 
 Table = JdbcTable | ParquetTable
 
@@ -27,10 +28,16 @@ def start_flow(
     trigger: dict[str, Any] | None = None,
     state_partitions: int | None = None,
     stamped: bool = False,
+    factor: float = FACTOR,
+    salts: int = SALTS,
+    minute_rejects: Table | None = None,
+    five_minute_rejects: Table | None = None,
+    report: Report | None = None,
 ) -> list[StreamingQuery]:
     """Start the flow on a stream of envelopes, from Kafka or from files.
 
-    Three queries: raw trades to the lake (if a folder is given), 1-minute bars together
+    Bars without a symbol, and bars that contradict stored ones, go to the rejects tables (see
+    append_new); without such a table they end the flow. Three queries: raw trades to the lake (if a folder is given), 1-minute bars together
     with their anomalies, and 5-minute bars. Each has its own checkpoint below
     `checkpoints`, so a restarted flow goes on where it stopped, with its window state.
     """
@@ -44,7 +51,9 @@ def start_flow(
     queries.append(
         start_query(
             bars_1min(trades),
-            write_bars_and_spikes(minute_bars, anomalies, stamped=stamped),
+            write_bars_and_spikes(
+                minute_bars, anomalies, factor, stamped, salts, minute_rejects, report
+            ),
             checkpoint=f"{checkpoints}/bars_1min",
             **shared,
         )
@@ -52,7 +61,13 @@ def start_flow(
     queries.append(
         start_query(
             bars_5min(trades),
-            append_batches(five_minute_bars, "ingested_at" if stamped else None),
+            append_batches(
+                five_minute_bars,
+                "ingested_at" if stamped else None,
+                five_minute_rejects,
+                report,
+                "five_minute_bars",
+            ),
             checkpoint=f"{checkpoints}/bars_5min",
             **shared,
         )
@@ -71,13 +86,14 @@ def spikes_of_trades(
     trades: DataFrame,
     make_bars: Callable[[DataFrame], DataFrame] = bars_1min,
     factor: float = FACTOR,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Volume spikes straight from a table of trades, all bars counting as one batch.
 
     The columns of the bars that matter are stored in the shared folder first, so the
-    trades are scanned and aggregated once.
+    trades are scanned and aggregated once; remove_stored() deletes the copy.
     """
     bars = make_bars(trades).select(
         "symbol", "window_start", "window_end", "total_volume", "avg_price", "vwap"
     )
-    return volume_spikes(store(bars, "bars"), factor)
+    return volume_spikes(store(bars, "bars"), factor, salts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import types as T
 
 # Field names and types of the wire envelope and of the stored tables.
@@ -100,16 +102,14 @@ ENVELOPE_AVRO = """
 ]}
 """
 
+
+
+def _without_conditions(avro: str) -> str:
+    declared = json.loads(avro)
+    item = declared["fields"][1]["type"]["items"]
+    item["fields"] = [field for field in item["fields"] if field["name"] != "c"]
+    return json.dumps(declared)
+
+
 # The same record as readers that skip the conditions list declare it.
-SLIM_ENVELOPE_AVRO = """
-{"type": "record", "name": "FinancialData", "namespace": "com.financial", "fields": [
-  {"name": "type", "type": "string"},
-  {"name": "data", "type": {"type": "array", "items":
-    {"type": "record", "name": "TradeData", "fields": [
-      {"name": "p", "type": "double"},
-      {"name": "s", "type": "string"},
-      {"name": "t", "type": "long"},
-      {"name": "v", "type": "double"}
-    ]}}}
-]}
-"""
+SLIM_ENVELOPE_AVRO = _without_conditions(ENVELOPE_AVRO)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,14 +52,19 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+# What store() has written and nobody has removed yet, per application.
+_STORED: dict[str, list[str]] = {}
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder that all executors share (spark.checkpoint.dir)."""
+    """A fresh path below the folder that all executors share.
+
+    That folder is spark.checkpoint.dir, or else the one given to setCheckpointDir(). There is
+    no default: a folder of one machine would lose what other executors look for.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.sparkContext.setCheckpointDir(base)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -68,8 +73,37 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
     For results that are read more than once and are much smaller than what they are
     computed from. Unlike a cache it survives lost executors, and every reader scans only
-    the columns it needs.
+    the columns it needs. The files stay until remove_stored().
     """
-    path = shared_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_stored(spark: SparkSession) -> int:
+    """Delete what store() has written in this application; returns the number of folders.
+
+    To be called when nothing derived from stored tables is read any more.
+    """
+    paths = _STORED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    folder, files = hadoop_path(spark, path)
+    files.delete(folder, True)
+
+
+def hadoop_path(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """A path and its file system, for existence checks and clean-up of whatever store it is in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = hadoop_path(spark, path)
+    return files.exists(folder)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom.functions import hour_parts
-
-PARTS = ("year", "month", "day", "hour")
+from tickloom.session import path_exists, remove_path, settings, shared_path
+from tickloom.sources.lake import LAKE, PARTS, read_lake
 
 
 def append_to_lake(trades: DataFrame, path: str) -> None:
@@ -34,7 +36,8 @@ def lake_stream(trades: DataFrame, path: str) -> DataStreamWriter:
 
     Rows are not shuffled by hour: live trades nearly all fall into the same one. A lake
     folder should have either streams or append_to_lake as writers, because readers of a
-    folder with a commit log see only what the log lists.
+    folder with a commit log see only what the log lists. That log names every file ever written
+    and the driver reads it; for a long-lived lake, start a new folder from time to time.
     """
     return (
         trades.withColumns(hour_parts("event_time"))
@@ -44,3 +47,30 @@ def lake_stream(trades: DataFrame, path: str) -> DataStreamWriter:
         .option("path", path)
         .partitionBy(*PARTS)
     )
+
+
+def compact_lake(spark: SparkSession, path: str, start: datetime, end: datetime) -> None:
+    """Rewrite the hours from start up to end (both full hours, UTC) into few files each.
+
+    Meant for hours that no writer appends to any more. The rows go to the shared folder first, so
+    that the lake holds either the old or the new files of an hour while its folder is replaced.
+    """
+    if any((m.minute, m.second, m.microsecond) != (0, 0, 0) for m in (start, end)):
+        raise ValueError("start and end must be full hours")
+    if path_exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError("a stream's commit log lists the files of this lake")
+    staging = shared_path(spark, "compaction")
+    append_to_lake(read_lake(spark, path, start, end), staging)
+    if not path_exists(spark, staging):
+        return
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        rows = spark.read.schema(LAKE).parquet(staging)
+        (
+            rows.hint("rebalance", *[F.col(part) for part in PARTS])
+            .sortWithinPartitions(*PARTS, "symbol", "event_time")
+            .write.mode("overwrite")
+            .option("compression", "snappy")
+            .partitionBy(*PARTS)
+            .parquet(path)
+        )
+    remove_path(spark, staging)

@@ -1,34 +1,43 @@
 """Stored tables that bars and anomalies are appended to and read back from.
 
 A table has a unique key and a time column. It offers append(df, rows), where `rows` is the
-size of df if known, and between(spark, low, high), the stored rows in a range of the time
-column; the bounds are timestamps as text in the session's time zone.
+size of df if known; between(spark, low, high), the stored rows in a range of the time column; and
+latest(spark, order, n). Bounds are microseconds since the epoch, so they do not depend on the
+session's time zone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions import utc_day
+from tickloom.session import hadoop_path, path_exists, remove_path, settings, shared_path
+
 # The unique key of the stored bars; anomalies share it.
 KEY = ("window_start", "symbol")
 
-ROWS_PER_CONNECTION = 10_000
-ROWS_PER_FILE = 1_000_000
+DAY_MICROS = 86_400_000_000
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+def _in_range(df: DataFrame, time: str, low: int, high: int) -> DataFrame:
+    return df.where(F.col(time).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high))))
 
 
-def _in_range(df: DataFrame, time: str, low: str, high: str) -> DataFrame:
-    return df.where(F.col(time).between(F.lit(low).cast("timestamp"), F.lit(high).cast("timestamp")))
+def _text(micros: int) -> str:
+    return (EPOCH + timedelta(microseconds=micros)).isoformat()
 
 
 @dataclass(frozen=True)
 class JdbcTable:
-    """A database table. `connections` bounds the tasks that talk to the database at once."""
+    """A database table. `connections` bounds the tasks that talk to the database at once, and
+    none of them is opened for fewer than `rows_per_connection` rows."""
 
     url: str
     name: str
@@ -36,11 +45,12 @@ class JdbcTable:
     key: tuple[str, ...] = KEY
     time: str = "window_start"
     connections: int = 16
+    rows_per_connection: int = 10_000
 
     def append(self, df: DataFrame, rows: int | None = None) -> None:
         tasks = self.connections
         if rows is not None:
-            tasks = min(tasks, 1 + rows // ROWS_PER_CONNECTION)
+            tasks = min(tasks, 1 + rows // self.rows_per_connection)
         (
             df.repartition(tasks)
             .write.format("jdbc")
@@ -60,15 +70,26 @@ class JdbcTable:
             spark.read.format("jdbc").options(url=self.url, query=text, **self.properties).load()
         )
 
-    def between(self, spark: SparkSession, low: str, high: str) -> DataFrame:
+    def read(self, spark: SparkSession) -> DataFrame:
+        return (
+            spark.read.format("jdbc")
+            .options(url=self.url, dbtable=self.name, fetchsize="10000", **self.properties)
+            .load()
+        )
+
+    def without_time(self, spark: SparkSession) -> DataFrame:
+        """The rows whose time is NULL, which between() cannot find."""
+        return self.read(spark).where(F.col(self.time).isNull())
+
+    def between(self, spark: SparkSession, low: int, high: int) -> DataFrame:
         """Read in `connections` slices of time; the database applies the range itself."""
         rows = (
             spark.read.format("jdbc")
             .options(url=self.url, dbtable=self.name, fetchsize="10000", **self.properties)
             .options(
                 partitionColumn=self.time,
-                lowerBound=low,
-                upperBound=high,
+                lowerBound=_text(low),
+                upperBound=_text(high),
                 numPartitions=self.connections,
             )
             .load()
@@ -78,39 +99,111 @@ class JdbcTable:
 
 @dataclass(frozen=True)
 class ParquetTable:
-    """A Parquet folder with one partition per day of the time column."""
+    """A Parquet folder with one partition per UTC day of the time column."""
 
     path: str
     schema: T.StructType
     key: tuple[str, ...] = KEY
     time: str = "window_start"
+    rows_per_file: int = 1_000_000
 
     def append(self, df: DataFrame, rows: int | None = None) -> None:
         """Few files per day, a crowded day split over many tasks.
 
-        With a known size a range partitioning does that, also in micro-batches, which run
-        without AQE. Otherwise AQE rebalances.
+        With a known size a hash partitioning does that, also in micro-batches, which run
+        without AQE. It needs no sample of its input, as one by range would, which would compute
+        the rows twice. Otherwise AQE rebalances.
         """
-        dated = df.select(*self.schema.names).withColumn("on_day", F.to_date(self.time))
+        dated = df.select(*self.schema.names).withColumn("on_day", utc_day(self.time))
         if rows is None:
             dated = dated.hint("rebalance", F.col("on_day"))
         else:
-            dated = dated.repartitionByRange(1 + rows // ROWS_PER_FILE, "on_day", *self.key)
+            dated = dated.repartition(1 + rows // self.rows_per_file, "on_day", *self.key)
         dated.write.mode("append").partitionBy("on_day").parquet(self.path)
 
-    def _rows(self, spark: SparkSession) -> DataFrame:
+    def _scan(self, spark: SparkSession, folders: list[str] | None = None) -> DataFrame:
+        """All rows, or those in some folders, without listing the others."""
         stored = T.StructType([*self.schema.fields, T.StructField("on_day", T.DateType())])
-        try:
-            return spark.read.schema(stored).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        found = [f for f in folders if path_exists(spark, f)] if folders is not None else [self.path]
+        if not found or (folders is None and not path_exists(spark, self.path)):
             return spark.createDataFrame([], stored)
+        return spark.read.schema(stored).option("basePath", self.path).parquet(*found)
+
+    def _folder(self, day: date) -> str:
+        return f"{self.path}/on_day={day.isoformat()}"
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._rows(spark).drop("on_day")
+        return self._scan(spark).drop("on_day")
+
+    def without_time(self, spark: SparkSession) -> DataFrame:
+        """The rows whose time is NULL, which between() cannot find."""
+        return self._scan(spark, [f"{self.path}/on_day=__HIVE_DEFAULT_PARTITION__"]).drop("on_day")
+
+    def between(self, spark: SparkSession, low: int, high: int) -> DataFrame:
+        """Only the days concerned are listed and read."""
+        days = [
+            (EPOCH + timedelta(days=day)).date() for day in range(low // DAY_MICROS, high // DAY_MICROS + 1)
+        ]
+        rows = self._scan(spark, [self._folder(day) for day in days])
+        return _in_range(rows, self.time, low, high).drop("on_day")
+
+    def days(self, spark: SparkSession) -> list[date]:
+        """The days with a folder, in order; one listing of folders, none of files."""
+        if not path_exists(spark, self.path):
+            return []
+        folder, files = hadoop_path(spark, self.path)
+        names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
+        texts = [name.removeprefix("on_day=") for name in names if name.startswith("on_day=")]
+        return sorted(date.fromisoformat(text) for text in texts if text[:1].isdigit())
+
+    def latest(self, spark: SparkSession, order: str, n: int) -> DataFrame:
+        """The first n rows in an SQL order, such as "window_start DESC, symbol".
+
+        If the order begins with the time column descending, the newest days are counted until
+        they hold n rows, and only those are read. Any other order is a top-k scan of the table.
+        """
+        terms = [F.expr(column).desc() if down else F.expr(column) for column, down in _ordering(order)]
+        first, down = _ordering(order)[0]
+        rows = self._scan(spark)
+        if first == self.time and down:
+            folders, held = [], 0
+            for day in reversed(self.days(spark)):
+                folders.append(self._folder(day))
+                held += self._scan(spark, folders[-1:]).count()  # from the files' footers
+                if held >= n:
+                    break
+            rows = self._scan(spark, folders)
+        return rows.drop("on_day").orderBy(*terms).limit(n)
+
+    def compact(self, spark: SparkSession, first: date, last: date) -> None:
+        """Rewrite the days from first to last into few files each.
+
+        Every append adds a file per day, so a day that streams have written holds thousands of
+        small ones. Meant for days that no writer appends to any more. The rows go to the shared
+        folder first; then each day's folder is replaced.
+        """
+        days = [d for d in self.days(spark) if first <= d <= last]
+        if not days:
+            return
+        staging = ParquetTable(shared_path(spark, "compaction"), self.schema, self.key, self.time)
+        rows = self._scan(spark, [self._folder(day) for day in days]).drop("on_day")
+        staging.append(rows)
+        with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            dated = staging.read(spark).withColumn("on_day", utc_day(self.time))
+            (
+                dated.hint("rebalance", F.col("on_day"))
+                .sortWithinPartitions("on_day", *self.key)
+                .write.mode("overwrite")
+                .partitionBy("on_day")
+                .parquet(self.path)
+            )
+        remove_path(spark, staging.path)
+
 
-    def between(self, spark: SparkSession, low: str, high: str) -> DataFrame:
-        """Only the days concerned are read."""
-        days = F.col("on_day").between(F.lit(low[:10]).cast("date"), F.lit(high[:10]).cast("date"))
-        return _in_range(self._rows(spark).where(days), self.time, low, high).drop("on_day")
+def _ordering(order: str) -> list[tuple[str, bool]]:
+    """Columns of an SQL order and whether they descend."""
+    found = []
+    for term in order.split(","):
+        column, *side = term.split()
+        found.append((column, [s.upper() for s in side] == ["DESC"]))
+    return found

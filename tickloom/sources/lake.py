@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.schema import TRADE
+from tickloom.session import path_exists
 
-LAKE = T.StructType(
-    [*TRADE.fields, *[T.StructField(n, T.IntegerType()) for n in ("year", "month", "day", "hour")]]
-)
+PARTS = ("year", "month", "day", "hour")
+LAKE = T.StructType([*TRADE.fields, *[T.StructField(n, T.IntegerType()) for n in PARTS]])
+HOUR = timedelta(hours=1)
+# Up to this length a range names hour folders, beyond it day folders.
+_HOURS_NAMED = 48
 
 
 def read_lake(
@@ -21,33 +24,51 @@ def read_lake(
     """Trades with start <= event_time < end (UTC), reading only the hours concerned.
 
     Spark cannot derive partition filters from event_time, so the range is also put on the
-    partition columns.
+    partition columns. A range with both ends lists the folders of its days or hours only, not the
+    lake. A lake that a stream writes is listed through the sink's log instead, because only the
+    log tells which files are committed.
     """
-    trades = spark.read.schema(LAKE).parquet(path)
-    hour_number = (
-        F.col("year").cast("long") * 1_000_000
-        + F.col("month") * 10_000
-        + F.col("day") * 100
-        + F.col("hour")
-    )
+    start, end = (moment and _utc(moment) for moment in (start, end))
+    reader = spark.read.schema(LAKE)
+    if start is not None and end is not None and not path_exists(spark, f"{path}/_spark_metadata"):
+        folders = [f for f in lake_folders(path, start, end) if path_exists(spark, f)]
+        if not folders:
+            return spark.createDataFrame([], TRADE)
+        trades = reader.option("basePath", path).parquet(*folders)
+    else:
+        trades = reader.parquet(path)
     if start is not None:
-        trades = trades.where(
-            (hour_number >= _hour_number(start)) & (F.col("event_time") >= _instant(start))
-        )
+        trades = trades.where(_from_hour(start, ">") & (F.col("event_time") >= _instant(start)))
     if end is not None:
-        trades = trades.where(
-            (hour_number <= _hour_number(end)) & (F.col("event_time") < _instant(end))
-        )
+        trades = trades.where(_from_hour(end, "<") & (F.col("event_time") < _instant(end)))
     return trades.select(*TRADE.names)
 
 
+def lake_folders(path: str, start: datetime, end: datetime) -> list[str]:
+    """The folders that hold a range: of its hours if it is short, else of its days."""
+    first = start.replace(minute=0, second=0, microsecond=0)
+    if end - first <= _HOURS_NAMED * HOUR:
+        hours = [first + i * HOUR for i in range(-(-(end - first) // HOUR))]
+        return [f"{path}/year={h.year}/month={h.month}/day={h.day}/hour={h.hour}" for h in hours]
+    first = first.replace(hour=0)
+    days = [first + timedelta(days=i) for i in range(-(-(end - first) // timedelta(days=1)))]
+    return [f"{path}/year={d.year}/month={d.month}/day={d.day}" for d in days]
+
+
 def _utc(moment: datetime) -> datetime:
     return moment.replace(tzinfo=timezone.utc) if moment.tzinfo is None else moment.astimezone(timezone.utc)
 
 
-def _hour_number(moment: datetime) -> int:
-    return int(_utc(moment).strftime("%Y%m%d%H"))
+def _from_hour(moment: datetime, side: str) -> Column:
+    """Folders from (">") or up to ("<") the hour of a moment, by comparisons on single columns,
+    which a catalogue can evaluate too."""
+    values = (moment.year, moment.month, moment.day, moment.hour)
+    condition = F.col("hour") >= values[3] if side == ">" else F.col("hour") <= values[3]
+    for part, value in reversed(list(zip(PARTS[:3], values[:3], strict=True))):
+        beyond = F.col(part) > value if side == ">" else F.col(part) < value
+        condition = beyond | ((F.col(part) == value) & condition)
+    return condition
 
 
 def _instant(moment: datetime) -> Column:
-    return F.lit(_utc(moment).isoformat()).cast("timestamp")
+    return F.lit(moment.isoformat()).cast("timestamp")

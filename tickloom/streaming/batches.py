@@ -8,42 +8,67 @@ from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
 from tickloom.operators import volume_spikes
-from tickloom.operators.spikes import FACTOR
-from tickloom.sinks import JdbcTable, ParquetTable, append_new
+from tickloom.operators.spikes import FACTOR, SALTS
+from tickloom.sinks import Appended, JdbcTable, ParquetTable, append_new
 
 Table = JdbcTable | ParquetTable
+# Called with the number of the batch, the name of the output, and what was appended.
+Report = Callable[[int, str, Appended], None]
 
 
 def append_batches(
-    table: Table, stamped: str | None = None, rejects: Table | None = None
+    table: Table,
+    stamped: str | None = None,
+    rejects: Table | None = None,
+    report: Report | None = None,
+    name: str = "rows",
 ) -> Callable[[DataFrame, int], None]:
     """Append each micro-batch to a table, replay-safe; empty batches write nothing.
 
-    `stamped` names a column to add with the time of the write.
+    `stamped` names a column to add with the time of the write. `report` hears what each batch
+    came to.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch, table, rejects=rejects, stamped=stamped)
+        done = append_new(batch, table, rejects=rejects, stamped=stamped)
+        if report is not None:
+            report(batch_id, name, done)
 
     return write
 
 
 def write_bars_and_spikes(
-    bars: Table | None, anomalies: Table, factor: float = FACTOR, stamped: bool = False
+    bars: Table | None,
+    anomalies: Table,
+    factor: float = FACTOR,
+    stamped: bool = False,
+    salts: int = SALTS,
+    rejects: Table | None = None,
+    report: Report | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Append each micro-batch of closed bars, then the spikes within that micro-batch.
 
     One query feeds both tables: the window state exists once and the batch is computed
-    once. `stamped` adds ingested_at and detected_at where the tables do not fill them.
+    once. An empty batch ends before the spikes are looked for. `stamped` adds ingested_at and
+    detected_at where the tables do not fill them. Bars without a symbol go to `rejects`.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if bars is not None:
-                append_batches(bars, "ingested_at" if stamped else None)(batch, batch_id)
-            spikes = volume_spikes(batch, factor)
-            append_batches(anomalies, "detected_at" if stamped else None)(spikes, batch_id)
+                done = append_new(batch, bars, rejects=rejects, stamped="ingested_at" if stamped else None)
+                if report is not None:
+                    report(batch_id, "bars", done)
+                empty = not done.rows
+            else:
+                empty = batch.isEmpty()
+            if empty:
+                return
+            spikes = volume_spikes(batch, factor, salts)
+            append_batches(anomalies, "detected_at" if stamped else None, report=report, name="anomalies")(
+                spikes, batch_id
+            )
         finally:
             batch.unpersist()
 

@@ -93,6 +93,10 @@ def short_bars(sql: str) -> str:
     return rounded(sql, "window_start, window_end, symbol", SHORT_BAR)
 
 
+def with_problems(sql: str) -> str:
+    return rounded(sql, "window_start, window_end, symbol, problems", FULL_BAR)
+
+
 def spike_rows(sql: str) -> str:
     return rounded(sql, "symbol, window_start, window_end", SPIKE)
 
@@ -115,6 +119,8 @@ FLOW_FIVE_MINUTE_BARS = closed(
     sliding(ENVELOPE_TRADES, 5, "minute"), ENVELOPE_TRADES, "30 seconds"
 )
 
+NAMELESS_TRADES = f"SELECT * REPLACE (nullif(symbol, 'view') AS symbol) FROM ({ENVELOPE_TRADES}) AS e"
+
 # Trades with flaws: see flawed_trades().
 FLAWED_TRADES = f"""
     SELECT CASE WHEN event_type = 'click' THEN 'click'
@@ -162,6 +168,7 @@ def oracle_sql() -> dict[str, str]:
         "bars_5min_sliding": short_bars(sliding(EVENT_TRADES, 5, "minute")),
         "bars_5min_sliding_direct": short_bars(sliding(EVENT_TRADES, 5, "minute")),
         "bars_1hour": full_bars(tumbling(EVENT_TRADES, "hour")),
+        "bars_1hour_60_panes": full_bars(sliding(EVENT_TRADES, 60, "minute", extremes=True)),
         "bars_daily_brand": full_bars(tumbling(LINE_TRADES, "day")),
         "bars_5day_sliding_brand": full_bars(sliding(LINE_TRADES, 5, "day", extremes=True)),
         "bars_of_messages": full_bars(tumbling(ENVELOPE_TRADES, "minute")),
@@ -231,10 +238,31 @@ def oracle_sql() -> dict[str, str]:
         ),
         "lake_stream": trade_rows(EVENT_TRADES),
         "keyed_write_replay": full_bars(MINUTE_BARS),
-        "decode_avro_messages": trade_rows(ENVELOPE_TRADES),
-        "decode_avro_skip_bad": """
-            SELECT 'trade' AS type, count(*) AS trades, min(epoch_ms(date_trunc('milliseconds', ts))) AS first_millis
-            FROM events WHERE event_type <> 'error' GROUP BY floor(event_id / 16)
+        "keyed_write_conflicts": with_problems(
+            f"""
+            SELECT *, CAST(NULL AS VARCHAR) AS problems FROM ({MINUTE_BARS}) AS b
+            UNION ALL
+            SELECT * REPLACE (total_volume * 2 + 1 AS total_volume), 'key stored with other values'
+            FROM ({MINUTE_BARS}) AS b WHERE symbol = 'click'
+            """
+        ),
+        "stamped": f"SELECT *, true AS stamped FROM ({full_bars(MINUTE_BARS)}) AS b",
+        "compacted_bars": full_bars(MINUTE_BARS),
+        "compacted_lake": trade_rows(EVENT_TRADES),
+        "stored_bars_top20": rounded(
+            f"SELECT * FROM ({MINUTE_BARS}) AS b ORDER BY window_start DESC, symbol LIMIT 20",
+            "window_start, symbol",
+            ["avg_price", "vwap", "trade_count"],
+        ),
+        "parse_json_rejects": """
+            SELECT CASE WHEN event_type <> 'error' THEN 'none'
+                        WHEN number % 3 = 0 THEN 'message missing'
+                        WHEN number % 3 = 1 THEN 'message blank'
+                        ELSE 'message malformed' END AS problems,
+                   count(DISTINCT number) AS messages,
+                   CASE WHEN problems = 'none' THEN count(*) END AS trades
+            FROM (SELECT *, CAST(floor(event_id / 16) AS BIGINT) AS number FROM events) AS e
+            GROUP BY 1
         """,
         "encode_json_roundtrip": trade_rows(ENVELOPE_TRADES),
         "stream_bars_1min_append": full_bars(closed(MINUTE_BARS, EVENT_TRADES, "10 seconds")),
@@ -243,6 +271,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_late_drop": full_bars(LATE_DROP),
         "stream_flow_anomalies": spike_rows(spikes(FLOW_MINUTE_BARS)),
+        "stream_flow_bars_1min": full_bars(FLOW_MINUTE_BARS),
+        "stream_flow_bars_5min": short_bars(FLOW_FIVE_MINUTE_BARS),
+        "stream_flow_rejects": with_problems(
+            f"""
+            SELECT *, CASE WHEN symbol IS NULL THEN 'symbol missing' END AS problems
+            FROM ({closed(tumbling(NAMELESS_TRADES, "minute"), ENVELOPE_TRADES, "10 seconds")}) AS b
+            """
+        ),
         "stream_flow_totals": f"""
             SELECT 'lake' AS output, count(*) AS rows, {near('sum(volume)')} AS volume
             FROM ({ENVELOPE_TRADES}) AS a

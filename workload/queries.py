@@ -8,6 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions import hour_parts
 from tickloom.operators import (
@@ -28,19 +29,19 @@ from tickloom.operators import (
 )
 from tickloom.operators.bars import FIVE_MINUTES, MINUTE
 from tickloom.operators.quality import SYMBOL_PATTERN
-from tickloom.operators.wire import decode_messages, encode_messages, parse_json_messages
+from tickloom.operators.wire import parse_json_messages, parse_json_or_reject
 from tickloom.plans import bars_of_messages, spikes_of_trades, start_flow
-from tickloom.schema import (
-    ANOMALY,
-    ENVELOPE,
-    ENVELOPE_AVRO,
-    FULL_BAR,
-    SHORT_BAR,
-    SLIM_ENVELOPE_AVRO,
-    TRADE,
-)
+from tickloom.schema import ANOMALY, ENVELOPE, FULL_BAR, SHORT_BAR, TRADE
 from tickloom.session import shared_path, store
-from tickloom.sinks import ParquetTable, append_new, append_to_lake, lake_stream
+from tickloom.sinks import (
+    REJECT_KEY,
+    ParquetTable,
+    append_new,
+    append_to_lake,
+    compact_lake,
+    lake_stream,
+    reject_schema,
+)
 from tickloom.sources import envelope_files, read_lake
 from tickloom.streaming import start_query, wait_for_all
 from workload.inputs import (
@@ -87,8 +88,12 @@ def five_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def five_minute_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trades = event_trades(spark, sf_dir)
-    return comparable(bars(trades, FIVE_MINUTES, MINUTE, extremes=False, panes=False))
+    return comparable(bars_5min(event_trades(spark, sf_dir), panes=False))
+
+
+def sixty_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1-hour bars, one starting every minute."""
+    return comparable(bars(event_trades(spark, sf_dir), HOUR, MINUTE))
 
 
 def hour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,37 +241,90 @@ def keyed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(target.read(spark))
 
 
-# Wire format
+def keyed_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bars, then the bars of one symbol with twice their volume, twice: each contradicts a
+    stored bar and is rejected once."""
+    target, rejects = ParquetTable(shared_path(spark, "keyed"), FULL_BAR), _rejects_table(spark, FULL_BAR)
+    stored = store(bars_1min(event_trades(spark, sf_dir)), "bars")
+    changed = stored.where("symbol = 'click'").withColumn("total_volume", F.col("total_volume") * 2 + 1)
+    append_new(stored, target, rejects=rejects)
+    for _ in range(2):
+        append_new(changed, target, rejects=rejects)
+    kept = target.read(spark).withColumn("problems", F.lit(None).cast("string"))
+    return comparable(kept.unionByName(rejects.read(spark).drop("reject_key")))
 
 
-def avro_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = encode_messages(event_envelopes(spark, sf_dir), ENVELOPE_AVRO, schema_id=1)
-    envelopes = decode_messages(messages, ENVELOPE_AVRO, reader_json=SLIM_ENVELOPE_AVRO)
-    return comparable(flatten_trades(envelopes))
+def _rejects_table(spark: SparkSession, schema: T.StructType) -> ParquetTable:
+    return ParquetTable(shared_path(spark, "rejects"), reject_schema(schema), REJECT_KEY)
 
 
-def avro_decoded_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 'ping' envelopes arrive cut short and are skipped; all others are kept."""
-    envelopes = event_envelopes(spark, sf_dir)
-    pings, trades = envelopes.where("type = 'ping'"), envelopes.where("type = 'trade'")
-    cut = encode_messages(pings, ENVELOPE_AVRO, schema_id=1).select(
-        F.expr("substring(value, 1, length(value) - 3)").alias("value")
-    )
-    messages = encode_messages(trades, ENVELOPE_AVRO, schema_id=1).unionByName(cut)
-    decoded = decode_messages(messages, ENVELOPE_AVRO, on_error="skip")
-    return decoded.select(
-        "type",
-        F.size("data").cast("long").alias("trades"),
-        F.array_min(F.transform("data", lambda item: item["t"])).alias("first_millis"),
+def stamped_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars with the time of the write, of which only its being set can be compared."""
+    schema = T.StructType([*FULL_BAR.fields, T.StructField("ingested_at", T.TimestampType())])
+    target = ParquetTable(shared_path(spark, "stamped"), schema)
+    append_new(store(bars_1min(event_trades(spark, sf_dir)), "bars"), target, stamped="ingested_at")
+    rows = target.read(spark).withColumn("stamped", F.col("ingested_at").isNotNull())
+    return comparable(rows.drop("ingested_at"))
+
+
+def _appended_bars(spark: SparkSession, sf_dir: str) -> ParquetTable:
+    """Bars that arrived in three appends per day."""
+    target = ParquetTable(shared_path(spark, "keyed"), FULL_BAR)
+    stored = store(bars_1min(event_trades(spark, sf_dir)), "bars")
+    for part in range(3):
+        append_new(stored.where(F.pmod(F.hour("window_start"), F.lit(3)) == part), target)
+    return target
+
+
+def compacted_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _appended_bars(spark, sf_dir)
+    days = target.days(spark)
+    target.compact(spark, days[0], days[len(days) // 2])
+    return comparable(target.read(spark))
+
+
+def compacted_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, trades = shared_path(spark, "lake"), event_trades(spark, sf_dir)
+    for cheap in (True, False):
+        append_to_lake(trades.where((F.col("price") < 50) == cheap), path)
+    compact_lake(spark, path, datetime(2024, 1, 5), datetime(2024, 1, 7, 12))
+    return comparable(read_lake(spark, path))
+
+
+def stored_top_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = _appended_bars(spark, sf_dir).latest(spark, "window_start DESC, symbol", 20)
+    return comparable(recent_bars(latest))
+
+
+# Messages
+
+
+def json_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_envelopes(spark, sf_dir).select(
+        F.to_json(F.struct("type", "data")).alias("value"), "number", "type"
     )
 
 
-def json_to_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = event_envelopes(spark, sf_dir).select(
-        F.to_json(F.struct("type", "data")).alias("value")
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(flatten_trades(parse_json_messages(json_texts(spark, sf_dir).select("value"))))
+
+
+def json_good_and_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the 'ping' messages, one in three is missing, one blank and one cut short."""
+    cut = F.expr("substring(value, 1, length(value) - 3)")
+    kind = F.pmod("number", F.lit(3))
+    spoilt = F.when(kind == 1, "  ").when(kind == 2, cut)
+    texts = json_texts(spark, sf_dir).withColumn(
+        "value", F.when(F.col("type") == "trade", F.col("value")).otherwise(spoilt)
+    )
+    good, rejected = parse_json_or_reject(texts.select("value"))
+    counts = rejected.groupBy("problems").agg(F.count("*").alias("messages"))
+    kept = good.groupBy().agg(F.count("*").alias("messages"), F.sum(F.size("data")).alias("trades"))
+    return (
+        counts.withColumn("trades", F.lit(None).cast("long"))
+        .unionByName(kept.withColumn("problems", F.lit("none")))
+        .select("problems", "messages", "trades")
     )
-    messages = encode_messages(parse_json_messages(texts), ENVELOPE_AVRO, schema_id=1)
-    return comparable(flatten_trades(decode_messages(messages, ENVELOPE_AVRO)))
 
 
 # Streams
@@ -317,10 +375,18 @@ def streamed_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.read.schema(FULL_BAR).parquet(out))
 
 
-def _flow(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, ParquetTable]]:
+def _flow(
+    spark: SparkSession, sf_dir: str, nameless: bool = False
+) -> tuple[str, dict[str, ParquetTable]]:
+    """The flow over all envelopes; with `nameless`, trades of one symbol arrive without it."""
     source = shared_path(spark, "envelopes")
     # In order of arrival, as in a topic, so that a file spans few hours.
     arrived = event_envelopes(spark, sf_dir).repartitionByRange("number")
+    if nameless:
+        named = F.transform(
+            "data", lambda d: d.withField("s", F.when(d["s"] != "view", d["s"]))
+        )
+        arrived = arrived.withColumn("data", named)
     arrived.select(*ENVELOPE.names).write.parquet(source)
     lake = shared_path(spark, "lake")
     tables = {
@@ -331,12 +397,16 @@ def _flow(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, ParquetTable
             ("anomalies", ANOMALY),
         )
     }
+    for name in ("bars_1min", "bars_5min"):
+        tables[f"{name}_rejects"] = _rejects_table(spark, tables[name].schema)
     queries = start_flow(
         envelope_files(spark, source),
         shared_path(spark, "progress"),
         minute_bars=tables["bars_1min"],
         five_minute_bars=tables["bars_5min"],
         anomalies=tables["anomalies"],
+        minute_rejects=tables["bars_1min_rejects"],
+        five_minute_rejects=tables["bars_5min_rejects"],
         lake=lake,
         trigger={"availableNow": True},
         state_partitions=spark.sparkContext.defaultParallelism,
@@ -349,10 +419,27 @@ def flow_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_flow(spark, sf_dir)[1]["anomalies"].read(spark))
 
 
+def flow_minute_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(_flow(spark, sf_dir)[1]["bars_1min"].read(spark))
+
+
+def flow_five_minute_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(_flow(spark, sf_dir)[1]["bars_5min"].read(spark))
+
+
+def flow_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1-minute bars and rejects of a flow in which one symbol's trades lack it."""
+    tables = _flow(spark, sf_dir, nameless=True)[1]
+    kept = tables["bars_1min"].read(spark).withColumn("problems", F.lit(None).cast("string"))
+    return comparable(kept.unionByName(tables["bars_1min_rejects"].read(spark).drop("reject_key")))
+
+
 def flow_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, tables = _flow(spark, sf_dir)
     volumes = {"lake": read_lake(spark, lake).select("volume")}
     for name, stored in tables.items():
+        if name.endswith("rejects"):
+            continue
         volumes[name] = stored.read(spark).select(F.col("total_volume").alias("volume"))
     totals = [
         rows.agg(F.count("*").alias("rows"), F.sum("volume").alias("volume")).select(
@@ -375,6 +462,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bars_5min_sliding": five_minute,
         "bars_5min_sliding_direct": five_minute_direct,
         "bars_1hour": hour,
+        "bars_1hour_60_panes": sixty_panes,
         "bars_daily_brand": daily_brand,
         "bars_5day_sliding_brand": five_day_brand,
         "bars_of_messages": message_bars,
@@ -394,12 +482,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lake_range_read": lake_range,
         "lake_stream": streamed_lake,
         "keyed_write_replay": keyed_replay,
-        "decode_avro_messages": avro_decoded,
-        "decode_avro_skip_bad": avro_decoded_skipping,
-        "encode_json_roundtrip": json_to_avro,
+        "keyed_write_conflicts": keyed_conflicts,
+        "stamped": stamped_bars,
+        "compacted_bars": compacted_bars,
+        "compacted_lake": compacted_lake,
+        "stored_bars_top20": stored_top_bars,
+        "encode_json_roundtrip": json_roundtrip,
+        "parse_json_rejects": json_good_and_rejected,
         "stream_bars_1min_append": streamed_minute,
         "stream_bars_5min_append": streamed_five_minute,
         "stream_late_drop": streamed_late,
         "stream_flow_anomalies": flow_anomalies,
         "stream_flow_totals": flow_totals,
+        "stream_flow_bars_1min": flow_minute_bars,
+        "stream_flow_bars_5min": flow_five_minute_bars,
+        "stream_flow_rejects": flow_rejects,
     }
