@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from tickloom.llm.common import keyed_text
 
-_PIECES_KEPT = 400_000
+_PIECES_KEPT = 1_000_000
 _LONGEST_KEPT = 64
 _CODECS: dict[tuple[str, str], ByteBpe] = {}
 
@@ -45,8 +45,11 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         # White space that a split at single blanks and line ends could cut apart.
         self.uneven = re.compile(r"\s\s|[^\S \n]|\x00|\A\s|\s\Z")
+        ranks = self.ranks
+        self.first = [[ranks.get(bytes((a, b)), -1) for b in range(256)] for a in range(256)]
+        self.digits_of = {rank: b"%d" % rank for rank in ranks.values()}
         self.pieces: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[bytes, bytes]] = {}
+        self.chunks: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one pre-token.
@@ -54,7 +57,8 @@ class ByteBpe:
         The queue is written out here, since calls would cost more than its work: `marks` is its
         upper level, `words` the lower one, `buckets` the positions, the leftmost first.
         """
-        get, n = self.ranks.get, len(piece)
+        ranks, n = self.ranks, len(piece)
+        get, first = ranks.get, self.first
         whole = get(piece)
         if whole is not None:
             return (whole,)
@@ -62,7 +66,7 @@ class ByteBpe:
         before = list(range(-1, n))
         # The rank of the part at a position joined with the next part; an entry of the queue
         # counts only while it agrees with this.
-        joined = [get(piece[i : i + 2], -1) for i in range(n - 1)]
+        joined = [first[a][b] for a, b in zip(piece, piece[1:], strict=False)]
         joined.append(-1)
         buckets: dict[int, list[int]] = {}
         words: dict[int, int] = {}
@@ -70,9 +74,8 @@ class ByteBpe:
         fresh = [(rank, i) for i, rank in enumerate(joined) if rank >= 0]
         while True:
             for rank, i in fresh:
-                bucket = buckets.get(rank)
-                if bucket:
-                    heapq.heappush(bucket, i)
+                if rank in buckets:
+                    heapq.heappush(buckets[rank], i)
                 else:
                     buckets[rank] = [i]
                     high = rank >> _BITS
@@ -86,6 +89,7 @@ class ByteBpe:
             bucket = buckets[rank]
             i = heapq.heappop(bucket)
             if not bucket:
+                del buckets[rank]
                 word &= word - 1
                 words[high] = word
                 if not word:
@@ -110,7 +114,7 @@ class ByteBpe:
                     joined[left] = rank
                     if rank >= 0:
                         fresh.append((rank, left))
-        out, i, ranks = [], 0, self.ranks
+        out, i = [], 0
         while i < n:
             out.append(ranks[piece[i : following[i]]])
             i = following[i]
@@ -130,8 +134,8 @@ class ByteBpe:
             out += ids
         return out
 
-    def encode_raw(self, text: str) -> tuple[bytes, bytes]:
-        """The ids as 32-bit integers, and in decimal, each with a comma behind it.
+    def encode_raw(self, text: str) -> bytes:
+        """The ids as 32-bit integers.
 
         Where white space comes as single blanks and line ends inside the text, no match of the
         pattern reaches across the place before one, and the parts between are kept.
@@ -150,15 +154,18 @@ class ByteBpe:
                     found[i] = known = chunks.get(part) or _raw(self.encode(part))
                     if len(part) <= _LONGEST_KEPT:
                         chunks[part] = known
-        ids, text_ids = zip(*found, strict=True)
-        return b"".join(ids), b"".join(text_ids)
+        return b"".join(found)
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def decimal(self, ids: Iterable[int]) -> bytes:
+        """The ids in decimal, joined by commas."""
+        return b",".join(map(self.digits_of.__getitem__, ids))
 
-def _raw(ids: list[int]) -> tuple[bytes, bytes]:
-    return struct.pack(f"<{len(ids)}I", *ids), "".join([f"{i}," for i in ids]).encode()
+
+def _raw(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def byte_bpe(path: str, pattern: str) -> ByteBpe:
@@ -181,7 +188,7 @@ def encode_documents(
         for part in parts:
             for at in range(0, part.num_rows, 256):
                 some = part.slice(at, 256)
-                ids = [np.frombuffer(codec.encode_raw(t)[0], "<i4") for t in some.column(1).to_pylist()]
+                ids = [np.frombuffer(codec.encode_raw(t), "<i4") for t in some.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
                 )
@@ -216,11 +223,10 @@ def round_trip_digests(
                 some = part.slice(at, 256)
                 counts, ids_sha, text_sha = [], [], []
                 for text in some.column(1).to_pylist():
-                    raw, decimal = codec.encode_raw(text)
-                    ids = np.frombuffer(raw, "<u4")
+                    ids = np.frombuffer(codec.encode_raw(text), "<u4").tolist()
                     counts.append(len(ids))
-                    ids_sha.append(hashlib.sha256(decimal[:-1]).hexdigest())
-                    text_sha.append(hashlib.sha256(codec.decode(ids.tolist())).hexdigest())
+                    ids_sha.append(hashlib.sha256(codec.decimal(ids)).hexdigest())
+                    text_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
