@@ -1,0 +1,107 @@
+"""Operator 8: repeated passages, against brute force."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from fixtures_llm import SF_DIR, awkward, documents, words
+from tickloom.llm import queries
+from tickloom.llm import suffix_array as sa
+
+
+def removed(rows, width):
+    """(key, bytes, mask of removed bytes) in the order that decides who is earlier."""
+    seen, out = set(), []
+    for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+        raw = (text or "").encode()
+        change = np.zeros(len(raw) + 1, np.int64)
+        for at in range(len(raw) - width + 1):
+            window = raw[at : at + width]
+            if window in seen:
+                change[at] += 1
+                change[at + width] -= 1
+            seen.add(window)
+        out.append((key, raw, np.cumsum(change)[:-1] > 0))
+    return out
+
+
+def digests(rows, width):
+    out = []
+    for key, raw, mask in removed(rows, width):
+        spans = int((np.diff(np.concatenate([[0], mask.astype(int)])) == 1).sum())
+        kept = bytes(np.frombuffer(raw, np.uint8)[~mask])
+        out.append((key, len(raw), int(mask.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def shared_passages(seed):
+    draw = random.Random(seed)
+    passages = [words(draw, draw.choice([4, 8, 20, 40])) for _ in range(5)] + ["ab" * 60, "z" * 150]
+    rows = []
+    for i in range(40):
+        parts = [words(draw, draw.randrange(30)) for _ in range(3)]
+        for _ in range(draw.randrange(4)):
+            cut = draw.choice(passages)
+            parts.insert(draw.randrange(4), cut[draw.randrange(5) : len(cut) - draw.randrange(5)])
+        rows.append((i * 7 % 41, " ".join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("slot_bytes, often", [(10**9, 4000), (1500, 4000), (1500, 2)])
+def test_repeats_are_those_of_brute_force(spark, slot_bytes, often):
+    rows = shared_passages(often)
+    found = sa.repeat_digests(documents(spark, rows), 50, 16, often, slot_bytes).collect()
+    assert sorted(map(tuple, found), key=repr) == digests(rows, 50)
+
+
+def test_awkward_documents(spark):
+    rows = awkward() + [(30, awkward()[5][1]), (31, "é" * 80), (32, "a" + "é" * 80)]
+    found = sa.repeat_digests(documents(spark, rows), slot_bytes=4000).collect()
+    assert sorted(map(tuple, found), key=repr) == digests(rows, 100)
+    docs = documents(spark, rows)
+    left = sa.remove_repeats(docs)
+    assert left.schema == docs.schema
+    texts = {r.doc_id: r.text for r in left.collect() if r.doc_id in (2, 9, 32, 4)}
+    assert texts == {2: None, 9: "", 32: "a", 4: "One two three four five six seven"}
+    assert sa.repeat_digests(documents(spark, [])).count() == 0
+    assert sa.remove_repeats(documents(spark, [(1, None), (2, "")])).count() == 2
+
+
+def test_query_over_all_documents(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    found = queries.queries()["op8_suffix_array"](spark, SF_DIR).collect()
+    assert sorted(map(tuple, found), key=repr) == digests(docs, 100)
+
+
+@given(st.lists(st.lists(st.text("abc", min_size=6, max_size=6), max_size=12), max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_loser_tree_merges_with_true_prefixes(lists):
+    runs = [sorted(x.encode() for x in own) for own in lists]
+    sources = []
+    for own in runs:
+        shared, rests = sa.front_code(own) if own else (np.zeros(0, np.int64), b"")
+        assert [s for s, _ in sa.decode_run(shared, rests, 6)] == own
+        sources.append(sa.decode_run(shared, rests, 6))
+    merged = list(sa.merge_runs(sources))
+    assert [s for _, s, _ in merged] == sorted(x for own in runs for x in own)
+    last = b""
+    for run, string, shared in merged:
+        assert string in runs[run] and string[:shared] == last[:shared]
+        assert shared == 6 or not last or string[shared] != last[shared]
+        last = string
+
+
+def test_equal_windows_have_their_anchors_at_the_same_place():
+    draw = random.Random(9)
+    passage = words(draw, 40).encode()
+    texts = [words(draw, 20).encode() + passage + words(draw, 20).encode() for _ in range(2)]
+    at = []
+    for text in texts:
+        found, _ = sa.anchors(np.frombuffer(text, np.uint8), np.array([len(text)]), 100, 32)
+        low = text.index(passage)
+        at.append({int(p) - low for p in found if low + 68 <= p <= low + len(passage) - 100})
+    assert at[0] == at[1] and at[0]

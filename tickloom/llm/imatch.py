@@ -13,7 +13,9 @@ tells near copies apart only if it keeps about one term of the changed part: sho
 described by the large subsets, long ones by the small subsets.
 
 Likeness of two fingerprints: among the subsets of one share that keep a term of either document,
-the part whose hashes agree, at the share where that is most; 1 for equal fingerprints. A share
+the part whose hashes agree, at the share where that is most; 1 for equal fingerprints. DOUBT
+subsets that disagree are added to each share, since a share of which one subset keeps a term says
+little. A share
 far too large for a text never agrees after an edit, one far too small keeps nothing.
 """
 
@@ -35,6 +37,7 @@ BITS = 22
 BAND = (2, 0.02)  # fewest documents; largest share of all documents
 SHARES = (1 / 2, 1 / 8, 1 / 32, 1 / 128, 1 / 512, 1 / 2048)
 SUBSETS_PER_SHARE = 10
+DOUBT = 2
 ROWS_PER_PARTITION = 4000
 _WORDS_KEPT = 400_000
 _TERM = re.compile(r"[^\W_]+")
@@ -127,7 +130,7 @@ def likeness(a: np.ndarray, b: np.ndarray, per_share: int = SUBSETS_PER_SHARE) -
         return 1.0
     either = ((a != 0) | (b != 0)).reshape(-1, per_share)
     same = (a == b).reshape(-1, per_share) & either
-    return float((same.sum(axis=1) / np.maximum(1, either.sum(axis=1))).max())
+    return float((same.sum(axis=1) / (DOUBT + either.sum(axis=1))).max())
 
 
 def _text_of(fingerprint: np.ndarray) -> str:

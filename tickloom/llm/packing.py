@@ -131,13 +131,14 @@ def pack_pieces(
     per_group: int = PIECES_PER_GROUP,
     length_col: str = "length",
 ) -> DataFrame:
-    """Add sequence_id and offset to pieces; every column they have is kept.
+    """Add sequence_id and offset to pieces, in place of columns so called; all others are kept.
 
     Without limits of their own, documents and cost get those that the tokens imply. Lengths of
     NULL or below 1 take no room: they get NULL for both columns. Pieces are counted first, so
     they should be cheap to read twice (stored). Ties are broken by row order within a group.
     `per_group` bounds a task's rows and the open sequences it compares a piece with.
     """
+    pieces = pieces.drop("sequence_id", "offset", "_group")
     capacity = (float(tokens), float(documents or tokens), float(cost or tokens * tokens))
     groups = max(1, -(-pieces.count() // per_group))
     schema = T.StructType(

@@ -170,9 +170,10 @@ def redact(docs: DataFrame, secrets: DataFrame, mark: str = "[secret]", id_col:
         .groupBy(F.col("doc_id").alias("_id"))
         .agg(F.collect_set(F.struct((-F.length("value")).alias("order"), "value")).alias("_secrets"))
     )
+    own = lists["_secrets"]
     new_text = F.aggregate(
-        F.sort_array("_secrets"), F.col(text_col), lambda text, s: F.replace(text, s["value"], F.lit(mark))
+        F.sort_array(own), docs[text_col], lambda text, s: F.replace(text, s["value"], F.lit(mark))
     )
-    text = F.when(F.col("_secrets").isNull(), F.col(text_col)).otherwise(new_text)
+    text = F.when(own.isNull(), docs[text_col]).otherwise(new_text)
     joined = docs.join(lists, docs[id_col].cast("long") == lists["_id"], "left")
     return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])

@@ -60,7 +60,7 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int =
         hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(hessian, x.T @ (y - p) - penalty * beta)
         size = np.abs(step).max()
-        beta += step * min(1.0, 5.0 / size)
+        beta += step * min(1.0, 5.0 / max(size, 1e-12))
         if size < 1e-5:
             break
     return beta
