@@ -9,9 +9,9 @@ unseen. The others are confirmed on their full sets.
 Work is done per class of equal sets, so exact copies are one row. Within a bucket of candidates,
 not all pairs are made: first each member is compared with the bucket's smallest document only,
 which joins most of what belongs together. Members of a bucket that then lie in different
-components are compared with each other, by their packed signatures in blocks of bounded size, and
-pairs between the same two components are confirmed a few at a time, most alike first, until none
-is left. So the components are those of all links between candidates.
+components are compared with each other, in blocks of bounded size, by longer packed signatures
+that only they have; each pair in one bucket of those it shares. What may be linked is confirmed. So
+the components are those of all links between candidates.
 """
 
 from __future__ import annotations
@@ -26,15 +26,17 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import keyed_text, mix, runs, seeds
 from tickloom.llm.components import connected_components
 from tickloom.llm.shingles import shingle_set
-from tickloom.session import store
+from tickloom.session import settings, store
 
 WORDS = 5
 SIMILARITY = 80  # percent
 BANDS, ROWS = 24, 4
 BITS = 4
 PER_LONG = 64 // BITS
-ERRORS = 5.0  # standard errors that an estimate may lie below the threshold
+ERRORS = 4.5  # standard errors that an estimate may lie below the threshold
+WIDE = 384  # minima of the longer signatures
 BLOCK = 1500
+_FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
 
 
 def fingerprint(own: np.ndarray) -> tuple[int, int]:
@@ -127,8 +129,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
         for part in parts:
             a, b, first, second = part.columns
             keep = []
-            for x, y in zip(first.to_pylist(), second.to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(first, second, strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= similarity * (len(x) + len(y) - both))
             kept = pa.array(keep, pa.bool_())
@@ -142,45 +144,35 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return rows.mapInArrow(confirm, "a long, b long")
 
 
-def _between(found: dict[str, np.ndarray], low: float, most: int, similarity: int) -> list[tuple[int, int, bool]]:
-    """Of one block: the pairs of different components that may be linked, at most `most` for a
-    pair of components, the most alike first; the flag says that there are more."""
-    kind = found["side"]  # 1 and 2 are compared with each other; 0 with itself
-    rows, columns = (np.flatnonzero(kind == 1), np.flatnonzero(kind == 2))
+def _between(found: dict[str, np.ndarray], key: int, low: float, similarity: int) -> tuple[list, list]:
+    """Of one block of the bucket `key`: the pairs of different components that may be linked, unless
+    an earlier band has brought them together."""
+    side = found["side"]  # 1 and 2 are compared with each other; 0 with itself
+    rows, columns = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
     if not len(rows):
-        rows = columns = np.flatnonzero(kind == 0)
-    packed, n, comp, rep = (found[k] for k in ("packed", "n", "component", "rep"))
-    chance, count = 1 / (1 << BITS), packed.shape[1] * PER_LONG
-    got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        rows = columns = np.flatnonzero(side == 0)
+    wide, keys, n, comp, rep = (found[k] for k in ("wide", "keys", "n", "component", "rep"))
+    chance, count = 1 / (1 << BITS), wide.shape[1] * PER_LONG
+    first, second = [], []
     for i in rows.tolist():
-        other = columns[(comp[columns] != comp[i]) & ((rep[columns] > rep[i]) | (kind[i] != 0))]
+        other = columns[(comp[columns] != comp[i]) & ((rep[columns] > rep[i]) | (side[i] != 0))]
         small, large = np.minimum(n[other], n[i]), np.maximum(n[other], n[i])
         other = other[100 * small >= similarity * large]
         if not len(other):
             continue
-        x = (packed[other] ^ packed[i]).view(np.uint64)
+        other = other[keys[i][(keys[other] == keys[i]).argmax(axis=1)] == key]
+        x = (wide[other] ^ wide[i]).view(np.uint64)
         for shift in (1, 2):
             x |= x >> np.uint64(shift)
         differ = np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1)
-        like = (1 - differ / count - chance) / (1 - chance)
-        good = like >= low
-        if good.any():
-            got.append((np.full(int(good.sum()), i), other[good], like[good]))
-    if not got:
-        return []
-    a, b, like = (np.concatenate(c) for c in zip(*got, strict=True))
-    out, seen = [], {}
-    for k in np.argsort(-like, kind="stable").tolist():
-        pair = tuple(sorted((int(comp[a[k]]), int(comp[b[k]]))))
-        seen[pair] = seen.get(pair, 0) + 1
-        if seen[pair] <= most:
-            x, y = int(rep[a[k]]), int(rep[b[k]])
-            out.append((min(x, y), max(x, y), False))
-    return [(x, y, any(v > most for v in seen.values())) for x, y, _ in out]
-
-
-def _crossing(members: DataFrame, signatures: DataFrame, labels: DataFrame, low: float, most: int, similarity: int) -> DataFrame:
-    """Pairs (a, b, more) that meet in a bucket and lie in different components.
+        other = other[(1 - differ / count - chance) / (1 - chance) >= low]
+        first += np.minimum(rep[other], rep[i]).tolist()
+        second += np.maximum(rep[other], rep[i]).tolist()
+    return first, second
+
+
+def _crossing(members: DataFrame, sets: DataFrame, labels: DataFrame, low: float, similarity: int) -> DataFrame:
+    """Pairs (a, b) that meet in a bucket, lie in different components, and may be linked.
 
     A bucket's largest component is compared with the rest, the rest with each other, in blocks of
     at most BLOCK members a side.
@@ -229,21 +221,21 @@ def _crossing(members: DataFrame, signatures: DataFrame, labels: DataFrame, low:
             "component",
             F.inline(F.when(F.col("component") == F.col("main"), main_side).otherwise(rest_side)),
         )
-        .join(signatures, "rep")
-        .select("key", "i", "j", "m", "rep", "component", "side", "n", "packed")
+        .join(sets.select("rep", "n", "keys", "wide"), "rep")
+        .select("key", "i", "j", "m", "rep", "component", "side", "n", "keys", "wide")
     )
 
     def compare(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in runs(parts, ("key", "i", "j", "m")):
-            packed = np.array(block.column("packed").to_pylist(), np.int64)
             found = {k: block.column(k).to_numpy() for k in ("rep", "component", "side", "n")}
-            rows = _between(found | {"packed": packed}, low, most, similarity)
-            if rows:
-                columns = [pa.array(list(c)) for c in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "more"])
+            for name in ("keys", "wide"):
+                found[name] = np.stack(block.column(name).to_numpy())
+            a, b = _between(found, block.column("key")[0].as_py(), low, similarity)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     dealt = blocks.repartition("key", "i", "j", "m").sortWithinPartitions("key", "i", "j", "m")
-    return dealt.mapInArrow(compare, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+    return dealt.mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -291,37 +283,45 @@ def near_duplicates(
         .where(_sizes_fit(similarity) & (estimate(F.col("packed_a"), F.col("packed_b"), count) >= low))
         .select("a", "b")
     )
-    active = signatures.join(met.select("rep").distinct(), "rep").select(
-        F.col("rep").alias("doc_id"), F.col("set_hi").alias("hi"), F.col("set_lo").alias("lo")
+    active = classes.join(met.select("rep").distinct(), "rep").select(
+        F.col("rep").alias("doc_id"), F.col("set_hi").alias("hi"), F.col("set_lo").alias("lo"), "keys"
     )
 
     def sets_of(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maker = Sketcher(1, WIDE)
         for part in parts:
             for at in range(0, part.num_rows, 256):
-                keys, hi, lo, out = [], *(part.column(i).slice(at, 256).to_pylist() for i in (1, 2)), []
-                reps, raw = (part.column(i).slice(at, 256).to_pylist() for i in (0, 3))
-                for rep, h, l, text in zip(reps, hi, lo, raw, strict=True):
+                some = part.slice(at, 256)
+                keep, out = [], []
+                for row, (text, hi, lo) in enumerate(zip(*(some.column(i).to_pylist() for i in (4, 1, 2)), strict=True)):
                     own = shingle_set(text, words)
-                    if fingerprint(own) == (h, l):
-                        keys.append(rep)
-                        out.append(own.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.binary())], names=["rep", "shingles"])
-
-    chosen = texts.join(active, "doc_id").select("doc_id", "hi", "lo", "text")
-    sets = store(chosen.mapInArrow(sets_of, "rep long, shingles binary").dropDuplicates(["rep"]), "sets")
-    links = store(confirmed(candidates, sets, similarity), "links")
-    members, most = met.select("key", "rep").distinct(), 4
+                    if fingerprint(own) == (hi, lo):
+                        keep.append(row)
+                        out.append((len(own), maker.sketch(own)[1], own.tobytes()))
+                if not out:
+                    continue
+                kept = some.take(pa.array(keep))
+                types = [pa.int64(), pa.list_(pa.int64()), pa.binary()]
+                columns = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [kept.column(0), kept.column(3), *columns], names=["rep", "keys", "n", "wide", "shingles"]
+                )
+
+    chosen = texts.join(active, "doc_id").select("doc_id", "hi", "lo", "keys", "text")
+    # A repeated row repeats its set; that makes links twice, which does no harm.
+    with settings(docs.sparkSession, _FEW_ROWS):
+        sets = store(
+            chosen.mapInArrow(sets_of, "rep long, keys array<long>, n long, wide array<long>, shingles binary"), "sets"
+        )
+    # Rows of pairs hold two whole sets, so few of them go to Python at a time.
+    with settings(docs.sparkSession, _FEW_ROWS):
+        links = store(confirmed(candidates, sets, similarity), "links")
     labels = connected_components(links)
-    while True:
-        rest = store(_crossing(members, side, labels, low, most, similarity), "crossing")
-        if rest.limit(1).count() == 0:
-            break
-        more = store(confirmed(rest.select("a", "b"), sets, similarity), "links")
-        links = links.union(more)
-        labels = connected_components(links)
-        if rest.where("more").limit(1).count() == 0:
-            break
-        most *= 8
+    crossing = _crossing(met.select("key", "rep"), sets, labels, least_estimate(similarity, WIDE), similarity)
+    with settings(docs.sparkSession, _FEW_ROWS):
+        more = store(confirmed(crossing, sets, similarity), "links")
+    if more.limit(1).count():
+        labels = connected_components(links.union(more))
     of_class = classes.select(*identity, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
     return (
