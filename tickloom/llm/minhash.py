@@ -10,8 +10,9 @@ Work is done per class of equal sets, so exact copies are one row. Within a buck
 not all pairs are made: first each member is compared with the bucket's smallest document only,
 which joins most of what belongs together. Members of a bucket that then lie in different
 components are compared with each other, in blocks of bounded size, by longer packed signatures
-that only they have; each pair in one bucket of those it shares. What may be linked is confirmed. So
-the components are those of all links between candidates.
+that only they have; each pair in one bucket of those it shares. What may be linked is confirmed: at
+first only the likeliest partner of each, which joins most of a group, then every pair that still
+lies in two components. So the components are those of all links between candidates.
 """
 
 from __future__ import annotations
@@ -144,9 +145,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return rows.mapInArrow(confirm, "a long, b long")
 
 
-def _between(found: dict[str, np.ndarray], key: int, low: float, similarity: int) -> tuple[list, list]:
+def _between(
+    found: dict[str, np.ndarray], key: int, low: float, similarity: int, best: bool
+) -> tuple[list, list]:
     """Of one block of the bucket `key`: the pairs of different components that may be linked, unless
-    an earlier band has brought them together."""
+    an earlier band has brought them together; with `best`, only each row's likeliest partner."""
     side = found["side"]  # 1 and 2 are compared with each other; 0 with itself
     rows, columns = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
     if not len(rows):
@@ -165,13 +168,18 @@ def _between(found: dict[str, np.ndarray], key: int, low: float, similarity: int
         for shift in (1, 2):
             x |= x >> np.uint64(shift)
         differ = np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1)
-        other = other[(1 - differ / count - chance) / (1 - chance) >= low]
+        near = (1 - differ / count - chance) / (1 - chance) >= low
+        if best and near.any():
+            near = np.array([differ.argmin()])
+        other = other[near]
         first += np.minimum(rep[other], rep[i]).tolist()
         second += np.maximum(rep[other], rep[i]).tolist()
     return first, second
 
 
-def _crossing(members: DataFrame, sets: DataFrame, labels: DataFrame, low: float, similarity: int) -> DataFrame:
+def _crossing(
+    members: DataFrame, sets: DataFrame, labels: DataFrame, low: float, similarity: int, best: bool
+) -> DataFrame:
     """Pairs (a, b) that meet in a bucket, lie in different components, and may be linked.
 
     A bucket's largest component is compared with the rest, the rest with each other, in blocks of
@@ -230,7 +238,7 @@ def _crossing(members: DataFrame, sets: DataFrame, labels: DataFrame, low: float
             found = {k: block.column(k).to_numpy() for k in ("rep", "component", "side", "n")}
             for name in ("keys", "wide"):
                 found[name] = np.stack(block.column(name).to_numpy())
-            a, b = _between(found, block.column("key")[0].as_py(), low, similarity)
+            a, b = _between(found, block.column("key")[0].as_py(), low, similarity, best)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -317,11 +325,14 @@ def near_duplicates(
     with settings(docs.sparkSession, _FEW_ROWS):
         links = store(confirmed(candidates, sets, similarity), "links")
     labels = connected_components(links)
-    crossing = _crossing(met.select("key", "rep"), sets, labels, least_estimate(similarity, WIDE), similarity)
-    with settings(docs.sparkSession, _FEW_ROWS):
-        more = store(confirmed(crossing, sets, similarity), "links")
-    if more.limit(1).count():
-        labels = connected_components(links.union(more))
+    members, wide = met.select("key", "rep"), least_estimate(similarity, WIDE)
+    for best in (True, False):
+        crossing = _crossing(members, sets, labels, wide, similarity, best)
+        with settings(docs.sparkSession, _FEW_ROWS):
+            more = store(confirmed(crossing, sets, similarity), "links")
+        if more.limit(1).count():
+            links = links.union(more)
+            labels = connected_components(links)
     of_class = classes.select(*identity, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
     return (
