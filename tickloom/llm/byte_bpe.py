@@ -20,6 +20,7 @@ import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -45,6 +46,8 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         # White space that a split at single blanks and line ends could cut apart.
         self.uneven = re.compile(r"\s\s|[^\S \n]|\x00|\A\s|\s\Z")
+        # split() knows how this one pattern takes words of letters.
+        self.plain = pattern == public_tokenizers.PATTERN
         ranks = self.ranks
         self.first = [[ranks.get(bytes((a, b)), -1) for b in range(256)] for a in range(256)]
         self.digits_of = {rank: b"%d" % rank for rank in ranks.values()}
@@ -120,10 +123,25 @@ class ByteBpe:
             i = following[i]
         return tuple(out)
 
+    def split(self, part: str) -> list[str]:
+        """The matches of the pattern. A word of letters, with a blank or line end before it or a
+        mark behind it, is by far the most frequent part and needs no search."""
+        if not self.plain:
+            return self.pattern.findall(part)
+        head, body = (part[:1], part[1:]) if part[:1] in (" ", "\n") else ("", part)
+        if head == "\n":
+            rest = self.split(body) if body[:1] not in (" ", "\n") else None
+            return [head, *rest] if body and rest is not None else self.pattern.findall(part)
+        if body.isalpha():
+            return [part]
+        if body[-1:] in (".", ",", "!") and body[:-1].isalpha():
+            return [part[:-1], body[-1]]
+        return self.pattern.findall(part)
+
     def encode(self, text: str) -> list[int]:
         """Ids of a text, each match of the pattern merged on its own."""
         out: list[int] = []
-        for piece in self.pattern.findall(text):
+        for piece in self.split(text):
             ids = self.pieces.get(piece)
             if ids is None:
                 ids = self.merge(piece.encode("utf-8"))
