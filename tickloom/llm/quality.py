@@ -28,7 +28,7 @@ from tickloom.llm.common import collect_features, labelled_sample, mix, with_tex
 BITS = 18
 SAMPLE = 8000
 THRESHOLD = 0.3
-_WORDS_KEPT = 400_000
+_WORDS_KEPT = 150_000
 _RUNS = ((re.compile(r"[^\W\d_]+"), lambda m: _case(m[0])), (re.compile(r"\d+"), lambda m: "0"))
 _SHAPES: dict[str, int] = {}
 
