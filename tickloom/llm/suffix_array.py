@@ -35,12 +35,16 @@ from pyspark.sql import types as T
 
 from tickloom.llm.common import mix, runs, seeds
 from tickloom.llm.shingles import _powers
-from tickloom.session import store
+from tickloom.session import remove_path, settings, shared_path, store
 
 WIDTH = 100
 GRAM = 32
-SLOT_BYTES = 24_000_000
+SLOT_BYTES = 8_000_000
+# Ranges of hashes per slot: several in a partition even out, and each is small in memory.
+RANGES_PER_SLOT = 2
 OFTEN = 4000
+# Whole texts and lists are large rows: few of them go to Python at a time.
+_FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
 _OF_BYTE = seeds(256, 202)
 
 
@@ -76,7 +80,8 @@ def anchors(data: np.ndarray, ends: np.ndarray, width: int, gram: int) -> tuple[
     least[starts + width > ends[crossing]] = 0
     padded = np.concatenate([np.zeros(reach - 1, np.uint64), least, np.zeros(reach - 1, np.uint64)])
     at = np.flatnonzero(_slide(padded, reach, np.maximum) == hashes)
-    return at, hashes[at]
+    # Anchors have small hashes. Scrambled once more, they are spread evenly over all ranges.
+    return at, mix(hashes[at])
 
 
 def _pack(*columns: np.ndarray) -> bytes:
@@ -140,17 +145,18 @@ def _repeated_anchors(rows: DataFrame, slots: int, width: int, gram: int, often:
 
         def flush():
             hashes, uids, at = (np.concatenate(c) for c in zip(*held, strict=True))
-            part = (hashes >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)
+            ranges = np.uint64(slots * RANGES_PER_SLOT)
+            part = (hashes >> np.uint64(32)) * ranges >> np.uint64(32)
             return _lists(RUN, _by(part.astype(np.int64), hashes, uids, at))
 
         for part in parts:
-            for own_uids, data, ends in _joined(part.column(0), part.column(1)):
+            for own_uids, data, ends in _joined(part):
                 at, hashes = anchors(data, ends, width, gram)
                 doc = np.searchsorted(ends, at, side="right")
                 starts = np.concatenate([[0], ends[:-1]])
                 held.append((hashes, own_uids[doc], (at - starts[doc]).astype(np.int32)))
                 count += len(at)
-                if count > 2_000_000:
+                if count > 200_000:
                     yield flush()
                     held, count = [], 0
         if count:
@@ -174,16 +180,18 @@ def _repeated_anchors(rows: DataFrame, slots: int, width: int, gram: int, often:
     return dealt.mapInArrow(count, _LISTS)
 
 
-def _joined(uids, texts, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _joined(part: pa.RecordBatch, most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Documents in batches of about `most` bytes: ids, all bytes, and where each document ends."""
     own, raw, size = [], [], 0
-    for uid, text in zip(uids.to_pylist(), texts.to_pylist(), strict=True):
-        own.append(uid)
-        raw.append(text.encode("utf-8", "surrogatepass"))
-        size += len(raw[-1])
-        if size >= most:
-            yield np.array(own), np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(r) for r in raw])
-            own, raw, size = [], [], 0
+    for low in range(0, part.num_rows, 64):
+        some = part.slice(low, 64)
+        for uid, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+            own.append(uid)
+            raw.append(text.encode("utf-8", "surrogatepass"))
+            size += len(raw[-1])
+            if size >= most:
+                yield np.array(own), np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(r) for r in raw])
+                own, raw, size = [], [], 0
     if size:
         yield np.array(own), np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(r) for r in raw])
 
@@ -198,9 +206,9 @@ def front_code(strings: list[bytes]) -> tuple[np.ndarray, bytes]:
     return shared, b"".join([s[k:] for s, k in zip(strings, shared.tolist(), strict=True)])
 
 
-def decode_run(shared: np.ndarray, rests: bytes, length: int) -> Iterator[tuple[bytes, int]]:
-    """The strings of a run and the prefix each shares with the one before."""
-    at, last = 0, b""
+def decode_run(shared: np.ndarray, rests: bytes, length: int, at: int = 0) -> Iterator[tuple[bytes, int]]:
+    """The strings of a run and the prefix each shares with the one before; rests begin at `at`."""
+    last = b""
     for k in shared.tolist():
         last = last[:k] + rests[at : at + length - k]
         at += length - k
@@ -290,7 +298,8 @@ def _runs_of_slot(texts: pa.Table, lists: pa.Table, slots: int, width: int, gram
     salted = spread > 1
     salt = mix(uids.astype(np.uint64)) % spread.astype(np.uint64)
     heads = np.where(salted, mix(hashes + (salt << np.uint64(1)) + np.uint64(1)), hashes).astype(">u8").tobytes()
-    text_of = dict(zip(texts.column("uid").to_pylist(), texts.column("text").to_pylist(), strict=True))
+    row_of = {uid: row for row, uid in enumerate(texts.column("uid").to_pylist())}
+    column = texts.column("text")
     raw: dict[int, bytes] = {}
     first: dict[bytes, tuple[int, int, int]] = {}
     spans: list[tuple[int, int, int]] = []
@@ -299,7 +308,7 @@ def _runs_of_slot(texts: pa.Table, lists: pa.Table, slots: int, width: int, gram
         order.tolist(), uids[order].tolist(), at[order].tolist(), salted[order].tolist(), strict=True
     ):
         if uid not in raw:
-            raw = {uid: text_of[uid].encode("utf-8", "surrogatepass")}
+            raw = {uid: column[row_of[uid]].as_buffer().to_pybytes()}
         key = shape.make(heads[8 * i : 8 * i + 8], raw[uid], place)
         if key in first:
             if key[-2] + key[-1] >= width:
@@ -308,15 +317,17 @@ def _runs_of_slot(texts: pa.Table, lists: pa.Table, slots: int, width: int, gram
             first[key] = (uid, place, hot)
     keys = sorted(first)
     own = np.array([first[k] for k in keys], np.int64)
+    del first
     leading = np.array([int.from_bytes(k[:4], "big") for k in keys], np.uint64)
-    part = (leading * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
+    part = (leading * np.uint64(slots * RANGES_PER_SLOT) >> np.uint64(32)).astype(np.int64)
     kinds, begin = np.unique(part, return_index=True)
     out = []
     for kind, low, high in zip(kinds.tolist(), begin, [*begin[1:], len(keys)], strict=True):
         shared, rests = front_code(keys[low:high])
-        head = np.array([high - low], "<i8")
         columns = own[low:high, 0], own[low:high, 1].astype("<i4"), own[low:high, 2].astype("<i4")
-        out.append((kind, _pack(head, *columns, shared) + rests))
+        raw = _pack(*columns, shared) + rests
+        head = np.array([high - low, len(raw)], "<i8")
+        out.append((kind, _pack(head) + pa.compress(raw, codec="zstd", asbytes=True)))
     if out:
         yield _lists(RUN, out)
     if spans:
@@ -329,11 +340,12 @@ def _span_lists(spans: np.ndarray, slots: int) -> list[tuple[int, bytes]]:
 
 
 def _read_run(blob: bytes, length: int) -> tuple[list[np.ndarray], Iterator[tuple[bytes, int]]]:
-    n = int(np.frombuffer(blob, "<i8", 1)[0])
-    uids = np.frombuffer(blob, "<i8", n, 8)
-    at, hot = (np.frombuffer(blob, "<i4", n, 8 + 8 * n + 4 * n * i) for i in (0, 1))
-    shared = np.frombuffer(blob, "<u2", n, 8 + 16 * n)
-    return [uids, at, hot], decode_run(shared, blob[8 + 18 * n :], length)
+    n, size = np.frombuffer(blob, "<i8", 2).tolist()
+    raw = pa.decompress(blob[16:], size, codec="zstd", asbytes=True)
+    uids = np.frombuffer(raw, "<i8", n)
+    at, hot = (np.frombuffer(raw, "<i4", n, 8 * n + 4 * n * i) for i in (0, 1))
+    shared = np.frombuffer(raw, "<u2", n, 16 * n)
+    return [uids, at, hot], decode_run(shared, raw, length, 18 * n)
 
 
 class _Merged:
@@ -363,7 +375,7 @@ class _Merged:
         """Suffixes of one anchor: alone they hold no further repeat, unless others are elsewhere."""
         if len(self.group) > 1 or (self.group and self.group[0][2]):
             self.waiting += self.group
-            if len(self.waiting) >= 4096:
+            if len(self.waiting) >= 2048:
                 self.compare()
         self.group = []
 
@@ -426,13 +438,14 @@ def _merge_range(part: pa.Table, slots: int, width: int, gram: int) -> Iterator[
     if through:
         yield _lists(SPANS, through)
     read = [_read_run(b, merged.shape.length) for k, b in zip(kinds, blobs, strict=True) if k == RUN]
-    facts = [[c.tolist() for c in columns] for columns, _ in read]
+    del blobs
+    facts = [columns for columns, _ in read]
     nth = [0] * len(read)
     for run, key, shared in merge_runs([strings for _, strings in read]):
         i = nth[run]
         nth[run] += 1
         uids, at, hot = facts[run]
-        merged.add(uids[i], at[i], hot[i], key, shared)
+        merged.add(int(uids[i]), int(at[i]), int(hot[i]), key, shared)
     merged.close_group()
     merged.compare()
     spans = [*merged.spans, np.array(merged.covered, np.int64).reshape(-1, 3)]
@@ -450,7 +463,11 @@ def repeated_spans(
     rows: DataFrame, slots: int, width: int = WIDTH, gram: int = GRAM, often: int = OFTEN
 ) -> DataFrame:
     """(part, blob) lists of repeated spans for (slot, uid, text) rows with unique, non-NULL uids."""
-    lists = store(_repeated_anchors(rows, slots, width, gram, often), "anchors")
+    spark = rows.sparkSession
+    place = shared_path(spark, "anchors")
+    with settings(spark, _FEW_ROWS):
+        _repeated_anchors(rows, slots, width, gram, often).write.parquet(place)
+    lists = spark.read.schema(_LISTS).parquet(place)
     def sort(texts: pa.Table, own: pa.Table) -> pa.Table:
         found = _runs_of_slot(texts, own, slots, width, gram) if texts.num_rows and own.num_rows else ()
         return pa.Table.from_batches(list(found), schema=_EMPTY)
@@ -469,7 +486,9 @@ def repeated_spans(
     # Spans found already only pass through; they go to any task.
     ranged = suffixes.withColumn("range", F.col("part"))
     dealt = ranged.repartition(slots, "range").sortWithinPartitions("range")
-    found = store(dealt.mapInArrow(merge, _LISTS), "repeats")
+    with settings(spark, _FEW_ROWS):
+        found = store(dealt.mapInArrow(merge, _LISTS), "repeats")
+    remove_path(spark, place)
     spans = found.where(F.col("kind") == SPANS).select("part", "blob")
     if found.where(F.col("kind") == WINDOWS).limit(1).count() == 0:
         return spans
@@ -504,7 +523,7 @@ def repeated_spans(
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """The documents with a unique number `_uid` in the order of ids, and the bytes of all texts.
+    """The documents with a unique number `__number__` in the order of ids, and the bytes of all texts.
 
     Unique ids are their own numbers. Otherwise the rows are sorted by id (NULL first) and text
     and numbered in that order, in a stored table.
@@ -518,8 +537,8 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, i
     size = row["bytes"] or 0
     if (row["n"] or 0) > 1 or row["gap"]:
         ordered = docs.orderBy(F.asc_nulls_first(id_col), text_col)
-        return store(ordered.withColumn("_uid", F.monotonically_increasing_id()), "numbered"), size
-    return docs.withColumn("_uid", F.col(id_col).cast("long")), size
+        return store(ordered.withColumn("__number__", F.monotonically_increasing_id()), "numbered"), size
+    return docs.withColumn("__number__", F.col(id_col).cast("long")), size
 
 
 def _apply(
@@ -529,9 +548,9 @@ def _apply(
     """Find repeats, then hand each slot's documents and their merged spans to `make`."""
     numbered, size = _numbered(docs, id_col, text_col)
     slots = max(1, -(-size // slot_bytes))
-    placed = numbered.withColumn("_slot", _slot_of("_uid", slots))
+    placed = numbered.withColumn("__slot__", _slot_of("__number__", slots))
     rows = placed.select(
-        F.col("_slot").alias("slot"), F.col("_uid").alias("uid"),
+        F.col("__slot__").alias("slot"), F.col("__number__").alias("uid"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
     lists = repeated_spans(rows, slots, width, gram, often)
@@ -540,14 +559,14 @@ def _apply(
         uids, low, high = _unpack(spans.column("blob").to_pylist(), "<i8", "<i4", "<i4")
         order = np.lexsort((low, uids))
         uids, low, high = uids[order], low[order], high[order]
-        docs_uid = own.column("_uid").to_numpy()
+        docs_uid = own.column("__number__").to_numpy()
         begin, end = np.searchsorted(uids, docs_uid), np.searchsorted(uids, docs_uid, side="right")
         merged = [_union(low[b:e], high[b:e]) for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
         return pa.Table.from_arrays(make(own, merged), names=out.names)
 
     return (
-        placed.groupBy("_slot")
-        .cogroup(lists.select(F.col("part").alias("_slot"), "blob").groupBy("_slot"))
+        placed.groupBy("__slot__")
+        .cogroup(lists.select(F.col("part").alias("__slot__"), "blob").groupBy("__slot__"))
         .applyInArrow(finish, out)
     )
 
