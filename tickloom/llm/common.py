@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -83,10 +83,11 @@ def with_text(docs: DataFrame, text_col: str, out_col: str, kind: T.DataType, ma
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, sample: int, id_col: str, text_col: str
 ) -> DataFrame:
-    """(doc_id, text, label) of at most `sample` labelled ids, half of them of each class.
+    """(doc_id, text, label, weight) of at most `sample` labelled ids, half of them of each class.
 
     Rows are drawn by a hash of the id. Labels other than 0 and 1, NULL ones among them, count for
-    nothing; of several labels of an id the highest counts.
+    nothing; of several labels of an id the highest counts. The weights restore the mix of all
+    labels, so that a probability fitted with them means the same whatever was drawn.
     """
     known = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
@@ -96,23 +97,40 @@ def labelled_sample(
     draw = F.xxhash64("doc_id", F.lit(11))
     halves = [known.where(F.col("label") == k).orderBy(draw, "doc_id").limit(sample // 2) for k in (0, 1)]
     # The sample's ids are broadcast: their number is bounded by `sample`.
-    chosen = F.broadcast(halves[0].unionByName(halves[1]))
-    return keyed_text(docs, id_col, text_col).join(chosen, "doc_id").select("doc_id", "text", "label")
+    chosen = F.broadcast(halves[0].unionByName(halves[1]).withColumn("weight", class_weight(known, "label", sample)))
+    return keyed_text(docs, id_col, text_col).join(chosen, "doc_id").select("doc_id", "text", "label", "weight")
 
 
-def collect_features(rows: DataFrame, make: Callable[[str], np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Feature lists and labels of a labelled sample, in order of id; the texts stay where they are."""
+def class_weight(rows: DataFrame, label_col: str, sample: int) -> Column:
+    """What a row counts for where at most sample // 2 rows of each class (0 and 1) are drawn from `rows`.
+
+    That is the share of its class among all rows over its share among the drawn ones: 1 on average,
+    and for every row where all are drawn.
+    """
+    total = {int(r[0]): r[1] for r in rows.groupBy(label_col).count().collect()}
+    drawn = {k: min(n, sample // 2) for k, n in total.items()}
+    scale = sum(drawn.values()) / max(1, sum(total.values()))
+    made = [scale * total[k] / max(1, drawn[k]) if k in total else 1.0 for k in (0, 1)]
+    return F.when(F.col(label_col) == 1, made[1]).otherwise(made[0])
+
+
+def collect_features(
+    rows: DataFrame, make: Callable[[str], np.ndarray]
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Feature lists, labels and weights of a labelled sample, in order of id; the texts stay where they are."""
 
     def extract(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             found = [make(t).astype(np.int32).tobytes() for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), pa.array(found, pa.binary())], names=["doc_id", "label", "found"]
+                [part.column(0), part.column(2), part.column(3), pa.array(found, pa.binary())],
+                names=["doc_id", "label", "weight", "found"],
             )
 
-    got = rows.mapInArrow(extract, "doc_id long, label int, found binary").collect()
-    got = sorted((r["doc_id"], bytes(r["found"]), r["label"]) for r in got)
-    return [np.frombuffer(r[1], np.int32) for r in got], np.array([r[2] for r in got], np.int64)
+    got = rows.mapInArrow(extract, "doc_id long, label int, weight double, found binary").collect()
+    got = sorted((r["doc_id"], bytes(r["found"]), r["label"], r["weight"]) for r in got)
+    labels, weights = np.array([r[2] for r in got], np.int64), np.array([r[3] for r in got], float)
+    return [np.frombuffer(r[1], np.int32) for r in got], labels, weights
 
 
 def runs(parts: Iterable[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:

@@ -8,8 +8,9 @@ the scaled, length-normalised vectors by dual coordinate descent, and a logistic
 margin into a score from 0 to 1.
 
 The model is fitted on at most `sample` labelled rows, drawn by a hash of the id, half of each
-class where there are enough. Scoring is one pass over all documents without a shuffle; every
-text is read whole.
+class where there are enough. The logistic curve weighs them so that the classes count as they do
+among all labels: a score means the same at every size. Scoring is one pass over all documents
+without a shuffle; every text is read whole.
 """
 
 from __future__ import annotations
@@ -122,25 +123,32 @@ def dual_coordinate_descent(
     return weights, bias
 
 
-def logistic(margins: np.ndarray, good: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic curve through margins, with smoothed targets."""
-    n1, n0 = float(good.sum()), float((~good).sum())
+def logistic(margins: np.ndarray, good: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the logistic curve through weighted margins, with smoothed targets."""
+    n1, n0 = float(weight[good].sum()), float(weight[~good].sum())
     target = np.where(good, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     x = np.stack([margins, np.ones_like(margins)], axis=1)
     beta = np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hessian, x.T @ (target - p) - 1e-3 * beta)
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hessian, x.T @ (weight * (target - p)) - 1e-3 * beta)
         beta += step
         if np.abs(step).max() < 1e-6:
             break
     return float(beta[0]), float(beta[1])
 
 
-def fit(found: list[np.ndarray], good: np.ndarray, bits: int, cost: float = 1.0, epochs: int = 40) -> Model:
-    """A model from feature lists and labels; without both classes it gives the one there is
-    (0.5 without any)."""
+def fit(
+    found: list[np.ndarray],
+    good: np.ndarray,
+    bits: int,
+    cost: float = 1.0,
+    epochs: int = 40,
+    weight: np.ndarray | None = None,
+) -> Model:
+    """A model from feature lists, labels and what each row counts for in the curve; without both
+    classes it gives the one there is (0.5 without any)."""
     size = 1 << bits
     if not good.any() or good.all():
         share = float(good.mean()) if len(good) else 0.5
@@ -167,7 +175,7 @@ def fit(found: list[np.ndarray], good: np.ndarray, bits: int, cost: float = 1.0,
         )
         for i in np.flatnonzero(~seen):
             margins[i] = float(w[rows[i][0]] @ rows[i][1]) + b
-    slope, shift = logistic(margins, good)
+    slope, shift = logistic(margins, good, np.ones(len(rows)) if weight is None else weight)
     weights, bias = dual_coordinate_descent(rows, signs, size, cost, epochs)
     return Model(scale, weights, bias, slope, shift)
 
@@ -188,8 +196,8 @@ def train(
 ) -> Model:
     """Fit on a bounded sample of labelled documents outside the held-out fifth."""
     rows = labelled_sample(docs, labels.where(~held_out(id_col)), label_col, sample, id_col, text_col)
-    found, label = collect_features(rows, lambda text: features(text, bits))
-    return fit(found, label == 1, bits)
+    found, label, weight = collect_features(rows, lambda text: features(text, bits))
+    return fit(found, label == 1, bits, weight=weight)
 
 
 def score_documents(

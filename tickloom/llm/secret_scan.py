@@ -17,6 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import class_weight
 from tickloom.session import store
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
@@ -109,18 +110,23 @@ def format_label() -> Column:
 
 def train(labelled: DataFrame, label_col: str = "label", sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH) -> Model | None:
     """A forest from findings with features and labels, at most `sample` distinct values of them,
-    half of each class where there are enough; None without both classes."""
+    half of each class where there are enough, weighted to the mix of all; None without both classes."""
     draw = F.xxhash64("value", F.lit(5))
     rows = labelled.where(F.col(label_col).isin(0, 1)).dropDuplicates(["value"])
     halves = [rows.where(F.col(label_col) == k).orderBy(draw, "value").limit(sample // 2) for k in (0, 1)]
+    weight = class_weight(rows, label_col, sample)
     chosen = store(
-        halves[0].unionByName(halves[1]).select(*FEATURES, F.col(label_col).cast("double").alias("label")), "labelled"
+        halves[0]
+        .unionByName(halves[1])
+        .select(*FEATURES, F.col(label_col).cast("double").alias("label"), weight.alias("weight")),
+        "labelled",
     )
     if chosen.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(
-        featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=3, featureSubsetStrategy="sqrt"
-    )
+        featuresCol="features", labelCol="label", weightCol="weight",
+        numTrees=trees, maxDepth=depth, seed=3, featureSubsetStrategy="sqrt",
+    )
     return forest.fit(_assembled(chosen))
 
 

@@ -10,6 +10,9 @@ Word beginnings find inflected forms that the training rows do not hold. Of all
 the model keeps those whose share among the positive rows differs most from that among the
 negative ones, by their chi-squared statistic, so a long clean text is not condemned by the sum
 of many chance features.
+
+The training sample is drawn by class; rows weigh as much as makes the classes count as they do
+among all labels, so a probability means the same at every size.
 """
 
 from __future__ import annotations
@@ -49,16 +52,19 @@ def features(text: str, bits: int = BITS) -> np.ndarray:
     return np.sort(np.fromiter(found, np.int32, len(found)))
 
 
-def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30) -> np.ndarray:
-    """Coefficients, the constant last, by Newton steps with a ridge penalty."""
+def logistic_fit(
+    x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30, weight: np.ndarray | None = None
+) -> np.ndarray:
+    """Coefficients, the constant last, by Newton steps with a ridge penalty; rows may have weights."""
+    weight = np.ones(len(x)) if weight is None else weight
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
     beta = np.zeros(x.shape[1])
     for _ in range(steps):
         p = _curve(x @ beta)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(hessian, x.T @ (y - p) - penalty * beta)
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        step = np.linalg.solve(hessian, x.T @ (weight * (y - p)) - penalty * beta)
         size = np.abs(step).max()
         beta += step * min(1.0, 5.0 / max(size, 1e-12))
         if size < 1e-5:
@@ -115,12 +121,14 @@ def fit_chain(
     keep: int = FEATURES,
     folds: int = FOLDS,
     bits: int = BITS,
+    weight: np.ndarray | None = None,
 ) -> Chain:
-    """A chain from feature lists and a 0/1 array per category, in chain order.
+    """A chain from feature lists, a 0/1 array per category, in chain order, and weights of the rows.
 
     A category without both classes gets the constant that its rows have.
     """
     n, size = len(found), 1 << bits
+    weight = np.ones(n) if weight is None else weight
     best = np.zeros(size)
     everywhere = np.zeros(size)
     for at in found:
@@ -150,10 +158,10 @@ def fit_chain(
             models.append(constant)
             out_of_fold = np.full(n, _curve(constant[-1:])[0] if n else 0.5)
         else:
-            models.append(logistic_fit(own, y))
+            models.append(logistic_fit(own, y, weight=weight))
             out_of_fold = np.zeros(n)
             for k in range(folds):
-                beta = logistic_fit(own[fold != k], y[fold != k])
+                beta = logistic_fit(own[fold != k], y[fold != k], weight=weight[fold != k])
                 out_of_fold[fold == k] = _curve(own[fold == k] @ beta[:-1] + beta[-1])
         earlier = np.concatenate([earlier, out_of_fold[:, None]], axis=1)
     return Chain(tuple(labels), places, models, bits)
@@ -173,14 +181,15 @@ def train(
     Where only one category is labelled, the second is derived: a labelled text with at least
     `strong` distinct indicators that positive rows have twenty times as often as negative ones.
     """
-    found, label = collect_features(labelled_sample(docs, labels, label_col, sample, id_col, text_col), features)
+    rows = labelled_sample(docs, labels, label_col, sample, id_col, text_col)
+    found, label, weight = collect_features(rows, features)
     counts = [np.full(1 << BITS, 0.5), np.full(1 << BITS, 0.5)]
     for at, y in zip(found, label, strict=True):
         counts[y][at] += 1
     n = [max(1, int((label == k).sum())) for k in (0, 1)]
     telling = (counts[1] / n[1] > 20 * counts[0] / n[0]) & (counts[1] > 5)
     severe = np.array([int(y and telling[at].sum() >= strong) for at, y in zip(found, label, strict=True)], np.int64)
-    return fit_chain(found, {label_col: label, f"severe_{label_col}": severe})
+    return fit_chain(found, {label_col: label, f"severe_{label_col}": severe}, weight=weight)
 
 
 def score_documents(
