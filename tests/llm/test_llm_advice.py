@@ -41,3 +41,18 @@ def test_the_forest_knows_the_mix_of_all_findings(spark):
     model = secret_scan.train(table, sample=200)
     judged = secret_scan.judge(table, model)
     assert np.mean([r[0] for r in judged.select("probability").collect()]) == pytest.approx(0.1, abs=0.05)
+
+
+def test_text_without_white_space_is_judged_by_all_of_it():
+    draw = random.Random(4)
+
+    def unspaced(good):
+        # The same beginning; bad ones have their marks only in the last half.
+        start = "".join(f"{draw.choice(['漢字', '文章', '言葉'])}，" for _ in range(30))
+        return start + "".join(f"語{'。' if good else '！？'}" for _ in range(10))
+
+    good = np.arange(200) // 2 % 2 == 0
+    found = [quality.features(unspaced(g)) for g in good]
+    model = quality.fit(found[:100], good[:100], quality.BITS)
+    assert [model.score(f) > 0.5 for f in found[100:]] == good[100:].tolist()
+    assert quality.shape("a1" * 40 + "!") != quality.shape("a1" * 40 + "?")

@@ -2,7 +2,8 @@
 
 A word becomes its shape (runs of capitals, small letters, digits, and the other characters as
 they stand; a mark if it repeats the word before), and the features are the indicators of 1- to 3-grams of
-shapes, hashed to 2**bits places.
+shapes, hashed to 2**bits places. A word with a long shape (text without white space, addresses, glued
+junk) also has the 1- to 3-grams of the pieces of its shape, so its inside counts as well.
 Each indicator is scaled by its class log-count ratio; a linear model with hinge loss is fitted to
 the scaled, length-normalised vectors by dual coordinate descent, and a logistic curve turns its
 margin into a score from 0 to 1.
@@ -16,6 +17,7 @@ without a shuffle; every text is read whole.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +32,10 @@ BITS = 18
 SAMPLE = 8000
 THRESHOLD = 0.3
 _WORDS_KEPT = 150_000
+_LONG_SHAPE = 12
+_LONGEST_KEPT = 100
+_PIECE = re.compile(r"[^\W\d_]+|\d+|.", re.DOTALL)
+_REPEATED = np.uint64(0x9E3779B97F4A7C15)
 _RUNS = ((re.compile(r"[^\W\d_]+"), lambda m: _case(m[0])), (re.compile(r"\d+"), lambda m: "0"))
 _SHAPES: dict[str, int] = {}
 
@@ -45,33 +51,53 @@ def _case(run: str) -> str:
 def shape(word: str) -> str:
     for pattern, made in _RUNS:
         word = pattern.sub(made, word)
-    return word[:12]
+    return word
 
 
-def _shape_hash(word: str) -> int:
+def _shape_hash(word: str, inner: list[np.ndarray]) -> int:
+    """The hash of a word's shape; the hashes of a long shape's pieces are added to `inner`."""
     known = _SHAPES.get(word)
     if known is None:
-        if len(_SHAPES) > _WORDS_KEPT:
-            _SHAPES.clear()
-        _SHAPES[word] = known = xxhash.xxh3_64_intdigest(shape(word))
+        made = shape(word)
+        known = xxhash.xxh3_64_intdigest(made)
+        if len(made) > _LONG_SHAPE:
+            inner.append(_piece_hashes(word))
+        elif len(word) <= _LONGEST_KEPT:
+            if len(_SHAPES) > _WORDS_KEPT:
+                _SHAPES.clear()
+            _SHAPES[word] = known
     return known
 
 
-def features(text: str, bits: int = BITS) -> np.ndarray:
-    """The distinct hashed features of a text, ascending. Never empty: every text has a marker."""
-    words = text.split()
-    own = np.array([_shape_hash(w) for w in words], np.uint64)
-    if len(words) > 1:
-        same = [False, *(a == b for a, b in zip(words, words[1:], strict=False))]
-        own[np.array(same)] ^= np.uint64(0x9E3779B97F4A7C15)
-    grams = [np.array([len(words) == 0], np.uint64)]
+def _piece_hashes(word: str) -> np.ndarray:
+    """Of each run or other character of a word, the hash of its shape, marked if it repeats the one before."""
+    pieces = _PIECE.findall(word)
+    own = np.array([xxhash.xxh3_64_intdigest(shape(p)) for p in pieces], np.uint64)
+    own[[False, *(a == b for a, b in zip(pieces, pieces[1:], strict=False))]] ^= _REPEATED
+    return own
+
+
+def _grams(own: np.ndarray, kind: int) -> Iterator[np.ndarray]:
+    """The 1- to 3-grams of hashes; those of different kinds differ."""
     for n in (1, 2, 3):
-        count = len(words) - n + 1
+        count = len(own) - n + 1
         if count > 0:
-            gram = np.full(count, n, np.uint64)
+            gram = np.full(count, kind + n, np.uint64)
             for i in range(n):
                 gram = mix(gram ^ own[i : i + count])
-            grams.append(gram)
+            yield gram
+
+
+def features(text: str, bits: int = BITS) -> np.ndarray:
+    """The distinct hashed features of a text, ascending. Never empty: every text has a marker."""
+    words, inner = text.split(), []
+    own = np.array([_shape_hash(w, inner) for w in words], np.uint64)
+    if len(words) > 1:
+        same = [False, *(a == b for a, b in zip(words, words[1:], strict=False))]
+        own[np.array(same)] ^= _REPEATED
+    grams = [np.array([len(words) == 0], np.uint64), *_grams(own, 0)]
+    for pieces in inner:
+        grams.extend(_grams(pieces, 3))
     return np.unique(mix(np.concatenate(grams)) >> np.uint64(64 - bits)).astype(np.int32)
 
 
