@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from fixtures_llm import documents, words
-from tickloom.llm import quality, secret_scan, toxicity
+from tickloom.llm import imatch, quality, secret_scan, toxicity
 
 
 def mixed(spark, draw, n=600, rare=10):
@@ -56,3 +56,11 @@ def test_text_without_white_space_is_judged_by_all_of_it():
     model = quality.fit(found[:100], good[:100], quality.BITS)
     assert [model.score(f) > 0.5 for f in found[100:]] == good[100:].tolist()
     assert quality.shape("a1" * 40 + "!") != quality.shape("a1" * 40 + "?")
+
+
+def test_terms_are_counted_one_by_one(spark):
+    # 300,000 terms that occur once, and one that occurs twice: a table of 2**22 places has some
+    # 10,000 places that several of them share.
+    rows = [(i, " ".join(f"t{i}x{k}" for k in range(3000)) + (" twice" if i < 2 else "")) for i in range(100)]
+    kept, most = imatch.band_terms(documents(spark, rows).select("doc_id", "text"))
+    assert kept.tolist() == imatch.terms("twice", imatch.BITS).tolist() and most == 3001

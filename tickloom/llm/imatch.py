@@ -1,14 +1,13 @@
 """I-Match fingerprints over randomised lexicons (operator 2).
 
-A term is a lower-cased run of letters and digits, known by a hash of `bits` bits. The lexicon
-holds the terms whose document frequency lies in a band: rare ones are typing errors and names,
-frequent ones say nothing. Frequencies are counted over all documents. The lexicon is a bitmap of
-2**bits places, so what is sent to the tasks has a fixed size, however large the corpus; terms
-that share a place count as one.
+A term is a lower-cased run of letters and digits, known by a hash of 64 bits. The lexicon holds
+the terms whose document frequency lies in a band: rare ones are typing errors and names,
+frequent ones say nothing. Frequencies are counted exactly over all documents, and the tasks get
+the sorted hashes of the lexicon's terms: 8 bytes each, so as much as the vocabulary in the band.
 
 From the lexicon, randomised subsets are drawn: a subset keeps a term if a hash of both falls
-below the subset's share. A document's terms in the lexicon are made distinct and sorted, and one
-hash is taken over those in each subset. The shares range over several scales, since a subset
+below the subset's share. A document's terms in the lexicon are made distinct, and one hash is
+taken over those in each subset. The shares range over several scales, since a subset
 tells near copies apart only if it keeps about one term of the changed part: short texts are
 described by the large subsets, long ones by the small subsets.
 
@@ -28,12 +27,13 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import keyed_text, mix, seeds
 
-BITS = 22
+BITS = 64  # of a term's hash
+DRAW_BITS = 22  # of them that decide which subsets keep a term
 BAND = (2, 0.02)  # fewest documents; largest share of all documents
 SHARES = (1 / 2, 1 / 8, 1 / 32, 1 / 128, 1 / 512, 1 / 2048)
 SUBSETS_PER_SHARE = 10
@@ -54,75 +54,113 @@ def terms(text: str, bits: int) -> np.ndarray:
         if number is None:
             known[word] = number = xxhash.xxh3_64_intdigest(word)
         out.add(number >> (64 - bits))
-    found = np.fromiter(out, np.int64, len(out))
+    found = np.fromiter(out, np.uint64, len(out))
     found.sort()
     return found
 
 
-def lexicon(rows: DataFrame, bits: int = BITS, band: tuple[int, float] = BAND) -> bytes:
-    """The bitmap of terms in the band, from keyed_text rows.
+def band_terms(rows: DataFrame, bits: int = BITS, band: tuple[int, float] = BAND) -> tuple[np.ndarray, int]:
+    """The terms in the band, ascending, and the most distinct terms of a text, from keyed_text rows.
 
-    Each task counts before the shuffle. The result comes to the driver in 2**bits / 8 bytes.
+    Each task counts before the shuffle. The kept terms come to the driver in blobs.
     """
 
     def count(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.int64)
+        held, size, most = [], 0, 0
+
+        def flush():
+            own, n = np.unique(np.concatenate(held), return_counts=True)
+            for at in range(0, len(own), 1 << 16):
+                some = own[at : at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some.view(np.int64)), pa.array(n[at : at + (1 << 16)]), pa.array([most] * len(some), pa.int64())],
+                    names=["term", "n", "most"],
+                )
+
+        def empty():
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64())] * 2 + [pa.array([most], pa.int64())], names=["term", "n", "most"])
+
         for part in parts:
             for text in part.column(0).to_pylist():
-                counts[terms(text, bits)] += 1
-        used = np.flatnonzero(counts)
-        for at in range(0, len(used), 1 << 16):
-            own = used[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own >> 12, pa.int32()), pa.array(own & 4095, pa.int32()), pa.array(counts[own])],
-                names=["block", "place", "n"],
-            )
-
-    most = max(band[0], int(band[1] * rows.count()))
+                own = terms(text, bits)
+                held.append(own)
+                size, most = size + len(own), max(most, len(own))
+                if size > 4_000_000:
+                    yield from flush()
+                    held, size = [], 0
+        # A task without terms gives a row that counts for nothing, as empty results are not observed.
+        yield from flush() if size else empty()
+
+    def pack(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            blob = part.column(0).to_numpy(zero_copy_only=False).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["blob"])
+
+    total = rows.count()
+    if not total:
+        return np.zeros(0, np.uint64), 0
+    seen = Observation()
     counted = (
         rows.select("text")
-        .mapInArrow(count, "block int, place int, n long")
-        .groupBy("block", "place")
+        .mapInArrow(count, "term long, n long, most long")
+        .observe(seen, F.max("most").alias("most"))
+        .groupBy("term")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n").between(band[0], most))
-    )
-    # A block of 4096 places travels as 64 words of 64 bits at most.
-    words = (
-        counted.groupBy("block", F.shiftright("place", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, place % 64))").alias("bits"))
-        .collect()
     )
+    largest = max(band[0], int(band[1] * total))
+    blobs = counted.where(F.col("n").between(max(1, band[0]), largest)).select("term").mapInArrow(pack, "blob binary").collect()
+    kept = np.frombuffer(b"".join(bytes(r[0]) for r in blobs), np.uint64)
+    return np.sort(kept), int(seen.get.get("most") or 0)
+
+
+def lexicon(rows: DataFrame, bits: int, band: tuple[int, float] = BAND) -> bytes:
+    """The terms in the band as a bitmap of 2**bits places, for few bits."""
+    kept, _ = band_terms(rows, bits, band)
     found = np.zeros(max(1, (1 << bits) // 64), np.uint64)
-    for block, word, value in words:
-        found[block * 64 + word] = value & ((1 << 64) - 1)
+    np.bitwise_or.at(found, kept >> np.uint64(6), np.uint64(1) << (kept & np.uint64(63)))
     return found.tobytes()
 
 
+def shares_for(most: int) -> tuple[float, ...]:
+    """The shares for texts of at most `most` terms."""
+    shares = list(SHARES)
+    return tuple(shares)
+
+
 class Fingerprinter:
     """fingerprint(text): an array with a hash per subset, 0 where the subset keeps no term."""
 
-    def __init__(self, bitmap: bytes, bits: int, shares: tuple[float, ...], per_share: int, seed: int):
+    def __init__(self, kept: np.ndarray, bits: int, shares: tuple[float, ...], per_share: int, seed: int):
         self.bits = bits
-        self.words = np.frombuffer(bitmap, np.uint64)
+        self.kept = kept
+        self.cut = np.uint64(max(0, bits - DRAW_BITS))
         self.seeds = seeds(len(shares) * per_share, seed)
         below = np.repeat(np.array(shares), per_share) * 2.0**64
         self.below = np.minimum(below, 2.0**64 - 4096).astype(np.uint64)
 
     def fingerprint(self, text: str) -> np.ndarray:
+        """Over the terms in the band."""
         found = terms(text, self.bits)
-        kept = (self.words[found >> 6] >> (found & 63).astype(np.uint64)) & np.uint64(1)
-        found = found[kept.astype(bool)]
+        at = np.searchsorted(self.kept, found)
+        known = at < len(self.kept)
+        known[known] = self.kept[at[known]] == found[known]
+        return self._hashes(found[known], np.uint64(1))
+
+    def _hashes(self, found: np.ndarray, mark: np.uint64) -> np.ndarray:
         out, some = np.zeros(len(self.seeds), np.uint64), np.zeros(len(self.seeds), bool)
         # In blocks, so that a very long text needs little memory. The hash of a subset is made
-        # from the sum of its terms' scrambled numbers; 0 stands for no term.
+        # from the sum of its terms' scrambled numbers; 0 stands for no term. The leading bits decide
+        # whether it keeps a term, all bits tell terms apart.
         for at in range(0, len(found), 1024):
-            own = mix(found[at : at + 1024].astype(np.uint64) + np.uint64(1))[:, None] * self.seeds
+            some_terms = found[at : at + 1024]
+            own = mix((some_terms >> self.cut) + np.uint64(1))[:, None] * self.seeds
             keeps = own < self.below
             own ^= own >> np.uint64(31)
             own *= np.uint64(0xD6E8FEB86659FD93)
+            own += mix(some_terms)[:, None]
             out += np.where(keeps, own, np.uint64(0)).sum(axis=0, dtype=np.uint64)
             some |= keeps.any(axis=0)
-        return np.where(some, mix(out) | np.uint64(1), np.uint64(0))
+        return np.where(some, (mix(out) | np.uint64(3)) ^ (np.uint64(1) - mark), np.uint64(0))
 
 
 def likeness(a: np.ndarray, b: np.ndarray, per_share: int = SUBSETS_PER_SHARE) -> float:
@@ -141,19 +179,21 @@ def fingerprints(
     docs: DataFrame,
     bits: int = BITS,
     band: tuple[int, float] = BAND,
-    shares: tuple[float, ...] = SHARES,
+    shares: tuple[float, ...] | None = None,
     per_share: int = SUBSETS_PER_SHARE,
     seed: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id and fingerprint (hexadecimal) of every text; a text without terms of the lexicon,
-    NULL and empty ones among them, has the fingerprint of zeros."""
+    """doc_id and fingerprint (hexadecimal) of every text; a text without terms, NULL and
+    empty ones among them, has the fingerprint of zeros."""
     rows = keyed_text(docs, id_col, text_col)
-    bitmap = lexicon(rows, bits, band)
+    kept, most = band_terms(rows, bits, band)
+    shares = shares or shares_for(most)
+    sent = rows.sparkSession.sparkContext.broadcast(kept)
 
     def make(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker = Fingerprinter(bitmap, bits, shares, per_share, seed)
+        maker = Fingerprinter(sent.value, bits, shares, per_share, seed)
         for part in parts:
             texts = [_text_of(maker.fingerprint(t)) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts)], names=["doc_id", "fingerprint"])
@@ -165,7 +205,7 @@ def edited_likeness(
     docs: DataFrame,
     bits: int = BITS,
     band: tuple[int, float] = BAND,
-    shares: tuple[float, ...] = SHARES,
+    shares: tuple[float, ...] | None = None,
     per_share: int = SUBSETS_PER_SHARE,
     seed: int = 1,
     rows_per_partition: int = ROWS_PER_PARTITION,
@@ -186,7 +226,9 @@ def edited_likeness(
     """
     rows = keyed_text(docs, id_col, text_col)
     total = rows.count()
-    bitmap = lexicon(rows, bits, band)
+    kept, most_terms = band_terms(rows, bits, band)
+    shares = shares or shares_for(most_terms)
+    sent = rows.sparkSession.sparkContext.broadcast(kept)
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(most, -(-total // rows_per_partition)))
@@ -225,7 +267,7 @@ def edited_likeness(
     )
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker = Fingerprinter(bitmap, bits, shares, per_share, seed)
+        maker = Fingerprinter(sent.value, bits, shares, per_share, seed)
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
         waiting, done = None, -1
 
