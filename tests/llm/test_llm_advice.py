@@ -64,3 +64,15 @@ def test_terms_are_counted_one_by_one(spark):
     rows = [(i, " ".join(f"t{i}x{k}" for k in range(3000)) + (" twice" if i < 2 else "")) for i in range(100)]
     kept, most = imatch.band_terms(documents(spark, rows).select("doc_id", "text"))
     assert kept.tolist() == imatch.terms("twice", imatch.BITS).tolist() and most == 3001
+
+
+def test_texts_outside_the_band_have_fingerprints_of_all_their_terms(spark):
+    draw = random.Random(9)
+    one, two = words(draw, 80, 900), words(draw, 80, 900).upper().replace("W", "V")
+    # Two hot groups of unlike texts, ids in turn, and a near copy of the first one.
+    rows = [(i, (one, two)[i % 2]) for i in range(40)] + [(100, one.rsplit(" ", 1)[0] + " typo"), (101, one), (-1, "***"), (-2, "+++")]
+    found = {r.doc_id: r for r in imatch.edited_likeness(documents(spark, rows)).collect()}
+    assert found[5].fingerprint != found[4].fingerprint and found[5].near_next == 0
+    assert found[4].fingerprint == found[6].fingerprint and int(found[4].fingerprint, 16)
+    assert 0.3 < found[101].near_next < 1
+    assert found[-1].near_next == 0  # neither has a term

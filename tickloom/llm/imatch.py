@@ -11,8 +11,13 @@ taken over those in each subset. The shares range over several scales, since a s
 tells near copies apart only if it keeps about one term of the changed part: short texts are
 described by the large subsets, long ones by the small subsets.
 
+Where the band leaves no term of a text or hardly any (as if more than its largest share are
+copies or near copies of it), the subsets are taken of all its terms. Such a fallback is marked: its hashes are even, others are odd.
+It is compared with the hashes over all terms of the other text, whatever that one has.
+
 Likeness of two fingerprints: among the subsets of one share that keep a term of either document,
-the part whose hashes agree, at the share where that is most; 1 for equal fingerprints. DOUBT
+the part whose hashes agree, at the share where that is most; 1 for equal fingerprints, but 0 for
+different texts of which no subset keeps a term. DOUBT
 subsets that disagree are added to each share, since a share of which one subset keeps a term says
 little. A share
 far too large for a text never agrees after an edit, one far too small keeps nothing.
@@ -38,6 +43,7 @@ BAND = (2, 0.02)  # fewest documents; largest share of all documents
 SHARES = (1 / 2, 1 / 8, 1 / 32, 1 / 128, 1 / 512, 1 / 2048)
 SUBSETS_PER_SHARE = 10
 DOUBT = 2
+THIN = 1 / 16  # of a text's terms: with fewer in the band, all its terms count
 ROWS_PER_PARTITION = 4000
 _WORDS_KEPT = 400_000
 _TERM = re.compile(r"[^\W_]+")
@@ -139,12 +145,26 @@ class Fingerprinter:
         self.below = np.minimum(below, 2.0**64 - 4096).astype(np.uint64)
 
     def fingerprint(self, text: str) -> np.ndarray:
-        """Over the terms in the band."""
+        """Over the terms in the band, or else over all terms."""
         found = terms(text, self.bits)
         at = np.searchsorted(self.kept, found)
         known = at < len(self.kept)
         known[known] = self.kept[at[known]] == found[known]
-        return self._hashes(found[known], np.uint64(1))
+        if known.sum() >= THIN * len(found):
+            own = self._hashes(found[known], np.uint64(1))
+            if own.any():
+                return own
+        return self._hashes(found, np.uint64(0))
+
+    def fallback(self, text: str) -> np.ndarray:
+        """Over all terms of a text."""
+        return self._hashes(terms(text, self.bits), np.uint64(0))
+
+    def near(self, text: str, own: np.ndarray, other_text: str, other: np.ndarray, per_share: int) -> float:
+        """The likeness of two texts by their fingerprints."""
+        if _is_fallback(own) != _is_fallback(other):
+            own, other = self.fallback(text), self.fallback(other_text)
+        return likeness(own, other, per_share, text == other_text)
 
     def _hashes(self, found: np.ndarray, mark: np.uint64) -> np.ndarray:
         out, some = np.zeros(len(self.seeds), np.uint64), np.zeros(len(self.seeds), bool)
@@ -163,9 +183,13 @@ class Fingerprinter:
         return np.where(some, (mix(out) | np.uint64(3)) ^ (np.uint64(1) - mark), np.uint64(0))
 
 
-def likeness(a: np.ndarray, b: np.ndarray, per_share: int = SUBSETS_PER_SHARE) -> float:
+def _is_fallback(fingerprint: np.ndarray) -> bool:
+    return not (fingerprint & np.uint64(1)).any()
+
+
+def likeness(a: np.ndarray, b: np.ndarray, per_share: int = SUBSETS_PER_SHARE, same_text: bool = False) -> float:
     if np.array_equal(a, b):
-        return 1.0
+        return float(same_text or bool(a.any()))
     either = ((a != 0) | (b != 0)).reshape(-1, per_share)
     same = (a == b).reshape(-1, per_share) & either
     return float((same.sum(axis=1) / (DOUBT + either.sum(axis=1))).max())
@@ -278,7 +302,7 @@ def edited_likeness(
             sha = hashlib.sha256(edited.encode("utf-8")).hexdigest()
             return (
                 doc[0], len(text), sha, _text_of(own), _text_of(print_edited),
-                likeness(own, print_edited, per_share), likeness(own, other, per_share),
+                maker.near(text, own, edited, print_edited, per_share), maker.near(text, own, nxt[1], other, per_share),
             )
 
         for batch in batches:
