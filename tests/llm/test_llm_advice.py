@@ -76,3 +76,12 @@ def test_texts_outside_the_band_have_fingerprints_of_all_their_terms(spark):
     assert found[4].fingerprint == found[6].fingerprint and int(found[4].fingerprint, 16)
     assert 0.3 < found[101].near_next < 1
     assert found[-1].near_next == 0  # neither has a term
+
+
+def test_long_texts_keep_their_likeness_after_an_edit(spark):
+    draw = random.Random(1)
+    vocabulary = [f"v{k}" for k in range(60_000)]
+    rows = [(i, " ".join(draw.sample(vocabulary, 40_000))) for i in range(4)]
+    found = imatch.edited_likeness(documents(spark, rows), band=(1, 1.0)).collect()
+    assert np.mean([r.near_edited for r in found]) > 0.2
+    assert imatch.shares_for(2000) == imatch.SHARES and imatch.shares_for(30_000)[-1] == 1 / 32768

@@ -9,7 +9,8 @@ From the lexicon, randomised subsets are drawn: a subset keeps a term if a hash
 below the subset's share. A document's terms in the lexicon are made distinct, and one hash is
 taken over those in each subset. The shares range over several scales, since a subset
 tells near copies apart only if it keeps about one term of the changed part: short texts are
-described by the large subsets, long ones by the small subsets.
+described by the large subsets, long ones by the small subsets. There are as many scales as the
+text with most distinct terms needs.
 
 Where the band leaves no term of a text or hardly any (as if more than its largest share are
 copies or near copies of it), the subsets are taken of all its terms. Such a fallback is marked: its hashes are even, others are odd.
@@ -40,7 +41,7 @@ from tickloom.llm.common import keyed_text, mix, seeds
 BITS = 64  # of a term's hash
 DRAW_BITS = 22  # of them that decide which subsets keep a term
 BAND = (2, 0.02)  # fewest documents; largest share of all documents
-SHARES = (1 / 2, 1 / 8, 1 / 32, 1 / 128, 1 / 512, 1 / 2048)
+SHARES = (1 / 2, 1 / 8, 1 / 32, 1 / 128, 1 / 512, 1 / 2048)  # the first ones; see shares_for()
 SUBSETS_PER_SHARE = 10
 DOUBT = 2
 THIN = 1 / 16  # of a text's terms: with fewer in the band, all its terms count
@@ -128,8 +129,10 @@ def lexicon(rows: DataFrame, bits: int, band: tuple[int, float] = BAND) -> bytes
 
 
 def shares_for(most: int) -> tuple[float, ...]:
-    """The shares for texts of at most `most` terms."""
+    """SHARES, and further ones until the smallest keeps about one of `most` terms."""
     shares = list(SHARES)
+    while shares[-1] * most > 1:
+        shares.append(shares[-1] / 4)
     return tuple(shares)
 
 
