@@ -85,3 +85,21 @@ def test_long_texts_keep_their_likeness_after_an_edit(spark):
     found = imatch.edited_likeness(documents(spark, rows), band=(1, 1.0)).collect()
     assert np.mean([r.near_edited for r in found]) > 0.2
     assert imatch.shares_for(2000) == imatch.SHARES and imatch.shares_for(30_000)[-1] == 1 / 32768
+
+
+def test_every_place_is_judged_and_values_with_symbols_are_candidates(spark):
+    hexed = "0123456789abcdef" * 2
+    texts = [
+        f"commit {hexed} was bad 😀, so x{hexed} and api_key = \"{hexed}\"",
+        "db_password_production=Winter2024! and postgres://me:pa55$word@host/db",
+        " ".join(f"{i:020d}" for i in range(300)),
+    ]
+    found = secret_scan.findings(documents(spark, list(enumerate(texts)))).collect()
+    for r in found:
+        assert texts[r.doc_id][r.start - 1 : r.start - 1 + len(r.value)] == r.value
+        assert texts[r.doc_id][: r.start - 1].endswith(r.before)
+    assert [r.value for r in found if r.doc_id == 0] == [hexed, f"x{hexed}", hexed]
+    assert {"Winter2024!", "pa55$word"} <= {r.value for r in found if r.doc_id == 1}
+    assert len([r for r in found if r.doc_id == 2]) == 300
+    secrets = secret_scan.scan(documents(spark, list(enumerate(texts)))).collect()
+    assert len([r for r in secrets if r.doc_id == 0 and r.value == hexed]) == 2

@@ -61,6 +61,8 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    # A row per document and value, at its first place.
+    found = found.groupBy("row", "doc_id", "value").agg(F.min("start").alias("start"), F.max("probability").alias("probability"))
     return found.select("doc_id", "value", "start", F.length("value").alias("length"), "probability")
 
 

@@ -1,11 +1,13 @@
 """Secret scans with a random forest that removes false positives (operator 7).
 
-Candidates are long runs of token characters. For each, a forest judges its length, its character
+Candidates are long runs of token characters, and values of any other characters or length that are
+assigned to a keyword or stand as the password of an address. For each, a forest judges its length, its character
 transitions, how much of it words of the corpus cover, whether it is part of a path, and the words
 beside it. It is trained on labelled findings. Everything runs in the JVM: built-in functions and
 the forest of Spark's own library, on DataFrames.
 
-A candidate value is one finding per document, at its first place; redaction replaces every place.
+Each place of a value is a finding with its own context. A value counts as a secret in a document if
+any of its places there does; redaction replaces every place.
 """
 
 from __future__ import annotations
@@ -21,10 +23,16 @@ from tickloom.llm.common import class_weight
 from tickloom.session import store
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
+_KEYWORDS = "passw|pwd|secret|token|api.?key|access.?key|credential|bearer"
+_ADDRESS = r"://[^\s/:@]{1,64}:"
+_ASSIGNED = rf"""(?i:{_KEYWORDS})[\w-]{{0,24}}["']?\s{{0,2}}(?>:=|=>|[=:])\s{{0,2}}["']?"""
+# Values behind a keyword and an assignment, and passwords of addresses.
+ASSIGNED = rf"""{_ASSIGNED}[^\s"'<>,;&]{{3,}}[^\s"'<>,;.:)\]}}&]|{_ADDRESS}[^\s/@]{{3,}}(?=@)"""
 BEFORE, AFTER = 48, 24
 SAMPLE = 8000
 TREES, DEPTH = 20, 6
 THRESHOLD = 0.5
+_BLOCK = 128
 FEWEST_DOCUMENTS = 3  # of a word of the dictionary
 FEATURES = (
     "length", "digits", "capitals", "turns", "syllables", "variety",
@@ -32,20 +40,64 @@ FEATURES = (
 )
 # The formats that label findings where nobody has looked at them.
 KNOWN_FORMAT = r"^(?:AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$"
-KEYWORD = r"(?i)(?:passw|pwd|secret|token|api.?key|access.?key|credential|bearer)[\w-]*\W{0,4}$"
+KEYWORD = rf"(?i)(?:{_KEYWORDS})[\w-]*\W{{0,4}}$|{_ADDRESS}$"
+
+
+def _places(text: Column, pattern: str) -> Column:
+    """(match, start from 1) of every match of a pattern that matches no empty string.
+
+    The starts are sums of the lengths before them, in blocks, so that a text with many matches
+    takes no quadratic time.
+    """
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    between = F.split(text, pattern, -1)
+    steps = F.zip_with(F.slice(between, 1, F.size(matches)), matches, lambda rest, m: F.struct(F.length(rest).alias("rest"), m.alias("m")))
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda n, s: n + s["rest"] + F.length(s["m"]))
+
+    def of_block(block: Column) -> Column:
+        ahead = F.slice(steps, F.lit(1), block * _BLOCK)
+        own = F.slice(steps, block * _BLOCK + 1, F.lit(_BLOCK))
+        return F.transform(
+            F.array(F.struct(total(ahead).alias("ahead"), own.alias("own"))),
+            lambda b: F.transform(
+                b["own"],
+                lambda s, i: F.struct(
+                    s["m"].alias("match"),
+                    (b["ahead"] + total(F.slice(b["own"], F.lit(1), i)) + s["rest"] + 1).alias("start"),
+                ),
+            ),
+        )[0]
+
+    blocks = F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / _BLOCK).cast("int")), of_block))
+    return F.when(F.size(matches) > 0, blocks)
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, value, start (from 1), before, after: a row per document and candidate value.
+    """row, doc_id, value, start (from 1), before, after: a row per place of a candidate value.
 
+    `row` numbers the documents; it tells those apart that share an id or have none.
     NULL and empty texts have none; rows without an id keep NULL. One pass, no shuffle.
     """
     text = F.col("text")
-    found = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select(
-        "doc_id", "text", F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))).alias("value")
-    )
-    start = F.instr(text, F.col("value"))
-    return found.withColumn("start", start).select(
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    long = F.transform(_places(text, CANDIDATE), lambda p: F.struct(p["match"].alias("value"), p["start"].alias("start")))
+
+    def behind(place: Column) -> Column:
+        ahead = F.length(F.regexp_extract(place["match"], f"^(?:{_ASSIGNED}|{_ADDRESS})", 0))
+        return F.struct(
+            F.substring(place["match"], ahead + 1, F.length(place["match"])).alias("value"),
+            (place["start"] + ahead).alias("start"),
+        )
+
+    # Assigned values that are long runs of token characters are found as such.
+    other = F.filter(F.transform(_places(text, ASSIGNED), behind), lambda p: ~F.regexp_like(p["value"], F.lit(f"^(?:{CANDIDATE})$")))
+    none = F.array().cast("array<struct<value:string,start:int>>")
+    found = rows.select("row", "doc_id", "text", F.explode(F.concat(F.coalesce(long, none), F.coalesce(other, none))).alias("place"))
+    return found.select("row", "doc_id", "text", "place.*").select(
+        "row",
         "doc_id",
         "value",
         "start",
@@ -112,7 +164,9 @@ def train(labelled: DataFrame, label_col: str = "label", sample: int = SAMPLE, t
     """A forest from findings with features and labels, at most `sample` distinct values of them,
     half of each class where there are enough, weighted to the mix of all; None without both classes."""
     draw = F.xxhash64("value", F.lit(5))
-    rows = labelled.where(F.col(label_col).isin(0, 1)).dropDuplicates(["value"])
+    # Of the places of a value, one with the highest label.
+    best = F.max(F.struct(label_col, *FEATURES)).alias("best")
+    rows = labelled.where(F.col(label_col).isin(0, 1)).groupBy("value").agg(best).select("value", "best.*")
     halves = [rows.where(F.col(label_col) == k).orderBy(draw, "value").limit(sample // 2) for k in (0, 1)]
     weight = class_weight(rows, label_col, sample)
     chosen = store(
@@ -151,7 +205,8 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The secrets: doc_id, value, start, before, after, probability (at least `threshold`).
+    """The secrets: row, doc_id, value, start, before, after, probability: every place of values of which
+    one place in the document has at least `threshold`.
 
     `labelled` has findings with features and a label, for instance with_features() of reviewed
     ones; without it, the findings at hand are labelled by their format. Findings are stored
@@ -161,8 +216,9 @@ def scan(
     found = with_features(findings(docs, id_col, text_col), dictionary(docs, text_col))
     rows = store(found.withColumn("label", format_label()), "findings")
     model = train(rows if labelled is None else labelled, sample=sample)
-    judged = judge(rows, model).where(F.col("probability") >= threshold)
-    return judged.select("doc_id", "value", "start", "before", "after", "probability")
+    judged = judge(rows, model).select("row", "doc_id", "value", "start", "before", "after", "probability")
+    sure = judged.where(F.col("probability") >= threshold).select("row", "value").distinct()
+    return judged.join(sure, ["row", "value"], "left_semi").select(judged.columns)
 
 
 def redact(docs: DataFrame, secrets: DataFrame, mark: str = "[secret]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
