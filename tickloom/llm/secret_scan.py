@@ -181,7 +181,8 @@ def train(labelled: DataFrame, label_col: str = "label", sample: int = SAMPLE, t
         featuresCol="features", labelCol="label", weightCol="weight",
         numTrees=trees, maxDepth=depth, seed=3, featureSubsetStrategy="sqrt",
     )
-    return forest.fit(_assembled(chosen))
+    # The copy lacks the training summary, which holds the session and cannot go to executors.
+    return forest.fit(_assembled(chosen)).copy()
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
@@ -193,7 +194,7 @@ def judge(rows: DataFrame, model: Model | None, label_col: str = "label") -> Dat
     if model is None:
         return rows.withColumn("probability", F.col(label_col).cast("double"))
     kept = [c for c in rows.columns if c not in ("features", "rawPrediction", "probability", "prediction")]
-    scored = model.transform(_assembled(rows.select(*kept)))
+    scored = model.copy().transform(_assembled(rows.select(*kept)))
     return scored.select(*kept, vector_to_array("probability")[1].alias("probability"))
 
 
