@@ -3,6 +3,78 @@ tested against brute force."""
 
 from __future__ import annotations
 
+_LEVELS = 6  # of a tree, in the SQL: 16**6 leaves
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, '{_UPPER}', '{_UPPER.lower()}')"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _crc32(text: str) -> str:
+    byte = "lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END"
+    step = f"lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), {byte})"
+    bytes_of = f"list_transform(string_split({text}, ''), lambda x: ord(x)::UBIGINT)"
+    return f"xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, {bytes_of}), {step}))"
+
+
+def _tree(name: str, start: str, key: str) -> list[str]:
+    """Levels name0 ... of the trees of (key, i, d, size), and their runs of siblings."""
+    out = [f"{name}0 AS ({start})"]
+    for k in range(_LEVELS):
+        out.append(
+            f"{name}run{k} AS (SELECT {key}, i // 16 AS up, size, list(d ORDER BY i) AS run"
+            f" FROM {name}{k} WHERE size > 1 GROUP BY ALL)"
+        )
+        out.append(
+            f"{name}{k + 1} AS (SELECT {key}, up AS i, sha256(array_to_string(run, '')) AS d,"
+            f" (size + 15) // 16 AS size FROM {name}run{k})"
+        )
+    return out
+
+
+def _fold(name: str, base: str, runs: str, key: str, i: str) -> list[str]:
+    """Relations name0 ... that carry each row of `base` up through the runs: `proof` and `folded` grow."""
+    out, before = [], base
+    for k in range(_LEVELS):
+        at = f"b.{i} // {16**k} % 16"
+        left, right = f"array_to_string(run[1:{at}], '')", f"array_to_string(run[{at} + 2:], '')"
+        out.append(
+            f"{name}{k} AS (SELECT b.* REPLACE (CASE WHEN run IS NULL THEN proof ELSE proof || {left} || {right} END AS proof,"
+            f" CASE WHEN run IS NULL THEN folded ELSE sha256({left} || folded || {right}) END AS folded)"
+            f" FROM {before} b LEFT JOIN {runs}{k} r ON r.{key} = b.{key} AND r.up = b.{i} // {16 ** (k + 1)})"
+        )
+        before = f"{name}{k}"
+    return out
+
+
+def _merkle() -> str:
+    own = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text")))
+    changed = " || ".join([*map(_field, ("doc_id", "source", "lang", "n_chars")), _field(_lower("text"))])
+    tops = " UNION ALL ".join(f"SELECT key, d FROM t{k} WHERE size = 1" for k in range(_LEVELS + 1))
+    root = " UNION ALL ".join(f"SELECT d FROM s{k} WHERE size = 1" for k in range(_LEVELS + 1))
+    parts = [
+        f"""digests AS (SELECT doc_id, coalesce('=' || source, '-') AS key, sha256({own}) AS leaf,
+            CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0 THEN sha256({changed}) ELSE sha256({own}) END AS other FROM documents)""",
+        """leaves AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+            count(*) OVER (PARTITION BY key) AS size FROM digests)""",
+        *_tree("t", "SELECT key, i, leaf AS d, size FROM leaves", "key"),
+        f"subroots AS (SELECT *, row_number() OVER (ORDER BY key) - 1 AS j, count(*) OVER () AS n FROM ({tops}))",
+        *_tree("s", "SELECT 0 AS one, j AS i, d, n AS size FROM subroots", "one"),
+        f"root AS ({root})",
+        """start AS (SELECT doc_id, l.key, 0 AS one, i, j, leaf, d AS subroot, '' AS proof, other AS folded
+            FROM leaves l JOIN subroots USING (key))""",
+        *_fold("f", "start", "trun", "key", "i"),
+        *_fold("g", f"f{_LEVELS - 1}", "srun", "one", "j"),
+    ]
+    return f"""WITH {", ".join(parts)}
+        SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = d AS verified
+        FROM g{_LEVELS - 1}, root"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_merkle_manifest": _merkle()}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import embedding_join, quality, secret_scan, toxicity
+from tickloom.llm import embedding_join, merkle, quality, secret_scan, toxicity
 from tickloom.llm.byte_bpe import round_trip_digests
 from tickloom.llm.common import table
 from tickloom.llm.imatch import edited_likeness
@@ -83,6 +83,10 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY, end_id=1)
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_proofs(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": token_files,
@@ -95,5 +99,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_array": suffix_array,
         "op9_toxicity": toxic,
         "op10_best_fit_packing": packed,
+        "op13_merkle_manifest": merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
