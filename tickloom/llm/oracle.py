@@ -76,6 +76,35 @@ def _merkle() -> str:
         FROM g{_LEVELS - 1}, root"""
 
 
+def _phrases() -> str:
+    ends = r"[.,;:!?\x0A-\x0D]"
+    words = ", ".join(f"lead(w, {k}) OVER o AS w{k}, lead(p, {k}) OVER o AS p{k}" for k in (1, 2))
+    return rf"""WITH pieces AS (SELECT doc, lang, unnest(list_zip(piece, range(len(piece)))) AS z FROM (
+            SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+                regexp_split_to_array({_lower("coalesce(text, '')")}, '{ends}') AS piece FROM documents)),
+        split AS (SELECT doc, lang, z[2] AS p, regexp_extract_all(z[1], '[^\x20\x09]+') AS w FROM pieces),
+        tokens AS (SELECT doc, lang, p, unnest(list_zip(w, range(len(w)))) AS z FROM split),
+        flat AS (SELECT doc, lang, p, z[1] AS w, z[2] AS i FROM tokens),
+        near AS MATERIALIZED (SELECT lang, w, p, {words} FROM flat WINDOW o AS (PARTITION BY doc ORDER BY p, i)),
+        f AS MATERIALIZED (SELECT lang, 1 AS m, w AS phrase, count(*) AS f FROM near GROUP BY ALL
+            UNION ALL SELECT lang, 2, w || ' ' || w1, count(*) FROM near WHERE p1 = p GROUP BY ALL
+            UNION ALL SELECT lang, 3, w || ' ' || w1 || ' ' || w2, count(*) FROM near WHERE p2 = p GROUP BY ALL),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+        candidates AS MATERIALIZED (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+        halves AS MATERIALIZED (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)),
+        frequent AS MATERIALIZED (SELECT lang, phrase, f FROM f WHERE f >= 10),
+        cuts AS (SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, (1000000 * a::HUGEINT * a // (l.f::HUGEINT * r.f))::BIGINT AS score
+            FROM halves c JOIN frequent l ON l.lang = c.lang AND l.phrase = head JOIN frequent r ON r.lang = c.lang AND r.phrase = tail),
+        best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inside AS (SELECT lang, phrase, max(a) AS f FROM (SELECT lang, a,
+            unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM candidates WHERE m = 3) GROUP BY ALL),
+        kept AS (SELECT b.* FROM best b LEFT JOIN inside o ON o.lang = b.lang AND o.phrase = b.phrase
+            WHERE o.f IS NULL OR 100 * o.f < 50 * b.a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER
+            (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 def _chats() -> str:
     said = "<|im_end|><|im_start|>assistant ok"
     ordered = "ORDER BY turn NULLS FIRST, role, text"
@@ -93,4 +122,4 @@ def _chats() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_chat_format": _chats(), "op13_merkle_manifest": _merkle()}
+    return {"op11_phrases": _phrases(), "op12_chat_format": _chats(), "op13_merkle_manifest": _merkle()}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat_format, embedding_join, merkle, quality, secret_scan, toxicity
+from tickloom.llm import chat_format, embedding_join, merkle, phrases, quality, secret_scan, toxicity
 from tickloom.llm.byte_bpe import round_trip_digests
 from tickloom.llm.common import table
 from tickloom.llm.imatch import edited_likeness
@@ -83,6 +83,10 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY, end_id=1)
 
 
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations, and one, -1, whose texts are made of control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -108,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_array": suffix_array,
         "op9_toxicity": toxic,
         "op10_best_fit_packing": packed,
+        "op11_phrases": collocations,
         "op12_chat_format": chats,
         "op13_merkle_manifest": merkle_manifest,
         "pipeline": corpus_pipeline.run,
