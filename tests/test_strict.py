@@ -1,0 +1,91 @@
+"""Strict checks of JSON messages: keys, types, and what is no message at all."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import plan_of
+from tickloom.operators import accept_messages, check_messages
+from tickloom.operators.quality import SYMBOL_PATTERN
+from tickloom.schema import ENVELOPE
+
+TRADE = {"p": 1.5, "s": "EX:A", "t": 1700000000000, "v": 0}
+
+
+def message(*trades, **more):
+    return json.dumps({"type": "trade", "data": list(trades), **more})
+
+
+def without(key):
+    return {k: v for k, v in TRADE.items() if k != key}
+
+
+CASES = [
+    (message(TRADE), []),
+    (message(), []),
+    (message(TRADE | {"c": ["1", "2"]}, TRADE | {"c": None}, TRADE | {"c": [], "t": 5.0, "p": 12345678901234567890123}), []),
+    (message(TRADE, seq=1, at="x"), ["envelope key at unknown", "envelope key seq unknown"]),
+    (message(TRADE, TRADE | {"x": 1}, TRADE | {"x": 2, "w y": None}), ["trade key w y unknown", "trade key x unknown"]),
+    (message(TRADE | {"x": {"y": 1}}, z=[]), ["envelope key z unknown", "trade key x unknown"]),
+    (json.dumps({"type": "ping", "data": []}), ["type unknown"]),
+    (json.dumps({"type": 3, "data": {}}), ["type malformed", "data malformed"]),
+    (json.dumps({"type": None}), ["type malformed", "data missing"]),
+    ("{}", ["type missing", "data missing"]),
+    (message(*[without(k) for k in "psvt"]), ["price missing", "symbol missing", "time missing", "volume missing"]),
+    (message(TRADE | {"p": "1.5"}), ["price malformed"]),
+    (message(TRADE | {"p": None, "s": 3, "v": True}), ["price malformed", "symbol malformed", "volume malformed"]),
+    (message(TRADE | {"t": 1.5, "v": -0.5}), ["time malformed", "volume negative"]),
+    (message(TRADE | {"t": -1}), ["time negative"]),
+    (message(TRADE | {"c": [1]}), ["conditions malformed"]),
+    (message(TRADE | {"c": "a"}), ["conditions malformed"]),
+    (message(3, TRADE, None), ["trade malformed"]),
+    (message(TRADE | {"s": "AAPL"}), ["symbol malformed"]),
+    ("[1]", ["message no object"]),
+    ('{"type": "trade", "data": [], "data": []}', ["message malformed"]),
+    ('{"type": "trade"', ["message malformed"]),
+    (" ", ["message blank"]),
+    (None, ["message missing"]),
+]
+
+
+@pytest.fixture(scope="module")
+def checked(spark):
+    rows = [(i, text, "k", "p") for i, (text, _) in enumerate(CASES)]
+    table = spark.createDataFrame(rows, "id int, value string, type string, problems string")
+    return {r.id: r for r in check_messages(table, symbol_pattern=SYMBOL_PATTERN).collect()}
+
+
+@pytest.mark.parametrize("i", range(len(CASES)))
+def test_messages_have_their_problems(checked, i):
+    assert checked[i].problems == CASES[i][1], CASES[i][0]
+    assert (checked[i].type, checked[i].data is None) == ((None, True) if CASES[i][1] else ("trade", False))
+
+
+def test_plain_symbols_pass_without_a_pattern(spark):
+    table = spark.createDataFrame([(message(TRADE | {"s": "AAPL"}),)], "value string")
+    assert check_messages(table).first().problems == []
+
+
+def test_good_messages_become_envelopes(spark):
+    table = spark.createDataFrame([(text, 1) for text, _ in CASES], "value string, part int")
+    good, bad = accept_messages(table, symbol_pattern=SYMBOL_PATTERN)
+    assert good.schema.simpleString() == ENVELOPE.simpleString() and bad.columns == ["value", "part", "problems"]
+    rows = good.collect()
+    assert len(rows) == 3 and bad.count() == len(CASES) - 3
+    item = rows[2].data[2]
+    assert (item.p, item.s, item.t, item.v, item.c) == (1.2345678901234568e22, "EX:A", 5, 0.0, [])
+    assert [d.c for d in rows[2].data[:2]] == [["1", "2"], None]
+
+
+def test_each_message_is_parsed_once_on_tables_and_streams(spark, tmp_path):
+    table = spark.createDataFrame([(text,) for text, _ in CASES], "value string")
+    for frame in accept_messages(table):
+        plan = plan_of(frame)
+        assert plan.lower().count("parsejson(") == 1 and "Exchange" not in plan, plan
+    table.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(table.schema).parquet(str(tmp_path / "in"))
+    query = check_messages(stream).writeStream.format("memory").queryName("strict").trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = spark.table("strict").select(F.size("problems").alias("n")).collect()
+    assert sorted(r.n for r in found) == sorted(r.n for r in check_messages(table).select(F.size("problems").alias("n")).collect())

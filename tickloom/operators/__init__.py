@@ -3,13 +3,16 @@ from tickloom.operators.flatten import allow_symbols, first_messages, flatten_tr
 from tickloom.operators.quality import check_envelopes, check_trades, require_columns, split_checked
 from tickloom.operators.recent import recent_anomalies, recent_bars
 from tickloom.operators.spikes import mean_volumes, volume_spikes
+from tickloom.operators.strict import accept_messages, check_messages
 
 __all__ = [
+    "accept_messages",
     "allow_symbols",
     "bars",
     "bars_1min",
     "bars_5min",
     "check_envelopes",
+    "check_messages",
     "check_trades",
     "first_messages",
     "flatten_trades",

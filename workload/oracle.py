@@ -264,6 +264,17 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT *, CAST(floor(event_id / 16) AS BIGINT) AS number FROM events) AS e
             GROUP BY 1
         """,
+        "validate_extra_keys": """
+            SELECT number, concat_ws(', ',
+                       CASE WHEN kind = 'ping' THEN 'type unknown' END,
+                       CASE WHEN number % 11 = 0 THEN 'price malformed' END,
+                       CASE WHEN number % 5 = 0 THEN 'envelope key seq unknown' END,
+                       CASE WHEN number % 7 = 0 THEN 'trade key note unknown' END) AS problems,
+                   CASE WHEN problems = '' THEN count(*)::INTEGER END AS trades
+            FROM (SELECT CAST(floor(event_id / 16) AS BIGINT) AS number,
+                         CASE WHEN event_type = 'error' THEN 'ping' ELSE 'trade' END AS kind FROM events) AS e
+            GROUP BY number, kind
+        """,
         "encode_json_roundtrip": trade_rows(ENVELOPE_TRADES),
         "stream_bars_1min_append": full_bars(closed(MINUTE_BARS, EVENT_TRADES, "10 seconds")),
         "stream_bars_5min_append": short_bars(

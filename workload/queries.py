@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from tickloom.operators import (
     bars_1min,
     bars_5min,
     check_envelopes,
+    check_messages,
     check_trades,
     first_messages,
     flatten_trades,
@@ -327,6 +328,24 @@ def json_good_and_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extra_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth message has a key of its own, and every seventh a key in its trades; every eleventh
+    has its prices as texts."""
+    number = F.col("number").cast("long")
+
+    def each(divisor: int, value: Column) -> Column:
+        return F.when(F.pmod(number, F.lit(divisor)) == 0, value)
+
+    noted = F.transform("data", lambda d: d.withField("note", each(7, F.lit("x"))))
+    text = F.to_json(F.struct("type", noted.alias("data"), each(5, number).alias("seq")))
+    quoted = F.regexp_replace(text, '"p":([^,]*)', '"p":"$1"')
+    texts = event_envelopes(spark, sf_dir).select(
+        number.alias("number"), F.coalesce(each(11, quoted), text).alias("value")
+    )
+    checked = check_messages(texts)
+    return checked.select("number", F.concat_ws(", ", "problems").alias("problems"), F.size("data").alias("trades"))
+
+
 # Streams
 
 
@@ -489,6 +508,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_bars_top20": stored_top_bars,
         "encode_json_roundtrip": json_roundtrip,
         "parse_json_rejects": json_good_and_rejected,
+        "validate_extra_keys": extra_keys,
         "stream_bars_1min_append": streamed_minute,
         "stream_bars_5min_append": streamed_five_minute,
         "stream_late_drop": streamed_late,
