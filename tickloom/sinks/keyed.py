@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
+from tickloom.functions import utc_day
 from tickloom.operators.quality import require_columns, split_checked
 from tickloom.sinks.tables import JdbcTable, ParquetTable
 
@@ -59,8 +60,8 @@ def append_new(
     leaves each reject once. `stamped` names a column to add with the time of the write, for tables
     that do not fill it themselves. An empty batch touches no table.
 
-    One job looks at the batch: its size, its time range, which limits the stored keys to be read,
-    and whether required columns are NULL. A key should have one writer at a time: two that append
+    One job looks at the batch: its size, its days and time range, which limit the stored keys to be
+    read (a batch has about as many days as it writes folders), and whether required columns are NULL. A key should have one writer at a time: two that append
     it at the same moment both find it missing.
     """
     spark = batch.sparkSession
@@ -76,6 +77,7 @@ def append_new(
             F.count_if(F.size("problems") > 0).alias("flawed"),
             F.min(micros).alias("low"),
             F.max(micros).alias("high"),
+            F.collect_set(utc_day(table.time).cast("string")).alias("days"),
         ).first()
         rows, flawed = facts["rows"], facts["flawed"]
         if not rows:
@@ -85,7 +87,7 @@ def append_new(
         good, bad = split_checked(checked)
         counts = {"new": 0, "repeat": 0, "conflict": 0}
         if rows > flawed:
-            stored = table.between(spark, facts["low"], facts["high"])
+            stored = _around(table, spark, facts["days"], facts["low"], facts["high"])
             judged = _judged(good, stored, list(table.key)).persist(StorageLevel.MEMORY_AND_DISK)
             counts |= {r["verdict"]: r["count"] for r in judged.groupBy("verdict").count().collect()}
             if counts["conflict"] and rejects is None:
@@ -109,6 +111,14 @@ def append_new(
             batch.unpersist()
 
 
+def _around(table: JdbcTable | ParquetTable, spark: SparkSession, days: list[str], low: int, high: int) -> DataFrame:
+    """The stored rows that a batch may repeat: those of its days, or of its time range in a database,
+    whose index finds them."""
+    if isinstance(table, ParquetTable):
+        return table.near(spark, days, low, high)
+    return table.between(spark, low, high)
+
+
 def _values(columns: Sequence[str]) -> Column:
     return F.struct(*[F.col(name) for name in columns])
 
@@ -152,11 +162,10 @@ def _judged(good: DataFrame, stored: DataFrame, key: list[str]) -> DataFrame:
 def _append_rejects(lost: DataFrame, rejects: JdbcTable | ParquetTable, rows: int) -> None:
     """Append rejects that are not there yet, known by a hash of the row and its problems."""
     keyed = lost.withColumn("reject_key", F.xxhash64(*lost.columns)).dropDuplicates(["reject_key"])
-    low, high = keyed.agg(F.min(F.unix_micros(rejects.time)), F.max(F.unix_micros(rejects.time))).first()
+    micros = F.unix_micros(rejects.time)
+    low, high, days = keyed.agg(F.min(micros), F.max(micros), F.collect_set(utc_day(rejects.time).cast("string"))).first()
     spark = lost.sparkSession
-    if low is None:
-        # Rejects without any time are in no day's folder, so all keys are looked at.
-        stored = rejects.read(spark)
-    else:
-        stored = rejects.between(spark, low, high).unionByName(rejects.without_time(spark))
+    stored = rejects.without_time(spark)
+    if low is not None:
+        stored = stored.unionByName(_around(rejects, spark, days, low, high))
     rejects.append(keyed.join(stored.select("reject_key"), "reject_key", "left_anti"), rows)

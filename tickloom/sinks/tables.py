@@ -8,7 +8,8 @@ session's time zone.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
@@ -22,6 +23,9 @@ from tickloom.session import hadoop_path, path_exists, remove_path, settings, sh
 # The unique key of the stored bars; anomalies share it.
 KEY = ("window_start", "symbol")
 
+# Up to so many folders are looked for one by one; beyond that, the table is listed.
+FOLDERS_NAMED = 8
+
 DAY_MICROS = 86_400_000_000
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -30,6 +34,17 @@ def _in_range(df: DataFrame, time: str, low: int, high: int) -> DataFrame:
     return df.where(F.col(time).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high))))
 
 
+def day_number(text: str) -> int | None:
+    """Days since the epoch of a date as Spark writes it, beyond the years of Python's dates too; None
+    for any other text."""
+    found = re.fullmatch(r"([+-]?\d{1,7})-(\d\d)-(\d\d)", text)
+    if not found:
+        return None
+    year, month, day = map(int, found.groups())
+    turns, inside = divmod(year - 1, 400)  # the calendar repeats after 400 years
+    return date(inside + 1, month, day).toordinal() + turns * 146_097 - EPOCH.toordinal()
+
+
 def _text(micros: int) -> str:
     return (EPOCH + timedelta(microseconds=micros)).isoformat()
 
@@ -121,59 +136,95 @@ class ParquetTable:
             dated = dated.repartition(1 + rows // self.rows_per_file, "on_day", *self.key)
         dated.write.mode("append").partitionBy("on_day").parquet(self.path)
 
+    def _partitions(self) -> list[T.StructField]:
+        return [T.StructField("on_day", T.DateType())]
+
     def _scan(self, spark: SparkSession, folders: list[str] | None = None) -> DataFrame:
-        """All rows, or those in some folders, without listing the others."""
-        stored = T.StructType([*self.schema.fields, T.StructField("on_day", T.DateType())])
-        found = [f for f in folders if path_exists(spark, f)] if folders is not None else [self.path]
-        if not found or (folders is None and not path_exists(spark, self.path)):
+        """All rows, or those in some folders, which must exist, without listing the others."""
+        stored = T.StructType([*self.schema.fields, *self._partitions()])
+        if folders is None:
+            folders = [self.path] if path_exists(spark, self.path) else []
+        if not folders:
             return spark.createDataFrame([], stored)
-        return spark.read.schema(stored).option("basePath", self.path).parquet(*found)
+        return spark.read.schema(stored).option("basePath", self.path).parquet(*folders)
 
-    def _folder(self, day: date) -> str:
-        return f"{self.path}/on_day={day.isoformat()}"
+    def _folder(self, day: str | date | None) -> str:
+        """Of a day, as a date or as Spark writes it; None stands for rows without a time."""
+        return f"{self.path}/on_day={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._scan(spark).drop("on_day")
+        return self._scan(spark).select(*self.schema.names)
 
     def without_time(self, spark: SparkSession) -> DataFrame:
         """The rows whose time is NULL, which between() cannot find."""
-        return self._scan(spark, [f"{self.path}/on_day=__HIVE_DEFAULT_PARTITION__"]).drop("on_day")
+        return self._of_days(spark, [None])
+
+    def _of_days(self, spark: SparkSession, days: Collection[str | None]) -> DataFrame:
+        """The rows of some days: a call for each of a few, else one listing of the table's folders."""
+        folders = [self._folder(day) for day in days]
+        if len(folders) <= FOLDERS_NAMED:
+            found = [f for f in folders if path_exists(spark, f)]
+        else:
+            held = {f"{self.path}/{name}" for name in self._names(spark)}
+            found = [f for f in folders if f in held]
+        return self._scan(spark, found).select(*self.schema.names)
+
+    def near(self, spark: SparkSession, days: Collection[str | None], low: int, high: int) -> DataFrame:
+        """The rows of the given days (as texts) and in a time range: one odd time among the days
+        costs one folder, not all those between."""
+        return _in_range(self._of_days(spark, days), self.time, low, high)
 
     def between(self, spark: SparkSession, low: int, high: int) -> DataFrame:
-        """Only the days concerned are listed and read."""
-        days = [
-            (EPOCH + timedelta(days=day)).date() for day in range(low // DAY_MICROS, high // DAY_MICROS + 1)
-        ]
-        rows = self._scan(spark, [self._folder(day) for day in days])
-        return _in_range(rows, self.time, low, high).drop("on_day")
+        """Only the days concerned are read, and a long range is compared with those that exist."""
+        first, last = low // DAY_MICROS, high // DAY_MICROS
+        days = [day for number, day in self._numbered_days(spark) if first <= number <= last]
+        return self.near(spark, days, low, high)
 
-    def days(self, spark: SparkSession) -> list[date]:
-        """The days with a folder, in order; one listing of folders, none of files."""
+    def _names(self, spark: SparkSession) -> list[str]:
+        """The folders of days; one listing of folders, none of files."""
         if not path_exists(spark, self.path):
             return []
         folder, files = hadoop_path(spark, self.path)
         names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
-        texts = [name.removeprefix("on_day=") for name in names if name.startswith("on_day=")]
-        return sorted(date.fromisoformat(text) for text in texts if text[:1].isdigit())
+        return [name for name in names if name.startswith("on_day=")]
+
+    def _numbered_days(self, spark: SparkSession) -> list[tuple[int, str]]:
+        """(day number, day as Spark writes it) of all days with a folder, in order."""
+        days = [name.removeprefix("on_day=") for name in self._names(spark)]
+        return sorted((number, day) for day in days if (number := day_number(day)) is not None)
+
+    def days(self, spark: SparkSession) -> list[date]:
+        """The days with a folder, in order, as far as Python's dates reach."""
+        bounds = [(d - EPOCH.date()).days for d in (date.min, date.max)]
+        return [
+            EPOCH.date() + timedelta(days=number)
+            for number, _ in self._numbered_days(spark)
+            if bounds[0] <= number <= bounds[1]
+        ]
 
     def latest(self, spark: SparkSession, order: str, n: int) -> DataFrame:
         """The first n rows in an SQL order, such as "window_start DESC, symbol".
 
-        If the order begins with the time column descending, the newest days are counted until
-        they hold n rows, and only those are read. Any other order is a top-k scan of the table.
+        If the order begins with the time column descending, the newest days are counted, twice
+        as many in each job as in the one before, until they hold n rows, and only those needed are read;
+        rows without a time come last. Any other order is a top-k scan of the table.
         """
         terms = [F.expr(column).desc() if down else F.expr(column) for column, down in _ordering(order)]
         first, down = _ordering(order)[0]
         rows = self._scan(spark)
         if first == self.time and down:
-            folders, held = [], 0
-            for day in reversed(self.days(spark)):
-                folders.append(self._folder(day))
-                held += self._scan(spark, folders[-1:]).count()  # from the files' footers
-                if held >= n:
-                    break
-            rows = self._scan(spark, folders)
-        return rows.drop("on_day").orderBy(*terms).limit(n)
+            days = [day for _, day in reversed(self._numbered_days(spark))]
+            held, taken, step = 0, 0, 1
+            while taken < len(days) and held < n:
+                some = days[taken : taken + step]
+                counted = self._scan(spark, [self._folder(day) for day in some]).groupBy(F.col("on_day").cast("string")).count()
+                rows_of = dict(counted.collect())
+                for day in some:
+                    if held < n:
+                        held, taken = held + rows_of.get(day, 0), taken + 1
+                step *= 2
+            rows = self._of_days(spark, [*days[:taken], *([None] if held < n else [])])
+        return rows.select(*self.schema.names).orderBy(*terms).limit(n)
 
     def compact(self, spark: SparkSession, first: date, last: date) -> None:
         """Rewrite the days from first to last into few files each.
@@ -186,7 +237,7 @@ class ParquetTable:
         if not days:
             return
         staging = ParquetTable(shared_path(spark, "compaction"), self.schema, self.key, self.time)
-        rows = self._scan(spark, [self._folder(day) for day in days]).drop("on_day")
+        rows = self._scan(spark, [self._folder(day) for day in days]).select(*self.schema.names)
         staging.append(rows)
         with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
             dated = staging.read(spark).withColumn("on_day", utc_day(self.time))

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.schema import TRADE
-from tickloom.session import path_exists
+from tickloom.session import hadoop_path, path_exists
 
 PARTS = ("year", "month", "day", "hour")
 LAKE = T.StructType([*TRADE.fields, *[T.StructField(n, T.IntegerType()) for n in PARTS]])
 HOUR = timedelta(hours=1)
 # Up to this length a range names hour folders, beyond it day folders.
 _HOURS_NAMED = 48
+# Up to so many days are looked for one by one.
+_FOLDERS_NAMED = 16
 
 
 def read_lake(
@@ -29,9 +31,11 @@ def read_lake(
     log tells which files are committed.
     """
     start, end = (moment and _utc(moment) for moment in (start, end))
+    if start is not None and end is not None and start >= end:
+        return spark.createDataFrame([], TRADE)
     reader = spark.read.schema(LAKE)
     if start is not None and end is not None and not path_exists(spark, f"{path}/_spark_metadata"):
-        folders = [f for f in lake_folders(path, start, end) if path_exists(spark, f)]
+        folders = _existing(spark, path, start, end)
         if not folders:
             return spark.createDataFrame([], TRADE)
         trades = reader.option("basePath", path).parquet(*folders)
@@ -55,6 +59,32 @@ def lake_folders(path: str, start: datetime, end: datetime) -> list[str]:
     return [f"{path}/year={d.year}/month={d.month}/day={d.day}" for d in days]
 
 
+def _existing(spark: SparkSession, path: str, start: datetime, end: datetime) -> list[str]:
+    """Those folders of lake_folders() that exist. A few are looked for one by one; beyond, the
+    lake's years, and of those in the range the months, and of these the days, are listed."""
+    if end - start <= _FOLDERS_NAMED * timedelta(days=1):
+        return [f for f in lake_folders(path, start, end) if path_exists(spark, f)]
+    bounds = [(m.year, m.month, m.day) for m in (start, end - timedelta(microseconds=1))]
+    level: list[tuple[int, ...]] = [()]
+    for depth, part in enumerate(PARTS[:3]):
+        below = []
+        for values in level:
+            names = "/".join(f"{p}={v}" for p, v in zip(PARTS, values, strict=False))
+            below += [(*values, v) for v in _values(spark, f"{path}/{names}".rstrip("/"), part)]
+        level = [v for v in below if bounds[0][: depth + 1] <= v <= bounds[1][: depth + 1]]
+    return [f"{path}/year={y}/month={m}/day={d}" for y, m, d in sorted(level)]
+
+
+def _values(spark: SparkSession, folder: str, part: str) -> list[int]:
+    """The values of a partition column below a folder."""
+    if not path_exists(spark, folder):
+        return []
+    found, files = hadoop_path(spark, folder)
+    names = [s.getPath().getName() for s in files.listStatus(found) if s.isDirectory()]
+    texts = [name.removeprefix(f"{part}=") for name in names if name.startswith(f"{part}=")]
+    return [int(text) for text in texts if text.isdigit()]
+
+
 def _utc(moment: datetime) -> datetime:
     return moment.replace(tzinfo=timezone.utc) if moment.tzinfo is None else moment.astimezone(timezone.utc)
 

@@ -1,8 +1,9 @@
-from tickloom.streaming.batches import append_batches, write_bars_and_spikes
+from tickloom.streaming.batches import append_batches, append_batches_once, write_bars_and_spikes
 from tickloom.streaming.queries import start_query, wait_for_all, wait_for_any
 
 __all__ = [
     "append_batches",
+    "append_batches_once",
     "start_query",
     "wait_for_all",
     "wait_for_any",

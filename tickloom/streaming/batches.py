@@ -9,7 +9,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tickloom.operators import volume_spikes
 from tickloom.operators.spikes import FACTOR, SALTS
-from tickloom.sinks import Appended, JdbcTable, ParquetTable, append_new
+from tickloom.sinks import Appended, BatchTable, JdbcTable, Ledger, ParquetTable, append_batch, append_new
 
 Table = JdbcTable | ParquetTable
 # Called with the number of the batch, the name of the output, and what was appended.
@@ -37,6 +37,27 @@ def append_batches(
     return write
 
 
+def append_batches_once(
+    table: BatchTable,
+    ledger: Ledger,
+    stamped: str | None = None,
+    rejects: Table | None = None,
+    report: Report | None = None,
+    name: str = "rows",
+) -> Callable[[DataFrame, int], None]:
+    """As append_batches(), but a ledger finds repeated batches, and no stored key is read.
+
+    `report` hears nothing of a batch that the ledger has as done.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        done = append_batch(batch, batch_id, table, ledger, rejects=rejects, stamped=stamped)
+        if report is not None and done is not None:
+            report(batch_id, name, done)
+
+    return write
+
+
 def write_bars_and_spikes(
     bars: Table | None,
     anomalies: Table,

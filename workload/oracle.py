@@ -238,6 +238,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "lake_stream": trade_rows(EVENT_TRADES),
         "keyed_write_replay": full_bars(MINUTE_BARS),
+        "ledger_write_replay": full_bars(MINUTE_BARS),
         "keyed_write_conflicts": with_problems(
             f"""
             SELECT *, CAST(NULL AS VARCHAR) AS problems FROM ({MINUTE_BARS}) AS b

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timedelta
 from functools import partial
 
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions import hour_parts
+from tickloom.functions import hour_parts, utc_day
 from tickloom.operators import (
     allow_symbols,
     bars,
@@ -36,7 +37,10 @@ from tickloom.schema import ANOMALY, ENVELOPE, FULL_BAR, SHORT_BAR, TRADE
 from tickloom.session import shared_path, store
 from tickloom.sinks import (
     REJECT_KEY,
+    BatchTable,
+    Ledger,
     ParquetTable,
+    append_batch,
     append_new,
     append_to_lake,
     compact_lake,
@@ -242,6 +246,22 @@ def keyed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(target.read(spark))
 
 
+def ledger_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars in three batches, of which the first comes twice and the second is broken off when half
+    of it is written, and repeated."""
+    target, ledger = BatchTable(shared_path(spark, "batches"), FULL_BAR), Ledger(shared_path(spark, "ledger"))
+    stored = store(bars_1min(event_trades(spark, sf_dir)), "bars")
+    third = F.pmod(F.hour("window_start"), F.lit(3))
+    append_batch(stored.where(third == 0), 0, target, ledger, "bars")
+    append_batch(stored.where(third == 0), 0, target, ledger, "bars")
+    second = stored.where(third == 1)
+    ledger.note(spark, "bars", 1, "open", [r[0] for r in second.select(utc_day("window_start").cast("string")).distinct().collect()])
+    replace(target, batch="bars-1").append(second.where("symbol < 'e'"))
+    append_batch(second, 1, target, ledger, "bars")
+    append_batch(stored.where(third == 2), 2, target, ledger, "bars")
+    return comparable(target.read(spark))
+
+
 def keyed_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All bars, then the bars of one symbol with twice their volume, twice: each contradicts a
     stored bar and is rejected once."""
@@ -501,6 +521,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lake_range_read": lake_range,
         "lake_stream": streamed_lake,
         "keyed_write_replay": keyed_replay,
+        "ledger_write_replay": ledger_replay,
         "keyed_write_conflicts": keyed_conflicts,
         "stamped": stamped_bars,
         "compacted_bars": compacted_bars,
