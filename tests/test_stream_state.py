@@ -1,0 +1,108 @@
+"""Chained aggregations of panes, and bars read from the state of a stream."""
+
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import at, trades
+from tickloom.operators import bars, bars_1min, bars_5min
+from tickloom.schema import TRADE
+from tickloom.session import shared_path
+from tickloom.streaming import open_bars, start_query, with_open_bars
+
+MINUTE = timedelta(minutes=1)
+
+
+def run(spark, make, batches, checkpoint=None):
+    """Bars of a stream over one file after another; returns (emitted, checkpoint)."""
+    source, out, checkpoint = shared_path(spark, "in"), shared_path(spark, "out"), shared_path(spark, "progress")
+    for rows in batches:
+        trades(spark, *rows).coalesce(1).write.mode("append").parquet(source)
+        stream = make(spark.readStream.schema(TRADE).parquet(source))
+        query = start_query(stream, "parquet", checkpoint, trigger={"availableNow": True}, state_partitions=2, path=out)
+        query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out), checkpoint
+
+
+def rounded(df):
+    shown = [F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes]
+    return sorted(map(tuple, df.select(*shown).collect()), key=repr)
+
+
+def in_order(seed, n=300):
+    draw = random.Random(seed)
+    rows, moment = [], 0.0
+    for _ in range(n):
+        moment += draw.choice([0, 1, 5, 20, 100])
+        rows.append((draw.choice(["A", "B", None]), draw.choice([None, 10.5, 11.0, 1e6]), draw.choice([0.0, 3.0, 7.5]), at(moment)))
+    return rows
+
+
+@pytest.mark.parametrize("extremes", [False, True])
+def test_panes_give_the_bars_of_windows_without_late_trades(spark, extremes):
+    rows = in_order(3)
+    batches = [rows[:100], rows[100:101], rows[101:]]
+
+    def make(lateness):
+        return lambda t: bars(t, 5 * MINUTE, MINUTE, timedelta(seconds=30), extremes, lateness=lateness)
+
+    panes, windows = (rounded(run(spark, make(kind), batches)[0]) for kind in ("pane", "window"))
+    assert panes == windows and len(panes) > 100
+    table = bars(trades(spark, *rows), 5 * MINUTE, MINUTE, extremes=extremes)
+    last = max(r[3] for r in rows) - timedelta(seconds=30)
+    assert panes == rounded(table.where(F.unix_seconds("window_end") <= int(last.timestamp())))
+
+
+def test_a_late_trade_is_judged_by_its_pane_or_by_its_windows(spark):
+    first = [("A", 1.0, 1.0, at(0)), ("A", 1.0, 1.0, at(150))]  # watermark 120 s
+    late = [("A", 1.0, 10.0, at(70)), ("A", 1.0, 1.0, at(1200))]  # its pane ended at 120 s
+    volumes = {}
+    for kind in ("window", "pane"):
+        found = run(spark, lambda t, kind=kind: bars_5min(t, lateness=kind), [first, late])[0]
+        volumes[kind] = {(r.window_start.timestamp() - at(0).timestamp()) / 60: r.total_volume for r in found.collect()}
+    # Windows that end after 120 s are still open; those up to then are not.
+    assert volumes["pane"] == {-4: 1, -3: 1, -2: 2, -1: 2, 0: 2, 1: 1, 2: 1}
+    assert volumes["window"] == {-4: 1, -3: 1, -2: 12, -1: 12, 0: 12, 1: 11, 2: 1}
+
+
+def test_the_state_of_panes_is_that_of_one_window(spark):
+    rows = in_order(5, 60)
+    held = {}
+    for kind in ("window", "pane"):
+        checkpoint = run(spark, lambda t, kind=kind: bars_5min(t, lateness=kind), [rows[:40]])[1]
+        operators = [r.operatorId for r in spark.read.format("state-metadata").load(checkpoint).collect()]
+        held[kind] = [spark.read.format("statestore").option("operatorId", o).load(checkpoint).count() for o in sorted(operators)]
+    assert len(held["window"]) == 1 and len(held["pane"]) == 2
+    assert max(held["pane"]) < held["window"][0] or held["window"][0] <= 5
+
+
+def test_wrong_choices_are_refused(spark):
+    table = trades(spark, ("A", 1.0, 1.0, at(0)))
+    with pytest.raises(ValueError, match="lateness"):
+        bars_5min(table, lateness="row")
+    assert bars_5min(table, lateness="pane").count() == 5  # on a table nothing is late
+    stream = spark.readStream.format("rate").load().select(F.lit("A").alias("symbol"), F.lit(1.0).alias("price"), F.lit(1.0).alias("volume"), F.col("timestamp").alias("event_time"))
+    with pytest.raises(ValueError, match="multiple"):
+        bars(stream, timedelta(seconds=150), MINUTE, MINUTE, lateness="pane")
+
+
+@pytest.mark.parametrize(("make", "extremes"), [(bars_1min, True), (bars_5min, False)])
+def test_emitted_and_open_bars_are_all_bars(spark, make, extremes):
+    rows = in_order(7)
+    emitted, checkpoint = run(spark, make, [rows[:150], rows[150:]])
+    still_open = open_bars(spark, checkpoint, extremes)
+    assert still_open.columns == emitted.columns and still_open.count() > 0
+    both = with_open_bars(emitted, still_open)
+    assert rounded(both.drop("provisional")) == rounded(make(trades(spark, *rows)))
+    assert both.where("provisional").count() == still_open.count()
+    # What has been emitted since the state was read is not provisional.
+    again = with_open_bars(emitted, still_open.unionByName(emitted))
+    assert rounded(again) == rounded(both)
+
+
+def test_state_of_another_shape_is_refused(spark):
+    checkpoint = run(spark, bars_1min, [in_order(1, 20)])[1]
+    with pytest.raises(ValueError, match="not the state of bars"):
+        open_bars(spark, checkpoint, extremes=False)

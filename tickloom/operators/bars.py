@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tickloom.functions import ratio, spans, vwap
@@ -27,6 +27,7 @@ def bars(
     delay: timedelta | None = None,
     extremes: bool = True,
     panes: bool = True,
+    lateness: str = "window",
 ) -> DataFrame:
     """Volume, price and volatility per (window, symbol), on a table or on a stream.
 
@@ -36,14 +37,26 @@ def bars(
     On a table, sliding windows are built from panes: the trades are aggregated into tumbling
     windows of length `slide`, and only those are copied into the width/slide windows they
     belong to, behind the last shuffle. So neither raw rows nor shuffled rows are multiplied.
-    A stream must test lateness per window, hence it uses the direct plan, as does
-    `panes=False`.
+    `panes=False` uses the direct plan.
+
+    A stream with sliding windows tests lateness per window by default: a late trade is dropped from the
+    windows that have closed and counts in those that have not. That takes the direct plan, which copies
+    every trade into width/slide windows and keeps the state of all of them. With
+    lateness="pane" trades go into panes, whose state is that of one window, and a second stateful
+    aggregation puts closed panes together; a trade is dropped as a whole once its pane has
+    closed. Without late trades both give the same bars, at the same watermark.
     """
+    if lateness not in ("window", "pane"):
+        raise ValueError(f"lateness must be 'window' or 'pane', not {lateness!r}")
     if delay is not None:
         trades = trades.withWatermark("event_time", spans(delay))
     if slide is None or slide == width:
         return _direct(trades, F.window("event_time", spans(width)), extremes)
     whole = width % slide == timedelta(0)
+    if trades.isStreaming and lateness == "pane":
+        if not whole:
+            raise ValueError("panes need a width that is a multiple of the slide")
+        return _from_closed_panes(trades, width, slide, extremes)
     if panes and whole and not trades.isStreaming:
         return _from_panes(trades, width, slide, extremes)
     return _direct(trades, F.window("event_time", spans(width), spans(slide)), extremes)
@@ -54,12 +67,12 @@ def bars_1min(trades: DataFrame) -> DataFrame:
     return bars(trades, MINUTE, delay=DELAY_1MIN)
 
 
-def bars_5min(trades: DataFrame, panes: bool = True) -> DataFrame:
+def bars_5min(trades: DataFrame, panes: bool = True, lateness: str = "window") -> DataFrame:
     """5-minute bars, one starting every minute; a stream waits 30 seconds for late trades.
 
-    `panes=False` suits tables with hardly more than a trade per symbol and minute.
+    `panes=False` suits tables with hardly more than a trade per symbol and minute; `lateness` see bars().
     """
-    return bars(trades, FIVE_MINUTES, MINUTE, delay=DELAY_5MIN, extremes=False, panes=panes)
+    return bars(trades, FIVE_MINUTES, MINUTE, delay=DELAY_5MIN, extremes=False, panes=panes, lateness=lateness)
 
 
 def _layout(extremes: bool) -> list[Column | str]:
@@ -97,25 +110,9 @@ def _direct(trades: DataFrame, window: Column, extremes: bool) -> DataFrame:
 def _from_panes(
     trades: DataFrame, width: timedelta, slide: timedelta, extremes: bool
 ) -> DataFrame:
-    price, volume = F.col("price"), F.col("volume")
     count = width // slide
     step = slide // timedelta(microseconds=1)
-    panes = (
-        trades.groupBy(F.window("event_time", spans(slide)).alias("window"), "symbol")
-        .agg(
-            F.sum(volume).alias("volume"),
-            F.sum(price * volume).alias("turnover"),
-            F.sum(price).alias("price_sum"),
-            F.count(price).alias("prices"),
-            F.avg(price).alias("mean"),
-            F.var_pop(price).alias("variance"),
-            F.min(price).alias("low"),
-            F.max(price).alias("high"),
-            F.count("*").alias("trades"),
-        )
-        .withColumn("pane", F.unix_micros(F.col("window.start")))
-        .drop("window")
-    )
+    panes = _panes(trades, slide).withColumn("pane", F.unix_micros(F.col("window.start"))).drop("window")
 
     # Windows are put together in blocks of neighbouring starts. A pane is shuffled once, to
     # the block it lies in and, near a block's edge, also to the one before. So a window finds
@@ -132,8 +129,44 @@ def _from_panes(
         .where(_block(F.col("start"), block) == F.col("block"))
     )
 
-    # A window has at most width/slide panes, so the list of their means is bounded. It is folded
-    # around the window's own mean, which keeps the variance stable.
+    merged = _merged(placed.groupBy("symbol", "block", "start"), extremes)
+    ends = F.col("start") + F.lit(width // timedelta(microseconds=1))
+    window = F.struct(F.timestamp_micros("start").alias("start"), F.timestamp_micros(ends).alias("end"))
+    return merged.withColumn("window", window).select(*_layout(extremes))
+
+
+def _from_closed_panes(
+    trades: DataFrame, width: timedelta, slide: timedelta, extremes: bool
+) -> DataFrame:
+    """On a stream: a stateful aggregation into panes, and one of the panes that have closed."""
+    panes = _panes(trades, slide)
+    # A pane lies wholly in a window or not at all, so its last microsecond stands for it.
+    window = F.window(F.window_time("window"), spans(width), spans(slide))
+    placed = panes.withColumn("window", window)
+    return _merged(placed.groupBy("window", "symbol"), extremes).select(*_layout(extremes))
+
+
+def _panes(trades: DataFrame, slide: timedelta) -> DataFrame:
+    price, volume = F.col("price"), F.col("volume")
+    return trades.groupBy(F.window("event_time", spans(slide)).alias("window"), "symbol").agg(
+        F.sum(volume).alias("volume"),
+        F.sum(price * volume).alias("turnover"),
+        F.sum(price).alias("price_sum"),
+        F.count(price).alias("prices"),
+        F.avg(price).alias("mean"),
+        F.var_pop(price).alias("variance"),
+        F.min(price).alias("low"),
+        F.max(price).alias("high"),
+        F.count("*").alias("trades"),
+    )
+
+
+def _merged(windows: GroupedData, extremes: bool) -> DataFrame:
+    """The measures of windows from those of their panes.
+
+    A window has at most width/slide panes, so the list of their means is bounded. It is folded
+    around the window's own mean, which keeps the variance stable.
+    """
     pane = F.when(F.col("prices") > 0, F.struct("prices", "mean", "variance"))
     measures = [
         F.sum("volume").alias("total_volume"),
@@ -148,27 +181,19 @@ def _from_panes(
             F.max("high").alias("max_price"),
             F.sum("trades").alias("trade_count"),
         ]
-    merged = (
-        placed.groupBy("symbol", "block", "start")
-        .agg(*measures)
-        .withColumn("avg_price", ratio(F.col("price_sum"), F.col("prices")))
-    )
+    merged = windows.agg(*measures).withColumn("avg_price", ratio(F.col("price_sum"), F.col("prices")))
     squares = F.aggregate(
         "panes",
         F.lit(0.0),
         lambda total, p: total + p["prices"] * (p["variance"] + F.pow(p["mean"] - F.col("avg_price"), F.lit(2))),
     )
     spread = squares / (F.col("prices") - 1)
-    ends = F.col("start") + F.lit(width // timedelta(microseconds=1))
     return merged.withColumns(
         {
-            "window": F.struct(
-                F.timestamp_micros("start").alias("start"), F.timestamp_micros(ends).alias("end")
-            ),
             "volatility": F.when(F.col("prices") > 1, F.sqrt(spread)),
             "vwap": ratio(F.col("turnover"), F.col("total_volume")),
         }
-    ).select(*_layout(extremes))
+    )
 
 
 def _block(start: Column, length: int) -> Column:

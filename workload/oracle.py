@@ -281,6 +281,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_bars_5min_append": short_bars(
             closed(sliding(EVENT_TRADES, 5, "minute"), EVENT_TRADES, "30 seconds")
         ),
+        "stream_bars_5min_panes": short_bars(
+            closed(sliding(EVENT_TRADES, 5, "minute"), EVENT_TRADES, "30 seconds")
+        ),
+        "stream_open_bars": f"""
+            SELECT *, window_end > (SELECT max(event_time) FROM ({EVENT_TRADES}) AS t) - INTERVAL 10 seconds AS provisional
+            FROM ({full_bars(MINUTE_BARS)}) AS b
+        """,
         "stream_late_drop": full_bars(LATE_DROP),
         "stream_flow_anomalies": spike_rows(spikes(FLOW_MINUTE_BARS)),
         "stream_flow_bars_1min": full_bars(FLOW_MINUTE_BARS),

@@ -48,7 +48,7 @@ from tickloom.sinks import (
     reject_schema,
 )
 from tickloom.sources import envelope_files, read_lake
-from tickloom.streaming import start_query, wait_for_all
+from tickloom.streaming import open_bars, start_query, wait_for_all, with_open_bars
 from workload.inputs import (
     comparable,
     event_envelopes,
@@ -398,6 +398,18 @@ def streamed_five_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(bars_5min(event_trade_stream(spark, sf_dir)))
 
 
+def streamed_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(bars_5min(event_trade_stream(spark, sf_dir), lateness="pane"))
+
+
+def streamed_and_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bars that a stream has emitted, and those that it holds open at the end of its input."""
+    path, progress = shared_path(spark, "stream"), shared_path(spark, "progress")
+    _run(bars_1min(event_trade_stream(spark, sf_dir)), progress, sink="parquet", path=path)
+    emitted = spark.read.schema(FULL_BAR).parquet(path)
+    return comparable(with_open_bars(emitted, open_bars(spark, progress)))
+
+
 def streamed_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors arrive after everything else, in a second run from the same checkpoint.
 
@@ -532,6 +544,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "validate_extra_keys": extra_keys,
         "stream_bars_1min_append": streamed_minute,
         "stream_bars_5min_append": streamed_five_minute,
+        "stream_bars_5min_panes": streamed_panes,
+        "stream_open_bars": streamed_and_open,
         "stream_late_drop": streamed_late,
         "stream_flow_anomalies": flow_anomalies,
         "stream_flow_totals": flow_totals,
