@@ -221,3 +221,23 @@ def test_queries_over_whole_tables(spark):
     groups, links = vector_groups([[float(x) for x in r.embedding] for r in rows], 0.9)
     found = {r.vec_id: (r.n_links, r.component_id) for r in queries.queries()["op5_embedding_join"](spark, SF_DIR).collect()}
     assert found == {ids[i]: (links[i], ids[groups.find(i)]) for i in range(len(ids))}
+
+
+def test_large_groups_around_the_threshold_are_decided_in_blocks(spark, monkeypatch):
+    # One base text; each document changes some words, so that pairs lie on both sides of the threshold.
+    draw = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        own = list(base)
+        for at in draw.sample(range(120), draw.choice([1, 2, 3, 4, 5])):
+            own[at] = f"x{draw.randrange(400)}"
+        rows.append((i, " ".join(own)))
+    groups = linked_groups(rows, 3, 85)
+    expected = {i: groups.find(i) for i, _ in rows}
+    assert 3 < len(set(expected.values())) < 150
+    for block, shingles in ((1500, 3_000_000), (7, 3_000_000), (1500, 1000)):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
+        found = minhash.near_duplicates(documents(spark, rows), words=3, similarity=85).collect()
+        assert {r.doc_id: r.component_id for r in found} == expected

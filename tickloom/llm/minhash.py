@@ -10,14 +10,15 @@ Work is done per class of equal sets, so exact copies are one row. Within a buck
 not all pairs are made: first each member is compared with the bucket's smallest document only,
 which joins most of what belongs together. Members of a bucket that then lie in different
 components are compared with each other, in blocks of bounded size, by longer packed signatures
-that only they have; each pair in one bucket of those it shares. What may be linked is confirmed: at
-first only the likeliest partner of each, which joins most of a group, then every pair that still
-lies in two components. So the components are those of all links between candidates.
+that only they have; each pair in one bucket of those it shares. The members that may be linked to
+another meet again in the same blocks, now with their full sets, and are decided on the spot: pairs
+that earlier links of the block have joined are passed over, and only links that join two components
+leave the block. So pairs are never rows, and the components are those of all links between candidates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,8 @@ BITS = 4
 PER_LONG = 64 // BITS
 ERRORS = 4.5  # standard errors that an estimate may lie below the threshold
 WIDE = 384  # minima of the longer signatures
-BLOCK = 1500
+BLOCK = 1500  # members of a block's side
+BLOCK_SHINGLES = 3_000_000  # of a block's side, about
 _FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
 
 
@@ -145,18 +147,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return rows.mapInArrow(confirm, "a long, b long")
 
 
-def _between(
-    found: dict[str, np.ndarray], key: int, low: float, similarity: int, best: bool
-) -> tuple[list, list]:
-    """Of one block of the bucket `key`: the pairs of different components that may be linked, unless
-    an earlier band has brought them together; with `best`, only each row's likeliest partner."""
+def _candidates(found: dict[str, np.ndarray], key: int, low: float, similarity: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of one block of the bucket `key`: each member with the later ones that it may be linked to, in
+    other components, unless an earlier band brings the two together."""
     side = found["side"]  # 1 and 2 are compared with each other; 0 with itself
     rows, columns = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
     if not len(rows):
         rows = columns = np.flatnonzero(side == 0)
     wide, keys, n, comp, rep = (found[k] for k in ("wide", "keys", "n", "component", "rep"))
     chance, count = 1 / (1 << BITS), wide.shape[1] * PER_LONG
-    first, second = [], []
     for i in rows.tolist():
         other = columns[(comp[columns] != comp[i]) & ((rep[columns] > rep[i]) | (side[i] != 0))]
         small, large = np.minimum(n[other], n[i]), np.maximum(n[other], n[i])
@@ -168,36 +167,77 @@ def _between(
         for shift in (1, 2):
             x |= x >> np.uint64(shift)
         differ = np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1)
-        near = (1 - differ / count - chance) / (1 - chance) >= low
-        if best and near.any():
-            near = np.array([differ.argmin()])
-        other = other[near]
-        first += np.minimum(rep[other], rep[i]).tolist()
-        second += np.maximum(rep[other], rep[i]).tolist()
+        other = other[(1 - differ / count - chance) / (1 - chance) >= low]
+        if len(other):
+            yield i, other
+
+
+def _forest(
+    found: dict[str, np.ndarray], sets: list[np.ndarray], key: int, low: float, similarity: int
+) -> tuple[list[int], list[int]]:
+    """Of one block: links between full sets that join its components, as many as it takes."""
+    # Sets as places in the block's list of shingles; a member's own are marked, its partners' counted.
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum([len(own) for own in sets])])
+    marked = np.zeros(len(known), bool)
+    n, rep = found["n"], found["rep"]
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    first, second = [], []
+    for i, other in _candidates(found, key, low, similarity):
+        own, others = root(int(found["component"][i])), [root(c) for c in found["component"][other].tolist()]
+        other = other[np.array(others) != own]
+        mine = flat[starts[i] : starts[i + 1]]
+        marked[mine] = True
+        for at in range(0, len(other), 256):
+            some = other[at : at + 256]
+            places = np.concatenate([flat[starts[k] : starts[k + 1]] for k in some])
+            edges = np.concatenate([[0], np.cumsum(n[some])[:-1]])
+            both = np.add.reduceat(marked[places].astype(np.int64), edges)
+            for k in some[100 * both >= similarity * (n[some] + n[i] - both)].tolist():
+                a, b = root(int(found["component"][i])), root(int(found["component"][k]))
+                if a != b:
+                    parent[a] = b
+                    first.append(int(min(rep[i], rep[k])))
+                    second.append(int(max(rep[i], rep[k])))
+        marked[mine] = False
     return first, second
 
 
-def _crossing(
-    members: DataFrame, sets: DataFrame, labels: DataFrame, low: float, similarity: int, best: bool
-) -> DataFrame:
-    """Pairs (a, b) that meet in a bucket, lie in different components, and may be linked.
+def _blocks(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, i, j, m, rep, component, side: the members of buckets with several components, in blocks.
 
     A bucket's largest component is compared with the rest, the rest with each other, in blocks of
-    at most BLOCK members a side.
+    at most about BLOCK members and BLOCK_SHINGLES shingles a side.
     """
     known = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component")
+        "key", "rep", "n", F.coalesce("component", "rep").alias("component")
     )
-    sizes = known.groupBy("key", "component").agg(F.count("*").alias("n"))
+    sizes = known.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n").alias("shingles"))
+
+    def blocks_of(count: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(count / BLOCK), F.ceil(shingles / BLOCK_SHINGLES))
+
     buckets = (
         sizes.groupBy("key")
-        .agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("kinds"))
+        .agg(
+            F.max(F.struct("n", "component", "shingles")).alias("top"),
+            F.sum("n").alias("all"),
+            F.sum("shingles").alias("weight"),
+            F.count("*").alias("kinds"),
+        )
         .where("kinds > 1")
         .select(
             "key",
             F.col("top.component").alias("main"),
-            F.ceil(F.col("top.n") / BLOCK).alias("main_blocks"),
-            F.ceil((F.col("all") - F.col("top.n")) / BLOCK).alias("rest_blocks"),
+            blocks_of(F.col("top.n"), F.col("top.shingles")).alias("main_blocks"),
+            blocks_of(F.col("all") - F.col("top.n"), F.col("weight") - F.col("top.shingles")).alias("rest_blocks"),
         )
     )
     slot = F.xxhash64("rep", "key")
@@ -221,29 +261,50 @@ def _crossing(
             ),
         ),
     )
-    blocks = (
-        known.join(buckets, "key")
-        .select(
-            "key",
-            "rep",
-            "component",
-            F.inline(F.when(F.col("component") == F.col("main"), main_side).otherwise(rest_side)),
-        )
-        .join(sets.select("rep", "n", "keys", "wide"), "rep")
-        .select("key", "i", "j", "m", "rep", "component", "side", "n", "keys", "wide")
-    )
+    placed = F.inline(F.when(F.col("component") == F.col("main"), main_side).otherwise(rest_side))
+    return known.join(buckets, "key").select("key", "rep", "component", placed)
+
+
+_PLACE = ["key", "i", "j", "m"]
+
+
+def _in_blocks(rows: DataFrame, act: Callable, schema: str) -> DataFrame:
+    """What `act` makes of each block: of (key, arrays by column, rows as an Arrow table)."""
 
-    def compare(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in runs(parts, ("key", "i", "j", "m")):
+    def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in runs(parts, tuple(_PLACE)):
             found = {k: block.column(k).to_numpy() for k in ("rep", "component", "side", "n")}
             for name in ("keys", "wide"):
                 found[name] = np.stack(block.column(name).to_numpy())
-            a, b = _between(found, block.column("key")[0].as_py(), low, similarity, best)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            made = act(block.column("key")[0].as_py(), found, block)
+            if made is not None and made.num_rows:
+                yield from made.to_batches()
+
+    return rows.repartition(*_PLACE).sortWithinPartitions(*_PLACE).mapInArrow(run, schema)
+
+
+def _crossing(members: DataFrame, sets: DataFrame, labels: DataFrame, low: float, similarity: int) -> DataFrame:
+    """Links (a, b) between members that meet in a bucket and lie in different components: enough to join
+    all that are linked."""
+
+    def may_link(key: int, found: dict[str, np.ndarray], block: pa.Table) -> pa.Table:
+        meets = np.zeros(block.num_rows, bool)
+        for i, other in _candidates(found, key, low, similarity):
+            meets[i] = meets[other] = True
+        return block.filter(pa.array(meets)).select([*_PLACE, "rep", "component", "side"])
+
+    def decide(key: int, found: dict[str, np.ndarray], block: pa.Table) -> pa.Table:
+        own = [np.frombuffer(v.as_buffer(), np.uint64) for v in block.column("shingles")]
+        a, b = _forest(found, own, key, low, similarity)
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    dealt = blocks.repartition("key", "i", "j", "m").sortWithinPartitions("key", "i", "j", "m")
-    return dealt.mapInArrow(compare, "a long, b long")
+    spark, signs = members.sparkSession, ["rep", "n", "keys", "wide"]
+    blocks = _blocks(members, labels).join(sets.select(*signs), "rep").select(*_PLACE, "component", "side", *signs)
+    place = "key long, i long, j long, m boolean, rep long, component long, side int"
+    near = store(_in_blocks(blocks, may_link, place), "meeting")
+    whole = near.join(sets.select(*signs, "shingles"), "rep").select(*_PLACE, "component", "side", *signs, "shingles")
+    with settings(spark, _FEW_ROWS):
+        return store(_in_blocks(whole, decide, "a long, b long"), "links")
 
 
 def near_duplicates(
@@ -279,7 +340,7 @@ def near_duplicates(
     )
     # A document with several sets could stand for several classes; they are one node then.
     signatures = classes.select("rep", F.col("n_shingles").alias("n"), "packed", "set_hi", "set_lo")
-    members = classes.select("rep", F.explode("keys").alias("key"))
+    members = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     hubs = members.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("met")).where("met > 1").drop("met")
     # Members of buckets that have several, with the bucket's smallest document.
     met = store(members.join(hubs, "key"), "met")
@@ -325,14 +386,9 @@ def near_duplicates(
     with settings(docs.sparkSession, _FEW_ROWS):
         links = store(confirmed(candidates, sets, similarity), "links")
     labels = connected_components(links)
-    members, wide = met.select("key", "rep"), least_estimate(similarity, WIDE)
-    for best in (True, False):
-        crossing = _crossing(members, sets, labels, wide, similarity, best)
-        with settings(docs.sparkSession, _FEW_ROWS):
-            more = store(confirmed(crossing, sets, similarity), "links")
-        if more.limit(1).count():
-            links = links.union(more)
-            labels = connected_components(links)
+    more = _crossing(met.select("key", "rep", "n"), sets, labels, least_estimate(similarity, WIDE), similarity)
+    if more.limit(1).count():
+        labels = connected_components(links.union(more))
     of_class = classes.select(*identity, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
     return (
