@@ -17,8 +17,9 @@ surroundings of anchors finds every repeat. About one position in 35 is an ancho
    the prefix it shares with the last output, so bytes known to be equal are not compared again.
    In the merged order equal suffixes are neighbours, as are all suffixes that share an anchor.
    Where one anchor has several surroundings, their windows are compared one by one.
-4. An anchor that occurs very often is spread over several tasks. What is earliest in each of them
-   is compared once more by a shuffle on the window's hash.
+4. An anchor that occurs very often is spread over several tasks by what surrounds it: equal suffixes
+   still meet in one task, at most one from each slot. Windows of different suffixes are
+   compared once more by a shuffle on the window's hash.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import mix, runs, seeds
+from tickloom.llm.common import MASK64, mix, runs, seeds
 from tickloom.llm.shingles import _powers
 from tickloom.session import remove_path, settings, shared_path, store
 
@@ -295,9 +296,17 @@ def _runs_of_slot(texts: pa.Table, lists: pa.Table, slots: int, width: int, gram
     uids, at, hashes, spread = _unpack(lists.column("blob").to_pylist(), "<i8", "<i4", "<u8", "<i4")
     if not len(uids):
         return
+    # A frequent anchor is spread by what surrounds it, so that equal suffixes still meet in one task.
     salted = spread > 1
-    salt = mix(uids.astype(np.uint64)) % spread.astype(np.uint64)
-    heads = np.where(salted, mix(hashes + (salt << np.uint64(1)) + np.uint64(1)), hashes).astype(">u8").tobytes()
+    heads = hashes.astype(">u8").tobytes()
+    headed: dict[tuple[int, int], bytes] = {}
+
+    def spread_head(row: int, body: bytes) -> bytes:
+        own = int(hashes[row]), zlib.crc32(body) % int(spread[row])
+        if own not in headed:
+            headed[own] = mix(np.array([own[0] + 2 * own[1] + 1 & MASK64], np.uint64)).astype(">u8").tobytes()
+        return headed[own]
+
     row_of = {uid: row for row, uid in enumerate(texts.column("uid").to_pylist())}
     column = texts.column("text")
     raw: dict[int, bytes] = {}
@@ -310,6 +319,8 @@ def _runs_of_slot(texts: pa.Table, lists: pa.Table, slots: int, width: int, gram
         if uid not in raw:
             raw = {uid: column[row_of[uid]].as_buffer().to_pybytes()}
         key = shape.make(heads[8 * i : 8 * i + 8], raw[uid], place)
+        if hot:
+            key = spread_head(i, key[8:]) + key[8:]
         if key in first:
             if key[-2] + key[-1] >= width:
                 spans.append((uid, place - key[-1], place + key[-2]))
