@@ -53,6 +53,7 @@ class ByteBpe:
         self.digits_of = {rank: b"%d" % rank for rank in ranks.values()}
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.chunks: dict[str, bytes] = {}
+        self.trips: dict[str, tuple[int, bytes, bytes]] = {}
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one pre-token.
@@ -174,6 +175,30 @@ class ByteBpe:
                         chunks[part] = known
         return b"".join(found)
 
+    def trip(self, part: str) -> tuple[int, bytes, bytes]:
+        """How many ids a text has, the ids in decimal, and the bytes that they decode to."""
+        ids = self.encode(part)
+        return len(ids), self.decimal(ids), self.decode(ids)
+
+    def round_trip(self, text: str) -> tuple[int, bytes, bytes]:
+        """trip() of a whole text, from its parts where they are kept; see encode_raw()."""
+        if not text or self.uneven.search(text):
+            return self.trip(text)
+        parts = text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")
+        trips = self.trips
+        found = list(map(trips.get, parts))
+        if None in found:
+            if len(trips) > _PIECES_KEPT:
+                trips.clear()
+            for i, known in enumerate(found):
+                if known is None:
+                    part = parts[i]
+                    found[i] = known = trips.get(part) or self.trip(part)
+                    if len(part) <= _LONGEST_KEPT:
+                        trips[part] = known
+        counts, decimals, decoded = zip(*found, strict=True)
+        return sum(counts), b",".join(decimals), b"".join(decoded)
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -241,10 +266,10 @@ def round_trip_digests(
                 some = part.slice(at, 256)
                 counts, ids_sha, text_sha = [], [], []
                 for text in some.column(1).to_pylist():
-                    ids = np.frombuffer(codec.encode_raw(text), "<u4").tolist()
-                    counts.append(len(ids))
-                    ids_sha.append(hashlib.sha256(codec.decimal(ids)).hexdigest())
-                    text_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+                    n, decimal, decoded = codec.round_trip(text)
+                    counts.append(n)
+                    ids_sha.append(hashlib.sha256(decimal).hexdigest())
+                    text_sha.append(hashlib.sha256(decoded).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
