@@ -2,6 +2,7 @@ from tickloom.operators.bars import bars, bars_1min, bars_5min
 from tickloom.operators.flatten import allow_symbols, first_messages, flatten_trades
 from tickloom.operators.quality import check_envelopes, check_trades, require_columns, split_checked
 from tickloom.operators.recent import recent_anomalies, recent_bars
+from tickloom.operators.running import running_spikes
 from tickloom.operators.spikes import mean_volumes, volume_spikes
 from tickloom.operators.strict import accept_messages, check_messages
 
@@ -20,6 +21,7 @@ __all__ = [
     "recent_anomalies",
     "recent_bars",
     "require_columns",
+    "running_spikes",
     "split_checked",
     "volume_spikes",
 ]

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators import bars_1min, bars_5min, flatten_trades, volume_spikes
+from tickloom.operators import bars_1min, bars_5min, flatten_trades, running_spikes, volume_spikes
 from tickloom.operators.spikes import FACTOR, SALTS
 from tickloom.session import store
 from tickloom.sinks import JdbcTable, ParquetTable, lake_stream
@@ -33,6 +33,7 @@ def start_flow(
     minute_rejects: Table | None = None,
     five_minute_rejects: Table | None = None,
     report: Report | None = None,
+    running_anomalies: Table | None = None,
 ) -> list[StreamingQuery]:
     """Start the flow on a stream of envelopes, from Kafka or from files.
 
@@ -40,6 +41,9 @@ def start_flow(
     append_new); without such a table they end the flow. Three queries: raw trades to the lake (if a folder is given), 1-minute bars together
     with their anomalies, and 5-minute bars. Each has its own checkpoint below
     `checkpoints`, so a restarted flow goes on where it stopped, with its window state.
+
+    The anomalies are those within a micro-batch. With `running_anomalies` a fourth query also looks for
+    bars above the mean of all their symbol's bars so far, which can fire when a batch closes one bar.
     """
     trades = flatten_trades(envelopes)
     shared = {"trigger": trigger, "state_partitions": state_partitions}
@@ -72,6 +76,12 @@ def start_flow(
             **shared,
         )
     )
+    if running_anomalies is not None:
+        found = running_spikes(bars_1min(trades), factor)
+        write = append_batches(
+            running_anomalies, "detected_at" if stamped else None, report=report, name="running_anomalies"
+        )
+        queries.append(start_query(found, write, checkpoint=f"{checkpoints}/running_anomalies", **shared))
     return queries
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom.functions import hour_parts
 from tickloom.session import path_exists, remove_path, settings, shared_path
+from tickloom.sinks.tables import symbol_filter
 from tickloom.sources.lake import LAKE, PARTS, read_lake
 
 
@@ -26,6 +27,7 @@ def append_to_lake(trades: DataFrame, path: str) -> None:
         .sortWithinPartitions(*PARTS, "symbol", "event_time")
         .write.mode("append")
         .option("compression", "snappy")
+        .options(**symbol_filter(LAKE))
         .partitionBy(*PARTS)
         .parquet(path)
     )
@@ -45,6 +47,7 @@ def lake_stream(trades: DataFrame, path: str) -> DataStreamWriter:
         .outputMode("append")
         .option("compression", "snappy")
         .option("path", path)
+        .options(**symbol_filter(LAKE))
         .partitionBy(*PARTS)
     )
 
@@ -70,6 +73,7 @@ def compact_lake(spark: SparkSession, path: str, start: datetime, end: datetime)
             .sortWithinPartitions(*PARTS, "symbol", "event_time")
             .write.mode("overwrite")
             .option("compression", "snappy")
+            .options(**symbol_filter(LAKE))
             .partitionBy(*PARTS)
             .parquet(path)
         )

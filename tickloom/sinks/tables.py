@@ -45,6 +45,14 @@ def day_number(text: str) -> int | None:
     return date(inside + 1, month, day).toordinal() + turns * 146_097 - EPOCH.toordinal()
 
 
+def symbol_filter(schema: T.StructType) -> dict[str, str]:
+    """Parquet options for rows that are looked up by symbol: a bloom filter where a row group has
+    too many symbols for a dictionary, no larger than its symbols need."""
+    if "symbol" not in schema.names:
+        return {}
+    return {"parquet.bloom.filter.enabled#symbol": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 def _text(micros: int) -> str:
     return (EPOCH + timedelta(microseconds=micros)).isoformat()
 
@@ -134,7 +142,13 @@ class ParquetTable:
             dated = dated.hint("rebalance", F.col("on_day"))
         else:
             dated = dated.repartition(1 + rows // self.rows_per_file, "on_day", *self.key)
-        dated.write.mode("append").partitionBy("on_day").parquet(self.path)
+        dated.sortWithinPartitions(*self._order()).write.mode("append").options(
+            **symbol_filter(self.schema)
+        ).partitionBy("on_day").parquet(self.path)
+
+    def _order(self) -> list[str]:
+        """The writer sorts by day anyway; within it, readers skip by symbol and time."""
+        return ["on_day", *(["symbol"] if "symbol" in self.schema.names else []), self.time]
 
     def _partitions(self) -> list[T.StructField]:
         return [T.StructField("on_day", T.DateType())]
@@ -243,8 +257,9 @@ class ParquetTable:
             dated = staging.read(spark).withColumn("on_day", utc_day(self.time))
             (
                 dated.hint("rebalance", F.col("on_day"))
-                .sortWithinPartitions("on_day", *self.key)
+                .sortWithinPartitions(*self._order())
                 .write.mode("overwrite")
+                .options(**symbol_filter(self.schema))
                 .partitionBy("on_day")
                 .parquet(self.path)
             )

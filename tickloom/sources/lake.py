@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,10 +22,17 @@ _FOLDERS_NAMED = 16
 
 
 def read_lake(
-    spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None
+    spark: SparkSession,
+    path: str,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    symbols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Trades with start <= event_time < end (UTC), reading only the hours concerned.
 
+    With `symbols`, only their trades; files and row groups without them, and the pages of others
+    in a sorted file, are skipped by their statistics, dictionaries or bloom filters.
+
     Spark cannot derive partition filters from event_time, so the range is also put on the
     partition columns. A range with both ends lists the folders of its days or hours only, not the
     lake. A lake that a stream writes is listed through the sink's log instead, because only the
@@ -45,6 +53,8 @@ def read_lake(
         trades = trades.where(_from_hour(start, ">") & (F.col("event_time") >= _instant(start)))
     if end is not None:
         trades = trades.where(_from_hour(end, "<") & (F.col("event_time") < _instant(end)))
+    if symbols is not None:
+        trades = trades.where(F.col("symbol").isin(*symbols))
     return trades.select(*TRADE.names)
 
 

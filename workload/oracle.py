@@ -66,6 +66,17 @@ def spikes(bars: str) -> str:
     """
 
 
+def running_spikes(bars: str, factor: float = 3.0) -> str:
+    return f"""
+        WITH b AS ({bars}),
+        m AS (SELECT *, avg(total_volume) OVER (PARTITION BY symbol ORDER BY window_start) AS avg_volume FROM b)
+        SELECT symbol, window_start, window_end, total_volume, avg_volume,
+               total_volume / avg_volume AS ratio, avg_price, vwap
+        FROM m
+        WHERE total_volume > avg_volume * {factor}
+    """
+
+
 FULL_BAR = [
     "total_volume", "avg_price", "min_price", "max_price", "trade_count", "volatility", "vwap",
 ]
@@ -289,6 +300,18 @@ def oracle_sql() -> dict[str, str]:
             FROM ({full_bars(MINUTE_BARS)}) AS b
         """,
         "stream_late_drop": full_bars(LATE_DROP),
+        "running_spikes_1min": spike_rows(running_spikes(MINUTE_BARS)),
+        "running_spikes_daily_brand": spike_rows(running_spikes(tumbling(LINE_TRADES, "day"), 2.0)),
+        "stream_running_spikes": spike_rows(
+            running_spikes(closed(MINUTE_BARS, EVENT_TRADES, "10 seconds"))
+        ),
+        "lake_symbol_read": trade_rows(
+            f"""
+            SELECT * FROM ({EVENT_TRADES}) AS e
+            WHERE symbol IN ('click', 'error')
+              AND event_time >= TIMESTAMP '2024-01-10 06:30:00' AND event_time < TIMESTAMP '2024-01-22 18:15:00'
+            """
+        ),
         "stream_flow_anomalies": spike_rows(spikes(FLOW_MINUTE_BARS)),
         "stream_flow_bars_1min": full_bars(FLOW_MINUTE_BARS),
         "stream_flow_bars_5min": short_bars(FLOW_FIVE_MINUTE_BARS),

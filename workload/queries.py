@@ -26,6 +26,7 @@ from tickloom.operators import (
     recent_anomalies,
     recent_bars,
     require_columns,
+    running_spikes,
     split_checked,
     volume_spikes,
 )
@@ -141,6 +142,14 @@ def daily_brand_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spikes_of_trades(line_trades(spark, sf_dir), daily))
 
 
+def minute_running_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(running_spikes(bars_1min(event_trades(spark, sf_dir))))
+
+
+def daily_brand_running_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(running_spikes(daily(line_trades(spark, sf_dir)), factor=2.0))
+
+
 def top_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(recent_bars(bars_1min(event_trades(spark, sf_dir))))
 
@@ -229,6 +238,12 @@ def lake_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_lake(spark, path, start, end))
 
 
+def lake_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _written_lake(spark, sf_dir)
+    start, end = datetime(2024, 1, 10, 6, 30), datetime(2024, 1, 22, 18, 15)
+    return comparable(read_lake(spark, path, start, end, symbols=["click", "error"]))
+
+
 def streamed_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "lake")
     writer = lake_stream(event_trade_stream(spark, sf_dir), path)
@@ -402,6 +417,10 @@ def streamed_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(bars_5min(event_trade_stream(spark, sf_dir), lateness="pane"))
 
 
+def streamed_running_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(running_spikes(bars_1min(event_trade_stream(spark, sf_dir))))
+
+
 def streamed_and_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bars that a stream has emitted, and those that it holds open at the end of its input."""
     path, progress = shared_path(spark, "stream"), shared_path(spark, "progress")
@@ -522,6 +541,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "volume_spikes_1hour": hour_spikes,
         "volume_spikes_unsalted": unsalted_spikes,
         "volume_spikes_daily_brand": daily_brand_spikes,
+        "running_spikes_1min": minute_running_spikes,
+        "running_spikes_daily_brand": daily_brand_running_spikes,
         "recent_bars_top20": top_bars,
         "recent_anomalies_top50": top_anomalies,
         "validate_trades_good": good_trades,
@@ -531,6 +552,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lake_partition_columns": lake_parts,
         "lake_roundtrip": lake_roundtrip,
         "lake_range_read": lake_range,
+        "lake_symbol_read": lake_symbols,
         "lake_stream": streamed_lake,
         "keyed_write_replay": keyed_replay,
         "ledger_write_replay": ledger_replay,
@@ -545,6 +567,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_bars_1min_append": streamed_minute,
         "stream_bars_5min_append": streamed_five_minute,
         "stream_bars_5min_panes": streamed_panes,
+        "stream_running_spikes": streamed_running_spikes,
         "stream_open_bars": streamed_and_open,
         "stream_late_drop": streamed_late,
         "stream_flow_anomalies": flow_anomalies,
