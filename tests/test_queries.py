@@ -11,7 +11,10 @@ from workload import oracle, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 # These find nothing in the smallest data set.
-RARE = {"volume_spikes_1min", "recent_anomalies_top50", "stream_flow_anomalies"}
+RARE = {
+    "volume_spikes_1min", "recent_anomalies_top50", "stream_flow_anomalies",
+    "running_spikes_1min", "stream_running_spikes",
+}
 RARE_SF_DIR = "/root/testdata/sf0.01"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
