@@ -105,6 +105,21 @@ def test_awkward_documents_are_scanned_and_redacted(spark):
     assert secret_scan.scan(documents(spark, [(1, None), (2, "short")])).count() == 0
 
 
+def test_rows_without_an_id_or_with_a_shared_one_are_redacted_by_their_text(spark):
+    key, other = "AKIA" + "B2" * 8, "0123456789abcdef" * 2
+    rows = [(None, f"see {key} there"), (None, "clean"), (7, f"password={other}"), (7, f"commit {other}"), (8, None), (9, "")]
+    rows += [(None, f"see {key} there"), (10, f"words of id {'xyzw' * 5}")]
+    docs = documents(spark, rows).withColumn("digest", F.lit("own")).withColumn("row", F.lit(1))
+    # The classifier is left out: which of so few values it takes is not the question here.
+    secrets = secret_scan.findings(docs).where("value LIKE 'AKIA%' OR before LIKE '%password='")
+    clean = secret_scan.redact(docs, secrets)
+    assert clean.columns == docs.columns
+    assert {"row", "digest"} <= set(secret_scan.scan(docs).columns)
+    found = sorted(((r.doc_id, r.text, r.digest, r.row) for r in clean.collect()), key=repr)
+    texts = [(i, (t or "").replace(key, "[secret]").replace(f"password={other}", "password=[secret]") if t else t) for i, t in rows]
+    assert found == sorted(((i, t, "own", 1) for i, t in texts), key=repr)
+
+
 def test_reviewed_findings_train_the_forest(spark):
     draw = random.Random(3)
     hexes = ["".join(draw.choices("0123456789abcdef", k=32)) for _ in range(80)]

@@ -75,14 +75,14 @@ def _places(text: Column, pattern: str) -> Column:
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, doc_id, value, start (from 1), before, after: a row per place of a candidate value.
+    """row, doc_id, value, start (from 1), before, after, digest: a row per place of a candidate value.
 
     `row` numbers the documents; it tells those apart that share an id or have none.
     NULL and empty texts have none; rows without an id keep NULL. One pass, no shuffle.
     """
     text = F.col("text")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows = rows.withColumns({"row": F.monotonically_increasing_id(), "digest": F.sha2("text", 256)})
     long = F.transform(_places(text, CANDIDATE), lambda p: F.struct(p["match"].alias("value"), p["start"].alias("start")))
 
     def behind(place: Column) -> Column:
@@ -95,14 +95,16 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # Assigned values that are long runs of token characters are found as such.
     other = F.filter(F.transform(_places(text, ASSIGNED), behind), lambda p: ~F.regexp_like(p["value"], F.lit(f"^(?:{CANDIDATE})$")))
     none = F.array().cast("array<struct<value:string,start:int>>")
-    found = rows.select("row", "doc_id", "text", F.explode(F.concat(F.coalesce(long, none), F.coalesce(other, none))).alias("place"))
-    return found.select("row", "doc_id", "text", "place.*").select(
+    places = F.concat(F.coalesce(long, none), F.coalesce(other, none))
+    found = rows.select("row", "doc_id", "text", "digest", F.explode(places).alias("place"))
+    return found.select("row", "doc_id", "text", "digest", "place.*").select(
         "row",
         "doc_id",
         "value",
         "start",
         F.substring(text, F.greatest(F.lit(1), F.col("start") - BEFORE), F.least(F.lit(BEFORE), F.col("start") - 1)).alias("before"),
         F.substring(text, F.col("start") + F.length("value"), F.lit(AFTER)).alias("after"),
+        "digest",
     )
 
 
@@ -207,17 +209,18 @@ def scan(
     text_col: str = "text",
 ) -> DataFrame:
     """The secrets: row, doc_id, value, start, before, after, probability: every place of values of which
-    one place in the document has at least `threshold`.
+    one place in the document has at least `threshold`. `digest` is the SHA-256 of the document's text, by
+    which redact() finds it.
 
     `labelled` has findings with features and a label, for instance with_features() of reviewed
     ones; without it, the findings at hand are labelled by their format. Findings are stored
-    before training, so texts are scanned once for candidates and once for the dictionary.
+    before anything reads them, so texts are scanned once for candidates and once for the dictionary.
     Repeated rows repeat their findings; empty tables give none.
     """
-    found = with_features(findings(docs, id_col, text_col), dictionary(docs, text_col))
+    found = with_features(store(findings(docs, id_col, text_col), "candidates"), dictionary(docs, text_col))
     rows = store(found.withColumn("label", format_label()), "findings")
     model = train(rows if labelled is None else labelled, sample=sample)
-    judged = judge(rows, model).select("row", "doc_id", "value", "start", "before", "after", "probability")
+    judged = judge(rows, model).select("row", "doc_id", "value", "start", "before", "after", "probability", "digest")
     sure = judged.where(F.col("probability") >= threshold).select("row", "value").distinct()
     return judged.join(sure, ["row", "value"], "left_semi").select(judged.columns)
 
@@ -226,11 +229,15 @@ def redact(docs: DataFrame, secrets: DataFrame, mark: str = "[secret]", id_col:
     """The documents with every place of their secrets replaced; all columns are kept.
 
     Longer values are replaced first, so a value within another one leaves no rest. The list of a
-    document's secrets is bounded by its text. Rows without an id are left as they are.
+    document's secrets is bounded by its text. Secrets with a `digest`, as scan() gives them, are found by the
+    text itself, so rows without an id and rows that share one are redacted too. Secrets that name
+    only a doc_id go by that, and rows without an id are then left as they are.
     """
+    by_text = "digest" in secrets.columns
+    name = "digest" if by_text else "doc_id"
     lists = (
-        secrets.where(F.col("doc_id").isNotNull())
-        .groupBy(F.col("doc_id").alias("_id"))
+        secrets.where(F.col(name).isNotNull())
+        .groupBy(F.col(name).alias("_id"))
         .agg(F.collect_set(F.struct((-F.length("value")).alias("order"), "value")).alias("_secrets"))
     )
     own = lists["_secrets"]
@@ -238,5 +245,6 @@ def redact(docs: DataFrame, secrets: DataFrame, mark: str = "[secret]", id_col:
         F.sort_array(own), docs[text_col], lambda text, s: F.replace(text, s["value"], F.lit(mark))
     )
     text = F.when(own.isNull(), docs[text_col]).otherwise(new_text)
-    joined = docs.join(lists, docs[id_col].cast("long") == lists["_id"], "left")
+    place = F.sha2(docs[text_col].cast("string"), 256) if by_text else docs[id_col].cast("long")
+    joined = docs.join(lists, place == lists["_id"], "left")
     return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
