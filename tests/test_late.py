@@ -1,0 +1,233 @@
+"""Lakes written batch by batch, and the account of late trades."""
+
+import random
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import BASE, at, envelopes, item, trades
+from tickloom.operators import bars_1min
+from tickloom.plans import start_flow
+from tickloom.schema import ANOMALY, FULL_BAR, SHORT_BAR, TRADE
+from tickloom.session import shared_path
+from tickloom.sinks import BatchLake, ParquetTable
+from tickloom.sources import envelope_files, read_lake
+from tickloom.streaming import DroppedRows, Marks, lake_batches, start_query, wait_for_all
+
+MINUTE = timedelta(minutes=1)
+DAY = (datetime(2024, 6, 1), datetime(2024, 6, 2))
+
+
+@pytest.fixture
+def lake(spark):
+    return BatchLake(shared_path(spark, "lake"))
+
+
+def held(spark, lake):
+    return sorted((r.symbol, r.price) for r in lake.read(spark).collect())
+
+
+def batches_of(lake, hour=14):
+    folder = Path(lake.path, f"year=2024/month=6/day=1/hour={hour}")
+    return sorted(p.name.removeprefix("of_batch=") for p in folder.glob("of_batch=*"))
+
+
+def test_a_repeated_batch_adds_nothing(spark, lake):
+    rows = trades(spark, ("A", 1.0, 1.0, at(0)), ("A", 1.0, 1.0, at(0)), (None, 2.0, None, at(4000)), ("B", 3.0, 1.0, None))
+    assert lake.read(spark).count() == 0 and lake.read(spark).schema == TRADE
+    assert lake.append(rows, 0, "q") == 4  # equal trades are two trades
+    assert lake.append(rows, 0, "q") is None
+    assert lake.append(rows.limit(0), 1, "q") == 0
+    assert lake.append(rows, 0, "other") == 4
+    assert lake.read(spark).count() == 8
+    assert lake.read(spark).where("event_time IS NULL").count() == 2
+    assert lake.read(spark, *DAY).count() == 6
+    assert read_lake(spark, lake.path, symbols=["A"]).count() == 4
+
+
+@pytest.mark.parametrize("where", ["before the files", "after the files"])
+def test_a_batch_broken_off_is_written_once(spark, lake, monkeypatch, where):
+    rows = trades(spark, ("A", 1.0, 1.0, at(0)), ("B", 2.0, 1.0, at(9000)), ("C", 3.0, 1.0, None))
+    write = BatchLake._write
+
+    def broken(self, placed, name, path):
+        if where == "after the files":
+            write(self, placed, name, path)
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(BatchLake, "_write", broken)
+        with pytest.raises(OSError):
+            lake.append(rows, 0, "q")
+    assert lake.append(rows, 0, "q") == 3
+    assert held(spark, lake) == [("A", 1.0), ("B", 2.0), ("C", 3.0)]
+
+
+def test_compaction_leaves_open_batches_alone(spark, lake, monkeypatch):
+    for n in range(3):
+        lake.append(trades(spark, ("A", float(n), 1.0, at(n)), ("A", 10.0 + n, 1.0, at(7200))), n, "q")
+    write = BatchLake._write
+
+    def broken(self, placed, name, path):
+        write(self, placed, name, path)
+        raise OSError("lost")
+
+    late = trades(spark, ("A", 3.0, 1.0, at(3)))
+    with monkeypatch.context() as m:
+        m.setattr(BatchLake, "_write", broken)
+        with pytest.raises(OSError):
+            lake.append(late, 3, "q")
+    assert lake.compact(spark, datetime(2024, 6, 1, 14), datetime(2024, 6, 1, 15)) == 1
+    names = batches_of(lake)
+    assert len(names) == 2 and "q-3" in names
+    assert batches_of(lake, 16) == ["q-0", "q-1", "q-2"]  # outside the range
+    lake.append(late, 3, "q")
+    assert held(spark, lake) == [("A", float(n)) for n in (0, 1, 2, 3, 10, 11, 12)]
+    assert lake.compact(spark, *DAY) == 2
+    assert len(batches_of(lake)) == len(batches_of(lake, 16)) == 1
+    assert lake.compact(spark, *DAY) == 0
+    assert held(spark, lake) == [("A", float(n)) for n in (0, 1, 2, 3, 10, 11, 12)]
+    with pytest.raises(ValueError, match="full hours"):
+        lake.compact(spark, BASE, DAY[1])
+
+
+@pytest.mark.parametrize("step", [0, 1, 2, 3])
+def test_a_compaction_broken_off_is_ended_by_the_next(spark, lake, monkeypatch, step):
+    for n in range(2):
+        lake.append(trades(spark, ("A", float(n), 1.0, at(n)), ("A", 10.0 + n, 1.0, at(7200))), n, "q")
+    calls = []
+
+    def counted(name):
+        plain = getattr(BatchLake, name)
+
+        def run(self, *args):
+            calls.append(name)
+            if len(calls) == step + 1:
+                if name == "_drop":  # one old folder is gone, the other is not
+                    plain(self, args[0], args[1], args[2][:1])
+                raise OSError("lost")
+            return plain(self, *args)
+
+        return run
+
+    with monkeypatch.context() as m:
+        for name in ("_write", "_note", "_drop"):
+            m.setattr(BatchLake, name, counted(name))
+        with pytest.raises(OSError):
+            lake.compact(spark, *DAY)
+    lake.compact(spark, *DAY)
+    assert held(spark, lake) == [("A", 0.0), ("A", 1.0), ("A", 10.0), ("A", 11.0)]
+    assert len(batches_of(lake)) == len(batches_of(lake, 16)) == 1
+    assert not Path(lake.path, "_compaction").exists()
+
+
+def brute_late(batches, width, delay, slide):
+    found, latest = [], None
+    for rows in batches:
+        for row in rows:
+            if row[3] is not None and latest is not None:
+                seconds = row[3].timestamp()
+                if seconds // slide * slide + width <= latest - delay:
+                    found.append((row[0], row[1]))
+        latest = max([r[3].timestamp() for r in rows if r[3]] + ([] if latest is None else [latest]), default=None)
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize(("width", "slide"), [(60, 60), (300, 60)])
+def test_late_trades_are_those_of_brute_force(spark, lake, width, slide):
+    draw = random.Random(width)
+    late = BatchLake(shared_path(spark, "late"))
+    marks, heard = Marks(shared_path(spark, "marks")), []
+    write = lake_batches(
+        lake, late, marks, timedelta(seconds=width), timedelta(seconds=10), timedelta(seconds=slide),
+        report=lambda *counts: heard.append(counts), query="q",
+    )
+    batches = [
+        [(draw.choice(["A", None]), float(1000 * n + i), 1.0, draw.choice([None, *[at(300 * n - draw.randrange(900))] * 9])) for i in range(60)]
+        for n in range(4)
+    ]
+    batches[1].append(("edge", -1.0, 1.0, None))
+    batches.insert(2, [])
+    for n, rows in enumerate(batches):
+        for _ in range(2):  # each is repeated
+            write(trades(spark, *rows), n)
+    expected = brute_late(batches, width, 10, slide)
+    assert sorted(held_keys(spark, late), key=repr) == expected and len(expected) > 20
+    assert lake.read(spark).count() == sum(map(len, batches))
+    assert [h[:2] for h in heard] == [(n, len(rows)) for n, rows in enumerate(batches)]
+    assert sum(h[2] for h in heard) == len(expected)
+
+
+def held_keys(spark, lake):
+    return [(r.symbol, r.price) for r in lake.read(spark).collect()]
+
+
+def test_a_repeat_is_judged_by_the_first_mark(spark, lake, monkeypatch):
+    late, marks = BatchLake(shared_path(spark, "late")), Marks(shared_path(spark, "marks"))
+    write = lake_batches(lake, late, marks, query="q")
+    write(trades(spark, ("A", 1.0, 1.0, at(0))), 0)
+    batch = trades(spark, ("A", 2.0, 1.0, at(-500)), ("A", 3.0, 1.0, at(5)), ("A", 4.0, 1.0, at(500)))
+    with monkeypatch.context() as m:  # the late ones and the mark are written, the lake is not
+        m.setattr(lake.__class__, "append", failing(lake, BatchLake.append))
+        with pytest.raises(OSError):
+            write(batch, 1)
+    write(batch, 1)
+    assert held(spark, late) == [("A", 2.0)]
+    assert held(spark, lake) == [("A", float(n)) for n in (1, 2, 3, 4)]
+
+
+def failing(which, plain):
+    def append(self, *args):
+        if self is which:
+            raise OSError("lost")
+        return plain(self, *args)
+
+    return append
+
+
+def test_dropped_rows_are_summed_and_all_of_them_put_aside(spark, lake):
+    """Two trades come after their window has been emitted."""
+    arrivals, out, progress, lakes = (shared_path(spark, n) for n in ("in", "out", "bars", "lakes"))
+    late = BatchLake(shared_path(spark, "late"))
+    write = lake_batches(lake, late, Marks(shared_path(spark, "marks")))
+    account = DroppedRows()
+    spark.streams.addListener(account)
+    try:
+        for rows in ([("A", 1.0, 10.0, at(5))], [("A", 2.0, 1.0, at(200))], [("A", 3.0, 1.0, at(6)), ("A", 4.0, 1.0, at(201))], [("A", 5.0, 1.0, at(7))]):
+            trades(spark, *rows).coalesce(1).write.mode("append").parquet(arrivals)
+            stream = spark.readStream.schema(TRADE).parquet(arrivals)
+            bars = start_query(bars_1min(stream), "parquet", progress, trigger={"availableNow": True}, state_partitions=2, path=out)
+            bars.awaitTermination()
+            start_query(stream, write, lakes, trigger={"availableNow": True}).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        assert account.of(bars.id) == 2 and account.of("another") == 0
+    finally:
+        spark.streams.removeListener(account)
+    assert held(spark, late) == [("A", 3.0), ("A", 5.0)]
+    assert [r.total_volume for r in spark.read.parquet(out).orderBy("window_start").collect()] == [10.0]
+    assert lake.read(spark).agg(F.count("*")).first()[0] == 5
+
+
+def test_the_flow_writes_a_batch_lake_and_its_late_trades(spark, lake):
+    source, late = shared_path(spark, "in"), BatchLake(shared_path(spark, "late"))
+    tables = [ParquetTable(shared_path(spark, n), s) for n, s in (("one", FULL_BAR), ("five", SHORT_BAR), ("spikes", ANOMALY))]
+    progress = shared_path(spark, "progress")
+    for volume, moment in ((1.0, at(0)), (2.0, at(900)), (3.0, at(1))):
+        sent = envelopes(spark, ("trade", [item("A", 1.0, volume, moment)]))
+        sent.coalesce(1).write.mode("append").parquet(source)
+        stream = envelope_files(spark, source)
+        queries = start_flow(
+            stream, progress, *tables, lake=lake, trigger={"availableNow": True}, state_partitions=2, late=late
+        )
+        wait_for_all(queries)
+    assert sorted(r.volume for r in lake.read(spark).collect()) == [1.0, 2.0, 3.0]
+    assert [r.volume for r in late.read(spark).collect()] == [3.0]
+    with pytest.raises(ValueError, match="BatchLake"):
+        start_flow(stream, progress, *tables, lake="lake", late=late)
+
+
+def test_a_lake_for_late_trades_needs_marks(lake):
+    with pytest.raises(ValueError, match="marks"):
+        lake_batches(lake, lake)

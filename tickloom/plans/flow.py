@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators import bars_1min, bars_5min, flatten_trades, running_spikes, volume_spikes
 from tickloom.operators.spikes import FACTOR, SALTS
 from tickloom.session import store
-from tickloom.sinks import JdbcTable, ParquetTable, lake_stream
-from tickloom.streaming import append_batches, start_query, write_bars_and_spikes
+from tickloom.sinks import BatchLake, JdbcTable, ParquetTable, lake_stream
+from tickloom.streaming import Marks, append_batches, lake_batches, start_query, write_bars_and_spikes
 from tickloom.streaming.batches import Report
 
 Table = JdbcTable | ParquetTable
@@ -24,7 +24,7 @@ def start_flow(
     minute_bars: Table,
     five_minute_bars: Table,
     anomalies: Table,
-    lake: str | None = None,
+    lake: str | BatchLake | None = None,
     trigger: dict[str, Any] | None = None,
     state_partitions: int | None = None,
     stamped: bool = False,
@@ -34,6 +34,7 @@ def start_flow(
     five_minute_rejects: Table | None = None,
     report: Report | None = None,
     running_anomalies: Table | None = None,
+    late: BatchLake | None = None,
 ) -> list[StreamingQuery]:
     """Start the flow on a stream of envelopes, from Kafka or from files.
 
@@ -44,11 +45,20 @@ def start_flow(
 
     The anomalies are those within a micro-batch. With `running_anomalies` a fourth query also looks for
     bars above the mean of all their symbol's bars so far, which can fire when a batch closes one bar.
+
+    A lake given as a path is written by Spark's file sink, a BatchLake batch by batch. With the latter, `late`
+    takes the trades that come after the end of their minute, see lake_batches().
     """
+    if late is not None and not isinstance(lake, BatchLake):
+        raise ValueError("late trades are put aside on the way to a BatchLake")
     trades = flatten_trades(envelopes)
     shared = {"trigger": trigger, "state_partitions": state_partitions}
     queries = []
-    if lake is not None:
+    if isinstance(lake, BatchLake):
+        marks = None if late is None else Marks(f"{checkpoints}/marks")
+        write = lake_batches(lake, late, marks)
+        queries.append(start_query(trades, write, checkpoint=f"{checkpoints}/lake", trigger=trigger))
+    elif lake is not None:
         queries.append(
             start_query(lake_stream(trades, lake), checkpoint=f"{checkpoints}/lake", trigger=trigger)
         )

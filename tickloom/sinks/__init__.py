@@ -1,3 +1,4 @@
+from tickloom.sinks.batch_lake import BatchLake
 from tickloom.sinks.kafka import publish
 from tickloom.sinks.keyed import REJECT_KEY, Appended, append_new, reject_schema
 from tickloom.sinks.ledger import BatchTable, Ledger, append_batch
@@ -7,6 +8,7 @@ from tickloom.sinks.tables import JdbcTable, ParquetTable
 __all__ = [
     "REJECT_KEY",
     "Appended",
+    "BatchLake",
     "BatchTable",
     "JdbcTable",
     "Ledger",

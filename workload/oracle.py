@@ -162,6 +162,13 @@ LATE_DROP = f"""
     WHERE window_end <= (SELECT max(event_time) FROM t) - INTERVAL 10 seconds
 """
 
+LATE_TRADES = f"""
+    WITH t AS ({EVENT_TRADES}),
+    first_run AS (SELECT max(event_time) - INTERVAL 10 seconds AS mark FROM t WHERE symbol <> 'error')
+    SELECT t.*, date_trunc('minute', event_time) AS window_start FROM t, first_run
+    WHERE symbol = 'error' AND date_trunc('minute', event_time) + INTERVAL 1 minute <= mark
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -300,6 +307,11 @@ def oracle_sql() -> dict[str, str]:
             FROM ({full_bars(MINUTE_BARS)}) AS b
         """,
         "stream_late_drop": full_bars(LATE_DROP),
+        "stream_late_account": f"""
+            SELECT symbol, window_start, count(*) AS late, {near('sum(volume)')} AS volume
+            FROM ({LATE_TRADES}) AS t GROUP BY symbol, window_start
+        """,
+        "stream_batch_lake": trade_rows(EVENT_TRADES),
         "running_spikes_1min": spike_rows(running_spikes(MINUTE_BARS)),
         "running_spikes_daily_brand": spike_rows(running_spikes(tumbling(LINE_TRADES, "day"), 2.0)),
         "stream_running_spikes": spike_rows(

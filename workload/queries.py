@@ -38,6 +38,7 @@ from tickloom.schema import ANOMALY, ENVELOPE, FULL_BAR, SHORT_BAR, TRADE
 from tickloom.session import shared_path, store
 from tickloom.sinks import (
     REJECT_KEY,
+    BatchLake,
     BatchTable,
     Ledger,
     ParquetTable,
@@ -49,7 +50,7 @@ from tickloom.sinks import (
     reject_schema,
 )
 from tickloom.sources import envelope_files, read_lake
-from tickloom.streaming import open_bars, start_query, wait_for_all, with_open_bars
+from tickloom.streaming import Marks, lake_batches, open_bars, start_query, wait_for_all, with_open_bars
 from workload.inputs import (
     comparable,
     event_envelopes,
@@ -445,6 +446,33 @@ def streamed_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.read.schema(FULL_BAR).parquet(out))
 
 
+def _arrivals_in_lakes(spark: SparkSession, sf_dir: str) -> tuple[BatchLake, BatchLake]:
+    """All trades, and those that came late; errors arrive after everything else, in a second run."""
+    trades = event_trades(spark, sf_dir)
+    arrivals, progress = (shared_path(spark, name) for name in ("arrivals", "progress"))
+    lake, late = (BatchLake(shared_path(spark, name)) for name in ("lake", "late"))
+    write = lake_batches(lake, late, Marks(shared_path(spark, "marks")))
+    for arrived in (trades.where("symbol <> 'error'"), trades.where("symbol = 'error'")):
+        arrived.write.mode("append").parquet(arrivals)
+        _run(spark.readStream.schema(TRADE).parquet(arrivals), progress, sink=write)
+    return lake, late
+
+
+def late_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many late trades there are, and of what volume, by symbol and window."""
+    late = _arrivals_in_lakes(spark, sf_dir)[1].read(spark)
+    window = F.window("event_time", "1 minute").start.alias("window_start")
+    counted = late.groupBy("symbol", window).agg(F.count("*").alias("late"), F.sum("volume").alias("volume"))
+    return comparable(counted)
+
+
+def batch_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake of two batches, of which half a month is compacted."""
+    lake = _arrivals_in_lakes(spark, sf_dir)[0]
+    lake.compact(spark, datetime(2024, 1, 5), datetime(2024, 1, 20, 12))
+    return comparable(lake.read(spark))
+
+
 def _flow(
     spark: SparkSession, sf_dir: str, nameless: bool = False
 ) -> tuple[str, dict[str, ParquetTable]]:
@@ -570,6 +598,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_running_spikes": streamed_running_spikes,
         "stream_open_bars": streamed_and_open,
         "stream_late_drop": streamed_late,
+        "stream_late_account": late_account,
+        "stream_batch_lake": batch_lake,
         "stream_flow_anomalies": flow_anomalies,
         "stream_flow_totals": flow_totals,
         "stream_flow_bars_1min": flow_minute_bars,
