@@ -1,5 +1,6 @@
 from tickloom.operators.bars import bars, bars_1min, bars_5min
 from tickloom.operators.flatten import allow_symbols, first_messages, flatten_trades
+from tickloom.operators.handover import go_on, hand_over
 from tickloom.operators.quality import check_envelopes, check_trades, require_columns, split_checked
 from tickloom.operators.recent import recent_anomalies, recent_bars
 from tickloom.operators.running import running_spikes
@@ -17,6 +18,8 @@ __all__ = [
     "check_trades",
     "first_messages",
     "flatten_trades",
+    "go_on",
+    "hand_over",
     "mean_volumes",
     "recent_anomalies",
     "recent_bars",

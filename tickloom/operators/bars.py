@@ -147,8 +147,16 @@ def _from_closed_panes(
 
 
 def _panes(trades: DataFrame, slide: timedelta) -> DataFrame:
+    return _in_panes(trades, slide).agg(*_pane_measures())
+
+
+def _in_panes(trades: DataFrame, slide: timedelta) -> GroupedData:
+    return trades.groupBy(F.window("event_time", spans(slide)).alias("window"), "symbol")
+
+
+def _pane_measures() -> list[Column]:
     price, volume = F.col("price"), F.col("volume")
-    return trades.groupBy(F.window("event_time", spans(slide)).alias("window"), "symbol").agg(
+    return [
         F.sum(volume).alias("volume"),
         F.sum(price * volume).alias("turnover"),
         F.sum(price).alias("price_sum"),
@@ -158,7 +166,7 @@ def _panes(trades: DataFrame, slide: timedelta) -> DataFrame:
         F.min(price).alias("low"),
         F.max(price).alias("high"),
         F.count("*").alias("trades"),
-    )
+    ]
 
 
 def _merged(windows: GroupedData, extremes: bool) -> DataFrame:

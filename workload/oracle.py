@@ -302,6 +302,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_bars_5min_panes": short_bars(
             closed(sliding(EVENT_TRADES, 5, "minute"), EVENT_TRADES, "30 seconds")
         ),
+        "stream_handed_over_1min": full_bars(closed(MINUTE_BARS, EVENT_TRADES, "10 seconds")),
+        "stream_handed_over_5min": short_bars(
+            closed(sliding(EVENT_TRADES, 5, "minute"), EVENT_TRADES, "30 seconds")
+        ),
         "stream_open_bars": f"""
             SELECT *, window_end > (SELECT max(event_time) FROM ({EVENT_TRADES}) AS t) - INTERVAL 10 seconds AS provisional
             FROM ({full_bars(MINUTE_BARS)}) AS b

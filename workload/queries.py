@@ -22,6 +22,8 @@ from tickloom.operators import (
     check_trades,
     first_messages,
     flatten_trades,
+    go_on,
+    hand_over,
     mean_volumes,
     recent_anomalies,
     recent_bars,
@@ -30,7 +32,7 @@ from tickloom.operators import (
     split_checked,
     volume_spikes,
 )
-from tickloom.operators.bars import FIVE_MINUTES, MINUTE
+from tickloom.operators.bars import DELAY_1MIN, DELAY_5MIN, FIVE_MINUTES, MINUTE
 from tickloom.operators.quality import SYMBOL_PATTERN
 from tickloom.operators.wire import parse_json_messages, parse_json_or_reject
 from tickloom.plans import bars_of_messages, spikes_of_trades, start_flow
@@ -473,6 +475,26 @@ def batch_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(lake.read(spark))
 
 
+def _handed_over(spark: SparkSession, sf_dir: str, *shape) -> DataFrame:
+    """Bars of a batch run over the trades up to mid-month, and of a stream of those that follow."""
+    trades = event_trades(spark, sf_dir)
+    before = F.col("event_time") < F.lit("2024-01-15 12:00:30").cast("timestamp")
+    arrivals, seeds, out = (shared_path(spark, name) for name in ("arrivals", "seeds", "stream"))
+    trades.where(~before).write.parquet(arrivals)
+    done = hand_over(trades.where(before), seeds, *shape)
+    stream = go_on(spark.readStream.schema(TRADE).parquet(arrivals), seeds, *shape)
+    _run(stream, shared_path(spark, "progress"), sink="parquet", path=out)
+    return comparable(done.unionByName(spark.read.schema(stream.schema).parquet(out)))
+
+
+def handed_over_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _handed_over(spark, sf_dir, MINUTE, None, DELAY_1MIN)
+
+
+def handed_over_five_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _handed_over(spark, sf_dir, FIVE_MINUTES, MINUTE, DELAY_5MIN, False)
+
+
 def _flow(
     spark: SparkSession, sf_dir: str, nameless: bool = False
 ) -> tuple[str, dict[str, ParquetTable]]:
@@ -600,6 +622,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_late_drop": streamed_late,
         "stream_late_account": late_account,
         "stream_batch_lake": batch_lake,
+        "stream_handed_over_1min": handed_over_minute,
+        "stream_handed_over_5min": handed_over_five_minute,
         "stream_flow_anomalies": flow_anomalies,
         "stream_flow_totals": flow_totals,
         "stream_flow_bars_1min": flow_minute_bars,
