@@ -58,6 +58,23 @@ def test_repeats_are_those_of_brute_force(spark, slot_bytes, often):
     assert sorted(map(tuple, found), key=repr) == digests(rows, 50)
 
 
+def test_frequent_passages_hand_on_no_list_of_their_windows(spark, monkeypatch):
+    tables, store = [], sa.store
+
+    def keeping(df, name):
+        tables.append(store(df, name))
+        return tables[-1]
+
+    monkeypatch.setattr(sa, "store", keeping)
+    draw = random.Random(5)
+    line = words(draw, 60)[:140]
+    rows = [(i, f"{words(draw, 40)} {line[draw.randrange(9):]} {words(draw, 40)}") for i in range(400)]
+    found = sa.repeat_digests(documents(spark, rows), often=100, slot_bytes=20_000).collect()
+    assert sorted(map(tuple, found), key=repr) == digests(rows, 100)
+    again = [r.blob for t in tables if "kind" in t.columns for r in t.where(f"kind != {sa.SPANS}").collect()]
+    assert again and sum(map(len, again)) < sum(len(text) for _, text in rows)
+
+
 def test_awkward_documents(spark):
     rows = awkward() + [(30, awkward()[5][1]), (31, "é" * 80), (32, "a" + "é" * 80)]
     found = sa.repeat_digests(documents(spark, rows), slot_bytes=4000).collect()

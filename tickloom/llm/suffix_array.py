@@ -17,8 +17,11 @@ surroundings of anchors finds every repeat. About one position in 35 is an ancho
    the prefix it shares with the last output, so bytes known to be equal are not compared again.
    In the merged order equal suffixes are neighbours, as are all suffixes that share an anchor.
    Where one anchor has several surroundings, their windows are compared one by one.
-4. An anchor that occurs very often is spread over several tasks. What is earliest in each of them
-   is compared once more by a shuffle on the window's hash.
+4. The windows of an anchor that occurs very often are halved by the place of the anchor in them:
+   one half shares so many bytes after the anchor, the other so many before it. The hash of those
+   shared bytes is the leading hash of the half, so equal windows still meet, and unlike ones go to
+   different ranges. A half whose surroundings are still many is halved again in another exchange,
+   down to single windows, of which each task holds but one.
 """
 
 from __future__ import annotations
@@ -43,6 +46,8 @@ SLOT_BYTES = 8_000_000
 # Ranges of hashes per slot: several in a partition even out, and each is small in memory.
 RANGES_PER_SLOT = 2
 OFTEN = 4000
+# Suffixes that a task holds before it writes them as a run.
+HELD = 50_000
 # Whole texts and lists are large rows: few of them go to Python at a time.
 _FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
 _OF_BYTE = seeds(256, 202)
@@ -132,12 +137,12 @@ def _lists(kind: int, rows: Iterable[tuple[int, bytes]]) -> pa.RecordBatch:
 
 _LISTS = "kind long, part long, blob binary"
 _EMPTY = pa.schema([("kind", pa.int64()), ("part", pa.int64()), ("blob", pa.binary())])
-RUN, SPANS, WINDOWS = 0, 1, 2
+RUN, SPANS = 0, 1
 
 
 def _repeated_anchors(rows: DataFrame, slots: int, width: int, gram: int, often: int) -> DataFrame:
-    """(slot, blob of uid, position, hash, number of tasks to spread over) of anchors whose hash
-    occurs more than once."""
+    """(slot, blob of uid, position, hash, whether it occurs over `often` times) of anchors whose
+    hash occurs more than once."""
 
     def find(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -170,10 +175,10 @@ def _repeated_anchors(rows: DataFrame, slots: int, width: int, gram: int, often:
             first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
             met = np.diff(np.concatenate([first, [len(hashes)]]))
             keep = np.repeat(met > 1, met)
-            spread = np.repeat(-(-met // often), met)[keep].astype(np.int32)
+            hot = np.repeat(met > often, met)[keep].astype(np.int32)
             uids, at, hashes = uids[order][keep], at[order][keep], hashes[keep]
             if len(uids):
-                yield _lists(RUN, _by(_slots(uids, slots), uids, at, hashes, spread))
+                yield _lists(RUN, _by(_slots(uids, slots), uids, at, hashes, hot))
 
     found = rows.select("uid", "text").mapInArrow(find, _LISTS)
     dealt = found.repartition(slots, "part").sortWithinPartitions("part")
@@ -276,62 +281,99 @@ def merge_runs(sources: list[Iterator[tuple[bytes, int]]]) -> Iterator[tuple[int
 
 
 class _Shape:
-    """A suffix as bytes: hash, bytes from the anchor on, bytes before it reversed, both lengths."""
+    """A suffix as bytes: hash, bytes from the anchor on, bytes before it reversed, both lengths.
+
+    Its windows have `low` to `high` bytes before the anchor: all of them 0 to width - gram.
+    """
 
     def __init__(self, width: int, gram: int):
         self.right, self.left = width, width - gram
         self.length = 8 + self.right + self.left + 2
 
-    def make(self, head: bytes, text: bytes, at: int) -> bytes:
-        right, left = text[at : at + self.right], text[max(0, at - self.left) : at][::-1]
+    def make(self, head: bytes, text: bytes, at: int, low: int, high: int) -> bytes:
+        right, left = text[at : at + self.right - low], text[max(0, at - high) : at][::-1]
         tail = bytes((len(right), len(left)))
         return head + right.ljust(self.right, b"\0") + left.ljust(self.left, b"\0") + tail
 
+    def halves(self, text: bytes, at: int, low: int, high: int) -> Iterator[tuple[bytes, int, int]]:
+        """Suffixes for the windows with fewer and with more bytes before the anchor, each with its
+        `low` and `high`. The hash is that of the bytes which all windows of the half share."""
+        middle = (low + high) // 2
+        for low, high in ((low, middle), (middle + 1, high)):
+            if max(low, self.right - (len(text) - at)) <= min(high, at):  # else the text has no such window
+                shared = b"%d %d " % (low, high) + text[at - low : at + self.right - high]
+                yield self.make(hashlib.blake2b(shared, digest_size=8).digest(), text, at, low, high), low, high
+
+    def text(self, key: bytes) -> tuple[bytes, int]:
+        """The bytes of a suffix in the order of the text, and the place of the anchor in them."""
+        right, left = key[-2], key[-1]
+        before = 8 + self.right
+        return key[before : before + left][::-1] + key[8 : 8 + right], left
+
+
+class _Run:
+    """Gathers suffixes for sorted runs. Equal ones stay as the earliest; the others are repeats."""
+
+    def __init__(self, width: int, slots: int):
+        self.width, self.slots = width, slots
+        self.first: dict[bytes, tuple[int, int, int, int]] = {}
+        self.spans: list[tuple[int, int, int]] = []
+
+    def add(self, key: bytes, uid: int, at: int, low: int, high: int) -> None:
+        own = (uid, at, low, high)
+        known = self.first.setdefault(key, own)
+        if known is not own:
+            late = max(known, own)
+            self.first[key] = min(known, own)
+            if key[-2] + key[-1] >= self.width:
+                self.spans.append((late[0], late[1] - key[-1], late[1] + key[-2]))
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        """A front-coded run for each range, and the spans."""
+        if not self.first:
+            return
+        keys = sorted(self.first)
+        own = np.array([self.first[k] for k in keys], np.int64)
+        self.first = {}
+        leading = np.array([int.from_bytes(k[:4], "big") for k in keys], np.uint64)
+        part = (leading * np.uint64(self.slots * RANGES_PER_SLOT) >> np.uint64(32)).astype(np.int64)
+        kinds, begin = np.unique(part, return_index=True)
+        out = []
+        for kind, low, high in zip(kinds.tolist(), begin, [*begin[1:], len(keys)], strict=True):
+            shared, rests = front_code(keys[low:high])
+            columns = (own[low:high, i].astype(t) for i, t in enumerate(("<i8", "<i4", "u1", "u1")))
+            raw = _pack(*columns, shared) + rests
+            head = np.array([high - low, len(raw)], "<i8")
+            out.append((kind, _pack(head) + pa.compress(raw, codec="zstd", asbytes=True)))
+        yield _lists(RUN, out)
+        if self.spans:
+            yield _lists(SPANS, _span_lists(np.array(self.spans, np.int64), self.slots))
+            self.spans = []
+
 
 def _runs_of_slot(texts: pa.Table, lists: pa.Table, slots: int, width: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Front-coded sorted runs of the slot's suffixes, one per range, and the spans that repeat
     within the slot."""
-    shape = _Shape(width, gram)
-    uids, at, hashes, spread = _unpack(lists.column("blob").to_pylist(), "<i8", "<i4", "<u8", "<i4")
+    shape, run = _Shape(width, gram), _Run(width, slots)
+    uids, at, hashes, hot = _unpack(lists.column("blob").to_pylist(), "<i8", "<i4", "<u8", "<i4")
     if not len(uids):
         return
-    salted = spread > 1
-    salt = mix(uids.astype(np.uint64)) % spread.astype(np.uint64)
-    heads = np.where(salted, mix(hashes + (salt << np.uint64(1)) + np.uint64(1)), hashes).astype(">u8").tobytes()
+    heads = hashes.astype(">u8").tobytes()
     row_of = {uid: row for row, uid in enumerate(texts.column("uid").to_pylist())}
     column = texts.column("text")
     raw: dict[int, bytes] = {}
-    first: dict[bytes, tuple[int, int, int]] = {}
-    spans: list[tuple[int, int, int]] = []
     order = np.lexsort((at, uids))
-    for i, uid, place, hot in zip(
-        order.tolist(), uids[order].tolist(), at[order].tolist(), salted[order].tolist(), strict=True
+    for i, uid, place, halve in zip(
+        order.tolist(), uids[order].tolist(), at[order].tolist(), hot[order].tolist(), strict=True
     ):
         if uid not in raw:
             raw = {uid: column[row_of[uid]].as_buffer().to_pybytes()}
-        key = shape.make(heads[8 * i : 8 * i + 8], raw[uid], place)
-        if key in first:
-            if key[-2] + key[-1] >= width:
-                spans.append((uid, place - key[-1], place + key[-2]))
+        if halve:
+            for key, low, high in shape.halves(raw[uid], place, 0, shape.left):
+                run.add(key, uid, place, low, high)
         else:
-            first[key] = (uid, place, hot)
-    keys = sorted(first)
-    own = np.array([first[k] for k in keys], np.int64)
-    del first
-    leading = np.array([int.from_bytes(k[:4], "big") for k in keys], np.uint64)
-    part = (leading * np.uint64(slots * RANGES_PER_SLOT) >> np.uint64(32)).astype(np.int64)
-    kinds, begin = np.unique(part, return_index=True)
-    out = []
-    for kind, low, high in zip(kinds.tolist(), begin, [*begin[1:], len(keys)], strict=True):
-        shared, rests = front_code(keys[low:high])
-        columns = own[low:high, 0], own[low:high, 1].astype("<i4"), own[low:high, 2].astype("<i4")
-        raw = _pack(*columns, shared) + rests
-        head = np.array([high - low, len(raw)], "<i8")
-        out.append((kind, _pack(head) + pa.compress(raw, codec="zstd", asbytes=True)))
-    if out:
-        yield _lists(RUN, out)
-    if spans:
-        yield _lists(SPANS, _span_lists(np.array(spans, np.int64), slots))
+            run.add(shape.make(heads[8 * i : 8 * i + 8], raw[uid], place, 0, shape.left), uid, place, 0, shape.left)
+    yield from run.take()
 
 
 def _span_lists(spans: np.ndarray, slots: int) -> list[tuple[int, bytes]]:
@@ -343,41 +385,56 @@ def _read_run(blob: bytes, length: int) -> tuple[list[np.ndarray], Iterator[tupl
     n, size = np.frombuffer(blob, "<i8", 2).tolist()
     raw = pa.decompress(blob[16:], size, codec="zstd", asbytes=True)
     uids = np.frombuffer(raw, "<i8", n)
-    at, hot = (np.frombuffer(raw, "<i4", n, 8 * n + 4 * n * i) for i in (0, 1))
-    shared = np.frombuffer(raw, "<u2", n, 16 * n)
-    return [uids, at, hot], decode_run(shared, raw, length, 18 * n)
+    at = np.frombuffer(raw, "<i4", n, 8 * n)
+    low, high = (np.frombuffer(raw, "u1", n, 12 * n + n * i) for i in (0, 1))
+    shared = np.frombuffer(raw, "<u2", n, 14 * n)
+    return [uids, at, low, high], decode_run(shared, raw, length, 16 * n)
 
 
 class _Merged:
-    """Takes merged suffixes and gathers repeated spans, and windows to be compared elsewhere."""
+    """Takes merged suffixes and gathers repeated spans, and suffixes to be compared elsewhere."""
 
-    def __init__(self, width: int, gram: int):
-        self.width, self.shape = width, _Shape(width, gram)
+    def __init__(self, width: int, gram: int, slots: int, often: int):
+        self.width, self.shape, self.often = width, _Shape(width, gram), often
         self.spans: list[np.ndarray] = []
         self.covered: list[tuple[int, int, int]] = []
-        self.windows: list[np.ndarray] = []
-        self.group: list[tuple[int, int, int, bytes]] = []
-        self.waiting: list[tuple[int, int, int, bytes]] = []
+        self.group: list[tuple[int, int, int, int, bytes]] = []
+        self.large = False
+        self.waiting: list[tuple[int, int, int, int, bytes]] = []
+        self.halved = _Run(width, slots)
 
-    def add(self, uid: int, at: int, hot: int, key: bytes, shared: int) -> None:
+    def add(self, uid: int, at: int, low: int, high: int, key: bytes, shared: int) -> None:
         if self.group and shared == len(key):
             last = self.group[-1]  # the same suffix: the later one repeats
             early, late = ((uid, at), last[:2]) if (uid, at) < last[:2] else (last[:2], (uid, at))
-            self.group[-1] = (*early, hot, key)
+            self.group[-1] = (*early, low, high, key)
             if key[-2] + key[-1] >= self.width:
                 self.covered.append((late[0], late[1] - key[-1], late[1] + key[-2]))
             return
         if self.group and shared < 8:
             self.close_group()
-        self.group.append((uid, at, hot, key))
+        if len(self.group) >= self.often and low < high:
+            self.halve()
+        self.group.append((uid, at, low, high, key))
+
+    def halve(self) -> None:
+        """The group is large: its windows are compared in the ranges of their halves."""
+        self.large = True
+        for uid, at, low, high, key in self.group:
+            text, place = self.shape.text(key)
+            for half, *reach in self.shape.halves(text, place, low, high):
+                self.halved.add(half, uid, at, *reach)
+        self.group = []
 
     def close_group(self) -> None:
-        """Suffixes of one anchor: alone they hold no further repeat, unless others are elsewhere."""
-        if len(self.group) > 1 or (self.group and self.group[0][2]):
+        """Suffixes of one anchor: alone they hold no further repeat."""
+        if self.large:
+            self.halve()
+        elif len(self.group) > 1:
             self.waiting += self.group
             if len(self.waiting) >= 2048:
                 self.compare()
-        self.group = []
+        self.group, self.large = [], False
 
     def compare(self) -> None:
         """Compare all windows of the waiting suffixes; whole groups only."""
@@ -386,7 +443,7 @@ class _Merged:
         rows = sorted(self.waiting, key=lambda r: r[:2])
         self.waiting = []
         shape, width = self.shape, self.width
-        flat = np.frombuffer(b"".join([r[3] for r in rows]), np.uint8).reshape(len(rows), -1)
+        flat = np.frombuffer(b"".join([r[4] for r in rows]), np.uint8).reshape(len(rows), -1)
         right, left = flat[:, -2].astype(np.int64), flat[:, -1].astype(np.int64)
         body = np.concatenate(
             [flat[:, 8 + shape.right : -2][:, ::-1], flat[:, 8 : 8 + shape.right]], axis=1
@@ -403,20 +460,14 @@ class _Merged:
         one, two = both[0][row, col], both[1][row, col]
         uid = np.array([r[0] for r in rows], np.int64)[row]
         start = np.array([r[1] for r in rows], np.int64)[row] - shape.left + col
-        hot = np.array([r[2] for r in rows], np.int64)[row]
         order = np.lexsort((start, uid, two, one))
-        one, two, uid, start, hot, row = (x[order] for x in (one, two, uid, start, hot, row))
+        one, two, uid, start = (x[order] for x in (one, two, uid, start))
         new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
         again = ~new
         # The same place can come twice, through two anchors: it does not repeat itself.
         leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
         again &= (uid != uid[leader]) | (start != start[leader])
         self.spans.append(_merge_spans(uid[again], start[again], width))
-        away = new & (hot == 1)
-        if away.any():
-            self.windows.append(
-                np.stack([one[away].view(np.int64), two[away].view(np.int64), uid[away], start[away]], axis=1)
-            )
 
 
 def _merge_spans(uid: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
@@ -431,8 +482,8 @@ def _merge_spans(uid: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
     return np.stack([uid[low], start[low], start[high] + width], axis=1)
 
 
-def _merge_range(part: pa.Table, slots: int, width: int, gram: int) -> Iterator[pa.RecordBatch]:
-    merged = _Merged(width, gram)
+def _merge_range(part: pa.Table, slots: int, width: int, gram: int, often: int) -> Iterator[pa.RecordBatch]:
+    merged = _Merged(width, gram, slots, often)
     kinds, parts, blobs = (part.column(c).to_pylist() for c in ("kind", "part", "blob"))
     through = [(p, b) for k, p, b in zip(kinds, parts, blobs, strict=True) if k == SPANS]
     if through:
@@ -444,19 +495,17 @@ def _merge_range(part: pa.Table, slots: int, width: int, gram: int) -> Iterator[
     for run, key, shared in merge_runs([strings for _, strings in read]):
         i = nth[run]
         nth[run] += 1
-        uids, at, hot = facts[run]
-        merged.add(int(uids[i]), int(at[i]), int(hot[i]), key, shared)
+        uids, at, low, high = facts[run]
+        merged.add(int(uids[i]), int(at[i]), int(low[i]), int(high[i]), key, shared)
+        if len(merged.halved.first) >= HELD:
+            yield from merged.halved.take()
     merged.close_group()
     merged.compare()
+    yield from merged.halved.take()
     spans = [*merged.spans, np.array(merged.covered, np.int64).reshape(-1, 3)]
     whole = np.concatenate(spans)
     if len(whole):
         yield _lists(SPANS, _span_lists(whole, slots))
-    if merged.windows:
-        windows = np.concatenate(merged.windows)
-        for at in range(0, len(windows), 1 << 16):
-            own = windows[at : at + (1 << 16)]
-            yield _lists(WINDOWS, [(0, own.astype("<i8").tobytes())])
 
 
 def repeated_spans(
@@ -481,45 +530,22 @@ def repeated_spans(
 
     def merge(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in runs(parts, ("range",)):
-            yield from _merge_range(part, slots, width, gram)
-
-    # Spans found already only pass through; they go to any task.
-    ranged = suffixes.withColumn("range", F.col("part"))
-    dealt = ranged.repartition(slots, "range").sortWithinPartitions("range")
-    with settings(spark, _FEW_ROWS):
-        found = store(dealt.mapInArrow(merge, _LISTS), "repeats")
+            yield from _merge_range(part, slots, width, gram, often)
+
+    spans = None
+    while suffixes is not None:
+        # Spans found already only pass through; they go to any task.
+        ranged = suffixes.withColumn("range", F.col("part"))
+        dealt = ranged.repartition(slots, "range").sortWithinPartitions("range")
+        with settings(spark, _FEW_ROWS):
+            found = store(dealt.mapInArrow(merge, _LISTS), "repeats")
+        own = found.where(F.col("kind") == SPANS).select("part", "blob")
+        spans = own if spans is None else spans.union(own)
+        # Halves of large groups go on; every round halves their windows, so there are few rounds.
+        halves = found.where(F.col("kind") == RUN)
+        suffixes = halves if halves.limit(1).count() else None
     remove_path(spark, place)
-    spans = found.where(F.col("kind") == SPANS).select("part", "blob")
-    if found.where(F.col("kind") == WINDOWS).limit(1).count() == 0:
-        return spans
-
-    def unpack(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for blob in part.column(0).to_pylist():
-                values = np.frombuffer(blob, "<i8").reshape(-1, 4)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in values.T], names=["one", "two", "uid", "start"]
-                )
-
-    windows = (
-        found.where(F.col("kind") == WINDOWS)
-        .select("blob")
-        .mapInArrow(unpack, "one long, two long, uid long, start long")
-    )
-    earliest = windows.groupBy("one", "two").agg(F.min(F.struct("uid", "start")).alias("first"))
-    later = (
-        windows.join(earliest, ["one", "two"])
-        .where((F.col("uid") != F.col("first.uid")) | (F.col("start") != F.col("first.start")))
-        .select("uid", "start")
-    )
-
-    def pack(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            uid, start = (part.column(i).to_numpy() for i in (0, 1))
-            if len(uid):
-                yield _lists(SPANS, _span_lists(_merge_spans(uid, start, width), slots)).select(["part", "blob"])
-
-    return spans.union(later.mapInArrow(pack, "part long, blob binary"))
+    return spans
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
